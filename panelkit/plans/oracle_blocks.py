@@ -111,4 +111,17 @@ def with_blocks(body: str, *names: str) -> str:
     if not names:
         return body.strip()
     ctes = ",\n".join(f"{n} AS ({BLOCKS[n][1]}\n)" for n in _order(names))
-    return f"WITH {ctes}\n{body.strip()}"
+    body = body.strip()
+    if body[:4].upper() == "WITH":
+        # Merge the body's own CTE list into ours.
+        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    return f"WITH {ctes}\n{body}"
+
+
+def sql_normalize(expr: str) -> str:
+    """DuckDB form of ``normalize_text`` for Latin text (strip_accents folds
+    the accents; ``ß`` is expanded first because DuckDB upper-cases it to
+    ``ẞ``)."""
+    return ("coalesce(trim(regexp_replace(regexp_replace(upper(strip_accents(replace("
+            f"CAST({expr} AS VARCHAR), 'ß', 'ss'))), '[^\\x00-\\x7F]', '', 'g'), "
+            "'[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f ]+', ' ', 'g')), '')")

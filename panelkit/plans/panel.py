@@ -151,3 +151,17 @@ def monthly_feature_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "target_lines", "target_qty", "target_avg_qty", "target_discount_avg",
         F.col("target_qty").isNotNull().alias("target_available"),
         F.lit(FEATURE_SOURCE).alias("feature_source"))
+
+
+# Output schema of the panel (name, Spark SQL type), in column order.
+PANEL_SCHEMA = [
+    ("entity", "string"), ("year_month", "string"), ("days", "bigint"),
+    ("price_avg", "double"), ("price_n_avg", "double"), ("price_total", "double"),
+    ("price_n_total", "double"), ("region_code", "string"), ("national_count", "bigint"),
+    ("regional_count", "bigint"), ("total_count", "bigint"), ("ship_qty", "bigint"),
+    ("ship_lines", "bigint"), ("ship_value", "bigint"), ("supplier_count", "bigint"),
+    ("target_lines", "double"), ("target_qty", "double"), ("target_avg_qty", "double"),
+    ("target_discount_avg", "double"), ("target_available", "boolean"), ("feature_source", "string"),
+]
+PANEL_NUMERIC = [c for c, t in PANEL_SCHEMA if t in ("bigint", "double")]
+TARGET = "target_qty"
