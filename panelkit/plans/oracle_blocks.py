@@ -125,3 +125,46 @@ def sql_normalize(expr: str) -> str:
     return ("coalesce(trim(regexp_replace(regexp_replace(upper(strip_accents(replace("
             f"CAST({expr} AS VARCHAR), 'ß', 'ss'))), '[^\\x00-\\x7F]', '', 'g'), "
             "'[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f ]+', ' ', 'g')), '')")
+
+
+def sql_bucket(x: str, edges: list[float], labels: list[str]) -> str:
+    """SQL form of ``functions.numeric.bucket`` (right-closed, NULL outside)."""
+    import math
+    parts = []
+    for lo, hi, label in zip(edges[:-1], edges[1:], labels):
+        cond = [f"{x} IS NOT NULL", f"NOT isnan({x})"]
+        if lo != -math.inf:
+            cond.append(f"{x} > {lo!r}")
+        if hi != math.inf:
+            cond.append(f"{x} <= {hi!r}")
+        parts.append(f"WHEN {' AND '.join(cond)} THEN '{label}'")
+    return f"CASE {' '.join(parts)} END"
+
+
+PRICE_EDGES = [float("-inf"), 200000.0, 250000.0, 300000.0, float("inf")]
+PRICE_LABELS = ["low", "mid", "high", "top"]
+DISCOUNT_EDGES = [-0.001, 0.03, 0.06, float("inf")]
+DISCOUNT_LABELS = ["small", "medium", "large"]
+SEGMENT_LABELS = ["low", "medium", "high", "very_high"]
+
+BLOCKS["model"] = (("panel",), f"""
+    SELECT p.*, CAST(p.year_month || '-01' AS DATE) AS date,
+           CAST(substring(p.year_month, 1, 4) AS INTEGER) AS year,
+           CAST(substring(p.year_month, 6, 2) AS INTEGER) AS month,
+           CAST(quarter(CAST(p.year_month || '-01' AS DATE)) AS INTEGER) AS quarter,
+           CAST(CAST(substring(p.year_month, 6, 2) AS INTEGER) IN (6, 7, 8, 9) AS INTEGER) AS is_high_season,
+           ln(1 + p.target_qty) AS target_qty_log1p,
+           ln(1 + CASE WHEN p.ship_qty < 0 THEN 0 ELSE p.ship_qty END) AS ship_qty_log1p,
+           sqrt(CASE WHEN p.target_discount_avg < 0 THEN 0 ELSE p.target_discount_avg END) AS discount_sqrt,
+           p.price_avg * p.price_avg AS price_avg_sq,
+           {sql_bucket('p.price_avg', PRICE_EDGES, PRICE_LABELS)} AS price_bucket,
+           {sql_bucket('p.price_n_avg', PRICE_EDGES, PRICE_LABELS)} AS price_n_bucket,
+           {sql_bucket('p.target_discount_avg', DISCOUNT_EDGES, DISCOUNT_LABELS)} AS discount_bucket
+    FROM panel p WHERE p.target_qty IS NOT NULL""")
+BLOCKS["model_months"] = (("model",), """
+    SELECT year_month, row_number() OVER (ORDER BY year_month) AS month_pos
+    FROM (SELECT DISTINCT year_month FROM model)""")
+BLOCKS["split"] = (("model_months",), """
+    SELECT m.*, CASE WHEN mm.month_pos <= (SELECT floor(count(*) * 0.8) FROM model_months)
+                     THEN 'train' ELSE 'test' END AS split
+    FROM model m JOIN model_months mm ON m.year_month = mm.year_month""")
