@@ -22,8 +22,9 @@ def quantile_bucket(df: DataFrame, col: str, labels: list[str], out: str,
     x = F.col(col).cast("double")
     pct = (F.percentile_approx(x, ps, 10000) if approx
            else F.percentile(x, F.array(*[F.lit(p) for p in ps])))
-    q = df.select(pct.alias("q")).scalar()
-    return df.withColumn(out, quantile_labels(x, [q[i] for i in range(n - 1)], labels))
+    q = F.col("__q")
+    staged = df.withColumn("__q", df.select(pct.alias("q")).scalar())
+    return staged.withColumn(out, quantile_labels(x, [q[i] for i in range(n - 1)], labels)).drop("__q")
 
 
 def month_table(df: DataFrame, time_col: str) -> DataFrame:
@@ -77,19 +78,27 @@ def fit_scaler(train: DataFrame, cols: list[str]) -> DataFrame:
     return train.agg(*aggs)
 
 
-def stats_struct(stats: DataFrame) -> Column:
-    """One scalar subquery carrying every fitted statistic as a struct."""
-    return stats.select(F.struct(*stats.columns)).scalar()
+def with_stats(df: DataFrame, stats: DataFrame, name: str = "__stats") -> DataFrame:
+    """Attach fitted statistics as one struct column.
+
+    The struct comes from a single scalar subquery referenced once, so the
+    statistics plan appears once in the query (referencing the subquery per
+    column would copy the fitting plan into every expression).
+    """
+    return df.withColumn(name, stats.select(F.struct(*stats.columns)).scalar())
 
 
 def apply_medians(df: DataFrame, medians: DataFrame) -> DataFrame:
-    s = stats_struct(medians)
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), s[c]) for c in medians.columns})
+    s = F.col("__med")
+    out = with_stats(df, medians, "__med")
+    return out.withColumns({c: F.coalesce(F.col(c).cast("double"), s[c]) for c in medians.columns}).drop("__med")
 
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, cols: list[str]) -> DataFrame:
-    s = stats_struct(scaler)
-    return df.withColumns({c: (F.col(c).cast("double") - s[f"{c}__mean"]) / s[f"{c}__std"] for c in cols})
+    s = F.col("__scale")
+    out = with_stats(df, scaler, "__scale")
+    return out.withColumns({c: (F.col(c).cast("double") - s[f"{c}__mean"]) / s[f"{c}__std"]
+                            for c in cols}).drop("__scale")
 
 
 def fill_constant(df: DataFrame, cols: list[str], value: str = "unknown") -> DataFrame:
@@ -152,9 +161,20 @@ def feature_names(model, numeric: list[str], categorical: list[str]) -> list[str
     return names
 
 
-def prepare_matrix(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str]):
+def prepare_matrix(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str],
+                   materialize: bool = True):
     """M1-M6 end to end: returns ``(train_x, test_x, names)`` with a ``features``
-    vector column; statistics come from ``train`` only."""
+    vector column; statistics come from ``train`` only.
+
+    Fitting reads the inputs several times, so by default both inputs are
+    checkpointed first (reliable checkpoint in ``spark.checkpoint.dir``):
+    lineage is cut and a lost executor does not recompute the whole panel.
+    """
+    if materialize:
+        from panelkit.session import checkpoint_dir
+        checkpoint_dir(train.sparkSession)
+        train = train.checkpoint()
+        test = test.checkpoint()
     med = fit_medians(train, numeric)
     tr = apply_medians(train, med)
     te = apply_medians(test, med)

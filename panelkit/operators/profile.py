@@ -170,11 +170,13 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
     """
     x = F.col(col).cast("double")
     base = df.where(x.isNotNull()).select(x.alias("x"))
-    s = base.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    rng = base.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    s = F.col("__s")
     width = (s["hi"] - s["lo"]) / F.lit(bins)
     idx = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - s["lo"]) / width), F.lit(bins - 1))).cast("int")
-    counted = base.withColumn("bin", idx).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    counted = (base.withColumn("__s", rng).withColumn("bin", idx)
+               .groupBy("bin", "__s").agg(F.count(F.lit(1)).alias("count")))
     return counted.select("bin",
                           (s["lo"] + F.col("bin") * width).alias("bin_start"),
                           (s["lo"] + (F.col("bin") + 1) * width).alias("bin_end"),
@@ -185,7 +187,9 @@ def boxplot_stats(df: DataFrame, col: str, k: float = 1.5, approx: bool = False)
     """Quartiles, whiskers (extreme points inside the fences), flier count."""
     x = F.col(col).cast("double")
     base = df.where(x.isNotNull()).select(x.alias("x"))
-    q = base.select(_quantiles(F.col("x"), [0.25, 0.5, 0.75], approx).alias("q")).scalar()
+    quart = base.select(_quantiles(F.col("x"), [0.25, 0.5, 0.75], approx).alias("q")).scalar()
+    base = base.withColumn("__q", quart)
+    q = F.col("__q")
     q1, med, q3 = q[0], q[1], q[2]
     lo = q1 - k * (q3 - q1)
     hi = q3 + k * (q3 - q1)

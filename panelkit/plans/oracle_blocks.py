@@ -168,3 +168,8 @@ BLOCKS["split"] = (("model_months",), """
     SELECT m.*, CASE WHEN mm.month_pos <= (SELECT floor(count(*) * 0.8) FROM model_months)
                      THEN 'train' ELSE 'test' END AS split
     FROM model m JOIN model_months mm ON m.year_month = mm.year_month""")
+
+BLOCKS["monthly_idx"] = (("monthly",), """
+    SELECT *, CAST(substring(year_month, 1, 4) AS INTEGER) * 12 + CAST(substring(year_month, 6, 2) AS INTEGER) - 1
+              AS month_idx
+    FROM monthly""")

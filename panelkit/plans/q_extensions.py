@@ -1 +1,201 @@
-"""placeholder"""
+"""Queries for the documented extensions."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelkit.functions import dates as D
+from panelkit.operators import features as FE
+from panelkit.operators import models as MO
+from panelkit.operators import timeseries as TS
+from panelkit.plans import panel as P
+from panelkit.plans.oracle_blocks import with_blocks
+from panelkit.plans.q_features import CATEGORICAL_FEATURES, NUMERIC_FEATURES, split_frame
+from panelkit.plans.registry import register
+
+KEYS = ["entity"]
+
+
+def _monthly_idx(spark, sf):
+    m = P.monthly(P.daily(spark, sf))
+    return m.withColumn("month_idx", D.month_index("year_month"))
+
+
+@register("monthly_lags", with_blocks("""
+    SELECT m.entity, m.year_month, m.price_avg, l1.price_avg AS price_avg_lag1, l12.price_avg AS price_avg_lag12
+    FROM monthly_idx m
+    LEFT JOIN monthly_idx l1 ON l1.entity = m.entity AND l1.month_idx = m.month_idx - 1
+    LEFT JOIN monthly_idx l12 ON l12.entity = m.entity AND l12.month_idx = m.month_idx - 12""", "monthly_idx"))
+def monthly_lags(spark, sf):
+    m = _monthly_idx(spark, sf).select("entity", "year_month", "month_idx", "price_avg")
+    out = TS.add_lags(m, KEYS, "month_idx", ["price_avg"], [1, 12])
+    return out.select("entity", "year_month", "price_avg", "price_avg_lag1", "price_avg_lag12")
+
+
+@register("rolling_mean", with_blocks("""
+    SELECT m.entity, m.year_month, m.price_avg,
+           (SELECT round(avg(p.price_avg), 4) FROM monthly_idx p
+             WHERE p.entity = m.entity AND p.month_idx BETWEEN m.month_idx - 3 AND m.month_idx - 1) AS price_avg_mean3
+    FROM monthly_idx m""", "monthly_idx"))
+def rolling_mean(spark, sf):
+    m = _monthly_idx(spark, sf).select("entity", "year_month", "month_idx", "price_avg")
+    out = TS.rolling_mean(m, KEYS, "month_idx", ["price_avg"], n=3)
+    return out.select("entity", "year_month", "price_avg", "price_avg_mean3")
+
+
+@register("year_over_year", with_blocks("""
+    SELECT m.entity, m.year_month, m.price_total, l.price_total AS price_total_lag12,
+           round(CASE WHEN l.price_total = 0 THEN NULL
+                      ELSE (m.price_total - l.price_total) / l.price_total END, 4) AS price_total_yoy
+    FROM monthly_idx m
+    LEFT JOIN monthly_idx l ON l.entity = m.entity AND l.month_idx = m.month_idx - 12""", "monthly_idx"))
+def year_over_year(spark, sf):
+    m = _monthly_idx(spark, sf).select("entity", "year_month", "month_idx", "price_total")
+    out = TS.year_over_year(m, KEYS, "month_idx", ["price_total"])
+    return out.select("entity", "year_month", "price_total", "price_total_lag12", "price_total_yoy")
+
+
+PERIOD = ("1997-01", "1998-12")
+
+
+@register("period_flag", with_blocks(f"""
+    SELECT entity, year_month, year_month BETWEEN '{PERIOD[0]}' AND '{PERIOD[1]}' AS in_period
+    FROM monthly""", "monthly"))
+def period_flag(spark, sf):
+    """A fixed calendar period flag (the reference's pandemic window, moved
+    onto the driver tables' time span)."""
+    m = P.monthly(P.daily(spark, sf))
+    return m.select("entity", "year_month", D.period_flag("year_month", *PERIOD).alias("in_period"))
+
+
+@register("season_week", """
+    SELECT o_orderkey,
+           CASE WHEN month(o_orderdate) IN (12, 1, 2) THEN 'winter' WHEN month(o_orderdate) IN (3, 4, 5) THEN 'spring'
+                WHEN month(o_orderdate) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season,
+           CAST(weekofyear(o_orderdate) AS INTEGER) AS iso_week
+    FROM orders""")
+def season_week(spark, sf):
+    from panelkit.plans.tables import table
+    o = table(spark, sf, "orders")
+    return o.select("o_orderkey", D.season(F.month("o_orderdate")).alias("season"),
+                    F.weekofyear("o_orderdate").alias("iso_week"))
+
+
+@register("conditional_day_count", with_blocks("""
+    SELECT entity, year_month, count(*) FILTER (WHERE price > 300000) AS high_value_orders,
+           count(*) FILTER (WHERE price_n IS NULL) AS pending_orders,
+           count(DISTINCT day) FILTER (WHERE price > 300000) AS high_value_days
+    FROM daily GROUP BY entity, year_month""", "daily"))
+def conditional_day_count(spark, sf):
+    d = P.daily(spark, sf)
+    out = TS.conditional_counts(d, ["entity", "year_month"], {
+        "high_value_orders": F.col("price") > 300000,
+        "pending_orders": F.col("price_n").isNull()})
+    days = (d.where(F.col("price") > 300000).groupBy("entity", "year_month")
+             .agg(F.count_distinct("day").alias("high_value_days")))
+    return (out.join(days, ["entity", "year_month"], "left")
+               .withColumn("high_value_days", F.coalesce("high_value_days", F.lit(0))))
+
+
+@register("weekly_mean", with_blocks("""
+    SELECT entity, CAST(yearweek(day) AS INTEGER) AS iso_year_week,
+           round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price), 4) AS price_week_avg,
+           count(*) AS orders
+    FROM daily GROUP BY entity, yearweek(day)""", "daily"))
+def weekly_mean(spark, sf):
+    """Weekly mean per entity on ISO weeks (``isoyear*100 + week``)."""
+    from panelkit.functions.numeric import exact_avg
+    d = P.daily(spark, sf)
+    yw = (F.year(F.date_add(F.date_sub("day", F.weekday("day")), 3)) * 100 + F.weekofyear("day"))
+    return d.groupBy("entity", yw.alias("iso_year_week")).agg(
+        F.round(exact_avg("price", 2), 4).alias("price_week_avg"), F.count(F.lit(1)).alias("orders"))
+
+
+@register("ratio_features", with_blocks("""
+    SELECT entity, year_month,
+           round(CASE WHEN ship_value = 0 THEN NULL ELSE price_total / ship_value END, 4) AS price_per_ship_value,
+           round(CASE WHEN ship_qty = 0 THEN NULL ELSE target_qty / ship_qty END, 4) AS target_per_ship_qty,
+           round(CASE WHEN supplier_count = 0 THEN NULL ELSE CAST(ship_value AS DOUBLE) / supplier_count END, 4)
+             AS value_per_supplier
+    FROM panel""", "panel"))
+def ratio_features(spark, sf):
+    from panelkit.functions.numeric import safe_ratio
+    p = P.monthly_feature_panel(spark, sf)
+    return p.select("entity", "year_month",
+                    safe_ratio("price_total", "ship_value").alias("price_per_ship_value"),
+                    safe_ratio(P.TARGET, "ship_qty").alias("target_per_ship_qty"),
+                    safe_ratio("ship_value", "supplier_count").alias("value_per_supplier"))
+
+
+@register("bridge_days", with_blocks("""
+    WITH hol AS (SELECT DISTINCT day FROM calendar WHERE scope = 'national'),
+    cand AS (SELECT CASE WHEN isodow(day) = 2 THEN day - 1 WHEN isodow(day) = 4 THEN day + 1 END AS bridge_day,
+                    day AS because_of FROM hol)
+    SELECT CAST(bridge_day AS DATE) AS bridge_day, because_of FROM cand
+    WHERE bridge_day IS NOT NULL AND bridge_day NOT IN (SELECT day FROM hol)""", "calendar"))
+def bridge_days(spark, sf):
+    cal = P.calendar(P.daily(spark, sf)).where(F.col("scope") == "national").select(F.col("day").alias("date"))
+    return TS.bridge_days(cal, "date")
+
+
+@register("completeness_check", with_blocks("""
+    SELECT CAST(year(day) AS INTEGER) AS year, count(DISTINCT month(day)) AS months
+    FROM daily GROUP BY year(day) HAVING count(DISTINCT month(day)) <> 12""", "daily"))
+def completeness_check(spark, sf):
+    d = P.daily(spark, sf).select(F.year("day").alias("year"), F.month("day").alias("month"))
+    return TS.completeness(d, "year", "month")
+
+
+FOLDS = 3
+
+
+@register("expanding_folds", with_blocks(f"""
+    WITH n AS (SELECT count(*) AS n FROM model_months),
+    tagged AS (
+      SELECT m.year_month, f.fold,
+             CASE WHEN mm.month_pos <= f.fold * floor(n.n / {FOLDS + 1}) THEN 'train'
+                  WHEN mm.month_pos <= (f.fold + 1) * floor(n.n / {FOLDS + 1})
+                       OR (f.fold = {FOLDS} AND mm.month_pos <= n.n) THEN 'test' END AS role
+      FROM model m JOIN model_months mm ON m.year_month = mm.year_month, n,
+           (SELECT unnest(range(1, {FOLDS + 1})) AS fold) f)
+    SELECT CAST(fold AS INTEGER) AS fold, role, count(*) AS rows, min(year_month) AS month_min,
+           max(year_month) AS month_max
+    FROM tagged WHERE role IS NOT NULL GROUP BY fold, role""", "model_months"))
+def expanding_folds(spark, sf):
+    from panelkit.plans.q_features import model_frame
+    t = FE.expanding_folds(model_frame(spark, sf), "year_month", FOLDS)
+    return t.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("rows"),
+                                         F.min("year_month").alias("month_min"),
+                                         F.max("year_month").alias("month_max"))
+
+
+@register("regression_metrics", with_blocks("""
+    WITH base AS (SELECT entity, avg(target_qty) AS pred FROM split WHERE split = 'train' GROUP BY entity),
+    scored AS (SELECT s.target_qty AS y, b.pred AS p FROM split s JOIN base b ON s.entity = b.entity
+               WHERE s.split = 'test' AND s.target_qty IS NOT NULL AND b.pred IS NOT NULL),
+    mean AS (SELECT avg(y) AS my FROM scored)
+    SELECT count(*) AS n, round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
+           round(1 - sum((y - p) * (y - p)) / sum((y - my) * (y - my)), 6) AS r2
+    FROM scored, mean""", "split"))
+def regression_metrics(spark, sf):
+    """Metrics of a per-entity train-mean baseline on the test months."""
+    s = split_frame(spark, sf)
+    base = (s.where(F.col("split") == "train").groupBy("entity")
+             .agg(F.avg(P.TARGET).alias("prediction")))
+    scored = s.where(F.col("split") == "test").join(base, "entity")
+    return MO.regression_metrics(scored, P.TARGET, "prediction")
+
+
+@register("ridge_baseline", None)
+def ridge_baseline(spark, sf):
+    """D11 (rows-only check): prepare the matrix from train statistics, fit
+    a ridge regression and score the test months."""
+    s = split_frame(spark, sf)
+    train = s.where(F.col("split") == "train").drop("split")
+    test = s.where(F.col("split") == "test").drop("split")
+    tr, te, _ = FE.prepare_matrix(train, test, NUMERIC_FEATURES, CATEGORICAL_FEATURES)
+    from pyspark.ml.regression import LinearRegression
+    model = LinearRegression(featuresCol="features", labelCol=P.TARGET, regParam=0.1,
+                             elasticNetParam=0.0).fit(tr)
+    return model.transform(te).select("entity", "year_month", P.TARGET,
+                                      F.round("prediction", 4).alias("prediction"))
