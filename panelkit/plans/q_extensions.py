@@ -199,3 +199,14 @@ def ridge_baseline(spark, sf):
                              elasticNetParam=0.0).fit(tr)
     return model.transform(te).select("entity", "year_month", P.TARGET,
                                       F.round("prediction", 4).alias("prediction"))
+
+
+@register("stream_daily_window", """
+    SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events,
+           CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_total
+    FROM events GROUP BY CAST(ts AS DATE), event_type""")
+def stream_daily_window(spark, sf):
+    """Events through a Structured Streaming daily window (file source,
+    availableNow); equals the batch daily aggregate."""
+    from panelkit.streaming.daily import run_daily_window
+    return run_daily_window(spark, f"{sf.rstrip('/')}/events.parquet")
