@@ -54,14 +54,16 @@ def fold_ascii(c) -> Column:
     src, dst, multi = fold_tables()
     s = F.translate(_col(c), src, dst)
     keys = sorted(multi)
-    multi_class = "[" + "".join(keys) + "]"
     mapping = F.create_map(*[F.lit(x) for k in keys for x in (k, multi[k])])
     expanded = F.array_join(
         F.transform(F.regexp_extract_all(s, F.lit("(?s)(.)"), 1),
                     lambda ch: F.coalesce(F.element_at(mapping, ch), ch)),
         "")
     # The per-character path only runs on rows that contain such a character.
-    s = F.when(s.rlike(multi_class), expanded).otherwise(s)
+    # Detect them with a hash-based translate (deleting them shortens the
+    # text); a regex class of several hundred characters is tested linearly.
+    has_multi = F.length(F.translate(s, "".join(keys), "")) != F.length(s)
+    s = F.when(has_multi, expanded).otherwise(s)
     return F.regexp_replace(s, NON_ASCII, "")
 
 
