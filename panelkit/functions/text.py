@@ -72,7 +72,10 @@ def collapse_ws(c) -> Column:
 
 
 def normalize_text(c) -> Column:
-    """F-S1: trim, upper, NFKD, drop non-ASCII, collapse whitespace; NULL -> ''."""
+    """F-S1: trim, upper, NFKD, drop non-ASCII, collapse whitespace; NULL -> ''.
+
+    For numeric input wrap the column in ``null_nan`` first so NaN is blank.
+    """
     s = F.upper(_col(c).cast("string"))
     return F.coalesce(collapse_ws(fold_ascii(s)), F.lit(""))
 
