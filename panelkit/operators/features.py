@@ -146,7 +146,9 @@ def build_preprocessor(numeric: list[str], categorical: list[str], output: str =
     stages = [
         StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
+        # The indexer puts unseen values in slot n; dropLast removes exactly that
+        # slot, so unseen rows encode as all zeros.
+        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True),
         VectorAssembler(inputCols=numeric + ohe, outputCol=output, handleInvalid="keep"),
     ]
     return Pipeline(stages=stages)
