@@ -18,13 +18,13 @@ def read_csv_strings(spark: SparkSession, path: str, sep: str = ",", encoding: s
 
 def read_csv_utf8_or_latin1(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """Semicolon CSV decoded as UTF-8, falling back to Latin-1 for files
-    that are not valid UTF-8 (they show U+FFFD after a UTF-8 decode).
+    that are not valid UTF-8 (``is_valid_utf8`` on the raw lines).
 
     The decision is per file, from one distributed scan; only the (small)
     list of fallback file names reaches the driver.
     """
     probe = (spark.read.text(path).select(F.col("_metadata.file_path").alias("f"), "value")
-             .where(F.col("value").contains("�")).select("f").distinct())
+             .where(~F.is_valid_utf8("value")).select("f").distinct())
     latin = [r.f for r in probe.collect()]
     utf8 = read_csv_strings(spark, path, sep=sep, encoding="UTF-8")
     if not latin:
