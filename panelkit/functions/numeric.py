@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from panelkit.functions.text import _col
 
 
+def rnd(c, digits: int) -> Column:
+    """Round to ``digits`` decimals, ties toward +infinity (ledger L1).
+
+    Computed as ``floor(x * 10^d + 0.5) / 10^d`` with plain IEEE double
+    operations, so any engine evaluating the same formula gets bit-identical
+    results (Spark's ``round`` is HALF_UP on the decimal text, DuckDB's is
+    half-even on the scaled double; they disagree on exact ties).
+    """
+    scale = float(10 ** digits)
+    return F.floor(_col(c).cast("double") * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
 def null_nan(c) -> Column:
     """NaN is missing. Spark keeps NaN distinct from NULL, so map it."""
     x = _col(c).cast("double")
@@ -18,7 +30,7 @@ def null_nan(c) -> Column:
 
 def clean_number(c, digits: int = 4) -> Column:
     """F-M1: NULL/NaN -> NULL, otherwise rounded to ``digits``."""
-    return F.round(null_nan(c), digits)
+    return rnd(null_nan(c), digits)
 
 
 def truncating_cast(c) -> Column:
@@ -89,4 +101,4 @@ def quantile_labels(c, cuts: list[Column], labels: list[str]) -> Column:
 def safe_ratio(a, b, digits: int | None = 4) -> Column:
     """``a / b`` with NULL on a zero or NULL denominator."""
     r = F.try_divide(_col(a).cast("double"), _col(b).cast("double"))
-    return F.round(r, digits) if digits is not None else r
+    return rnd(r, digits) if digits is not None else r

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.functions.numeric import rnd
+
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, digits: int = 6) -> DataFrame:
     """MAE, RMSE and R² in one aggregate (R² against the label mean).
@@ -19,9 +21,9 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, digits: int =
     err = y - p
     return base.agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.avg(F.abs(err)), digits).alias("mae"),
-        F.round(F.sqrt(F.avg(err * err)), digits).alias("rmse"),
-        F.round(1 - F.try_divide(F.sum(err * err), F.sum((y - mean) * (y - mean))), digits).alias("r2"),
+        rnd(F.avg(F.abs(err)), digits).alias("mae"),
+        rnd(F.sqrt(F.avg(err * err)), digits).alias("rmse"),
+        rnd(1 - F.try_divide(F.sum(err * err), F.sum((y - mean) * (y - mean))), digits).alias("r2"),
     )
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from panelkit.functions.numeric import rnd
 from pyspark.sql import types as T
 
 DESCRIBE_PERCENTILES = [0.05, 0.25, 0.5, 0.75, 0.95]
@@ -69,7 +71,7 @@ def column_profile(df: DataFrame, digits: int = 2) -> DataFrame:
     return long.select(
         "pos", "column", "dtype", "non_null",
         (F.col("__rows") - F.col("non_null")).alias("nulls"),
-        F.round(F.try_divide((F.col("__rows") - F.col("non_null")) * 100.0, F.col("__rows")), digits).alias("null_pct"),
+        rnd(F.try_divide((F.col("__rows") - F.col("non_null")) * 100.0, F.col("__rows")), digits).alias("null_pct"),
         "unique")
 
 
@@ -77,7 +79,7 @@ def describe_columns(df: DataFrame, cols: list[str], percentiles: list[float] |
                      approx: bool = False, digits: int | None = 6) -> DataFrame:
     """Count, mean, sample std, min, percentiles (linear), max per column."""
     ps = percentiles or DESCRIBE_PERCENTILES
-    r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    r = (lambda c: rnd(c, digits)) if digits is not None else (lambda c: c)
     stats = long_values(df, cols).groupBy("column").agg(
         F.count("value").alias("count"),
         r(F.avg("value")).alias("mean"),
@@ -124,7 +126,8 @@ def quantile_bounds(df: DataFrame, cols: list[str], k: float = 1.5, approx: bool
     return q.withColumns({"lower_bound": F.col("q1") - k * iqr, "upper_bound": F.col("q3") + k * iqr})
 
 
-def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5, approx: bool = False) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5, approx: bool = False,
+                 digits: int | None = None) -> DataFrame:
     """Values strictly outside the Tukey fences, counted per column.
 
     The bounds table has one row per column (size fixed by the column list),
@@ -134,7 +137,10 @@ def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5, approx: bool =
     vals = long_values(df, cols)
     joined = vals.join(F.broadcast(bounds), "column")
     out = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
-    return joined.groupBy("column", "lower_bound", "upper_bound").agg(F.count_if(out).alias("outliers"))
+    res = joined.groupBy("column", "lower_bound", "upper_bound").agg(F.count_if(out).alias("outliers"))
+    if digits is not None:  # report rounded fences; the count used the exact ones
+        res = res.withColumns({c: rnd(c, digits) for c in ("lower_bound", "upper_bound")})
+    return res
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
@@ -151,7 +157,7 @@ def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataF
                                F.col(uniq[tuple(sorted((a, b)))]).alias("corr"))
                       for a, b in pairs])
     long = wide.select(F.inline(stack))
-    return long.withColumn("corr", F.round("corr", digits))
+    return long.withColumn("corr", rnd("corr", digits))
 
 
 def target_correlation(df: DataFrame, target: str, cols: list[str], digits: int = 6) -> DataFrame:
@@ -183,7 +189,8 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
                           "count")
 
 
-def boxplot_stats(df: DataFrame, col: str, k: float = 1.5, approx: bool = False) -> DataFrame:
+def boxplot_stats(df: DataFrame, col: str, k: float = 1.5, approx: bool = False,
+                  digits: int | None = None) -> DataFrame:
     """Quartiles, whiskers (extreme points inside the fences), flier count."""
     x = F.col(col).cast("double")
     base = df.where(x.isNotNull()).select(x.alias("x"))
@@ -193,8 +200,9 @@ def boxplot_stats(df: DataFrame, col: str, k: float = 1.5, approx: bool = False)
     q1, med, q3 = q[0], q[1], q[2]
     lo = q1 - k * (q3 - q1)
     hi = q3 + k * (q3 - q1)
+    r = (lambda c: rnd(c, digits)) if digits is not None else (lambda c: c)
     return base.agg(
-        F.first(q1).alias("q1"), F.first(med).alias("median"), F.first(q3).alias("q3"),
+        r(F.first(q1)).alias("q1"), r(F.first(med)).alias("median"), r(F.first(q3)).alias("q3"),
         F.min(F.when(F.col("x") >= lo, F.col("x"))).alias("whisker_low"),
         F.max(F.when(F.col("x") <= hi, F.col("x"))).alias("whisker_high"),
         F.count_if((F.col("x") < lo) | (F.col("x") > hi)).alias("fliers"),

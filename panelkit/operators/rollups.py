@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.numeric import exact_avg, exact_sum, null_nan
+from panelkit.functions.numeric import exact_avg, exact_sum, null_nan, rnd
 
 
 def monthly_rollup(df: DataFrame, keys: list[str], avg_cols: list[str], sum_cols: list[str],
@@ -26,11 +26,11 @@ def monthly_rollup(df: DataFrame, keys: list[str], avg_cols: list[str], sum_cols
     for c in avg_cols:
         x = null_nan(c)
         v = exact_avg(x, decimal_scale) if decimal_scale is not None else F.avg(x)
-        aggs.append(F.round(v, digits).alias(f"{c}_avg"))
+        aggs.append(rnd(v, digits).alias(f"{c}_avg"))
     for c in sum_cols:
         x = null_nan(c)
         v = exact_sum(x, decimal_scale) if decimal_scale is not None else F.sum(x)
-        aggs.append(F.round(v, digits).alias(f"{c}_total"))
+        aggs.append(rnd(v, digits).alias(f"{c}_total"))
     return df.groupBy(*keys).agg(*aggs)
 
 

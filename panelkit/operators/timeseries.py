@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.functions.numeric import rnd
+
 from panelkit.functions.dates import weekday_mon0
 
 
@@ -35,7 +37,7 @@ def rolling_mean(df: DataFrame, keys: list[str], idx: str, cols: list[str], n: i
     """
     ahead = F.explode(F.sequence(F.col(idx) + 1, F.col(idx) + n)).alias(idx)
     spread = df.select(*keys, ahead, *cols)
-    r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    r = (lambda c: rnd(c, digits)) if digits is not None else (lambda c: c)
     means = spread.groupBy(*keys, idx).agg(*[r(F.avg(c)).alias(f"{c}_mean{n}") for c in cols])
     return df.join(means, on=[*keys, idx], how="left")
 
@@ -44,7 +46,7 @@ def year_over_year(df: DataFrame, keys: list[str], idx: str, cols: list[str],
                    digits: int | None = 4) -> DataFrame:
     """D3: ``(x - x_lag12) / x_lag12``; NULL when the base is 0 or missing."""
     lagged = add_lags(df, keys, idx, cols, [12])
-    r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    r = (lambda c: rnd(c, digits)) if digits is not None else (lambda c: c)
     return lagged.withColumns({
         f"{c}_yoy": r(F.try_divide(F.col(c) - F.col(f"{c}_lag12"), F.col(f"{c}_lag12").cast("double")))
         for c in cols})

@@ -92,6 +92,58 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+def sql_rnd(expr: str, digits: int) -> str:
+    """SQL twin of ``functions.numeric.rnd``: ``floor(x * 10^d + 0.5) / 10^d``."""
+    scale = f"{10 ** digits}.0"
+    return f"(floor(CAST({expr} AS DOUBLE) * {scale} + 0.5) / {scale})"
+
+
+def sql_sorted_list(x: str) -> str:
+    """Aggregate: the non-NULL values of ``x`` as a sorted list."""
+    return f"list_sort(list({x}) FILTER (WHERE {x} IS NOT NULL))"
+
+
+def sql_quantile(v: str, p: float) -> str:
+    """Exact linear-interpolated quantile of a sorted list ``v`` with the
+    same double arithmetic as Spark's ``percentile``:
+    ``pos = (n-1)*p``; ``(ceil(pos)-pos)*lo + (pos-floor(pos))*hi``."""
+    pos = f"(CAST(len({v}) - 1 AS DOUBLE) * CAST({p!r} AS DOUBLE))"
+    lo = f"{v}[CAST(floor({pos}) AS BIGINT) + 1]"
+    hi = f"{v}[CAST(ceil({pos}) AS BIGINT) + 1]"
+    return (f"(CASE WHEN floor({pos}) = ceil({pos}) OR {lo} = {hi} THEN CAST({lo} AS DOUBLE) "
+            f"ELSE (ceil({pos}) - {pos}) * {lo} + ({pos} - floor({pos})) * {hi} END)")
+
+
+def rewrite_round(sql: str) -> str:
+    """Rewrite every ``round(expr, d)`` call of an oracle query into
+    :func:`sql_rnd` so both engines round ties the same way."""
+    import re
+    out, i = [], 0
+    pat = re.compile(r"(?<![A-Za-z0-9_])round\(", re.IGNORECASE)
+    while True:
+        m = pat.search(sql, i)
+        if not m:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:m.start()])
+        depth, j, comma = 1, m.end(), None
+        while depth:
+            ch = sql[j]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = j
+            elif ch == "'":
+                j = sql.index("'", j + 1)
+            j += 1
+        inner = rewrite_round(sql[m.end():comma])
+        digits = int(sql[comma + 1:j - 1].strip())
+        out.append(sql_rnd(inner, digits))
+        i = j
+
+
 def _order(names) -> list[str]:
     seen: list[str] = []
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions.dates import ym_of
-from panelkit.functions.numeric import exact_sum
+from panelkit.functions.numeric import exact_sum, rnd
 from panelkit.operators.joins import Side, feature_panel, lookup
 from panelkit.operators.rollups import monthly_rollup, parent_rollup, scoped_counts
 from panelkit.plans.tables import table
@@ -118,8 +118,8 @@ def target_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy("entity", ym_of("o_orderdate").alias("year_month")).agg(
         F.count(F.lit(1)).cast("double").alias("target_lines"),
         F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))).alias("target_qty"),
-        F.round(F.avg("l_quantity"), 4).alias("target_avg_qty"),
-        F.round(exact_sum("l_discount", 2) / F.count(F.lit(1)), 4).alias("target_discount_avg"))
+        rnd(F.avg("l_quantity"), 4).alias("target_avg_qty"),
+        rnd(exact_sum("l_discount", 2) / F.count(F.lit(1)), 4).alias("target_discount_avg"))
 
 
 def monthly_feature_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelkit.functions import dates as D
+from panelkit.functions.numeric import rnd
 from panelkit.operators import features as FE
 from panelkit.operators import models as MO
 from panelkit.operators import timeseries as TS
@@ -108,7 +109,7 @@ def weekly_mean(spark, sf):
     d = P.daily(spark, sf)
     yw = (F.year(F.date_add(F.date_sub("day", F.weekday("day")), 3)) * 100 + F.weekofyear("day"))
     return d.groupBy("entity", yw.alias("iso_year_week")).agg(
-        F.round(exact_avg("price", 2), 4).alias("price_week_avg"), F.count(F.lit(1)).alias("orders"))
+        rnd(exact_avg("price", 2), 4).alias("price_week_avg"), F.count(F.lit(1)).alias("orders"))
 
 
 @register("ratio_features", with_blocks("""
@@ -198,7 +199,7 @@ def ridge_baseline(spark, sf):
     model = LinearRegression(featuresCol="features", labelCol=P.TARGET, regParam=0.1,
                              elasticNetParam=0.0).fit(tr)
     return model.transform(te).select("entity", "year_month", P.TARGET,
-                                      F.round("prediction", 4).alias("prediction"))
+                                      rnd("prediction", 4).alias("prediction"))
 
 
 @register("stream_daily_window", """

@@ -5,12 +5,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelkit.functions.numeric import rnd
+
 from panelkit.functions import dates as D
 from panelkit.functions import numeric as N
 from panelkit.operators import features as FE
 from panelkit.plans import panel as P
 from panelkit.plans.oracle_blocks import (DISCOUNT_EDGES, DISCOUNT_LABELS, PRICE_EDGES, PRICE_LABELS,
                                           SEGMENT_LABELS, with_blocks)
+from panelkit.plans.oracle_blocks import sql_quantile as Q
+from panelkit.plans.oracle_blocks import sql_sorted_list as L
 from panelkit.plans.registry import register
 
 NUMERIC_FEATURES = ["days", "price_avg", "price_n_avg", "price_total", "price_n_total", "national_count",
@@ -46,11 +50,12 @@ def fixed_buckets(spark, sf):
                                          "discount_bucket")
 
 
-@register("quantile_segments", with_blocks("""
+@register("quantile_segments", with_blocks(f"""
     SELECT entity, year_month, target_qty,
-           CASE WHEN target_qty <= q[1] THEN 'low' WHEN target_qty <= q[2] THEN 'medium'
-                WHEN target_qty <= q[3] THEN 'high' ELSE 'very_high' END AS demand_segment
-    FROM model, (SELECT quantile_cont(target_qty, [0.25, 0.5, 0.75]) AS q FROM model)""", "model"))
+           CASE WHEN target_qty <= q1 THEN 'low' WHEN target_qty <= q2 THEN 'medium'
+                WHEN target_qty <= q3 THEN 'high' ELSE 'very_high' END AS demand_segment
+    FROM model, (SELECT {Q('l', 0.25)} AS q1, {Q('l', 0.5)} AS q2, {Q('l', 0.75)} AS q3
+                 FROM (SELECT {L('target_qty')} AS l FROM model))""", "model"))
 def quantile_segments(spark, sf):
     m = FE.quantile_bucket(model_frame(spark, sf), P.TARGET, SEGMENT_LABELS, "demand_segment")
     return m.select("entity", "year_month", P.TARGET, "demand_segment")
@@ -83,8 +88,8 @@ def split_summary(spark, sf):
     is_te = F.col("split") == "test"
     return s.agg(
         F.count_if(is_tr).alias("train_rows"), F.count_if(is_te).alias("test_rows"),
-        F.round(F.count_if(is_tr) / F.count(F.lit(1)), 3).alias("train_pct"),
-        F.round(F.count_if(is_te) / F.count(F.lit(1)), 3).alias("test_pct"),
+        rnd(F.count_if(is_tr) / F.count(F.lit(1)), 3).alias("train_pct"),
+        rnd(F.count_if(is_te) / F.count(F.lit(1)), 3).alias("test_pct"),
         F.min(F.when(is_tr, F.col("year_month"))).alias("train_month_min"),
         F.max(F.when(is_tr, F.col("year_month"))).alias("train_month_max"),
         F.min(F.when(is_te, F.col("year_month"))).alias("test_month_min"),
@@ -95,18 +100,17 @@ def split_summary(spark, sf):
 IMPUTE_COLS = ["price_n_avg", "price_n_total"]
 
 
-@register("median_impute", with_blocks("""
-    SELECT entity, year_month,
-           round(coalesce(price_n_avg, (SELECT quantile_cont(price_n_avg, 0.5) FROM split WHERE split = 'train')), 4)
-             AS price_n_avg,
-           round(coalesce(price_n_total, (SELECT quantile_cont(price_n_total, 0.5) FROM split WHERE split = 'train')), 4)
-             AS price_n_total
-    FROM split""", "split"))
+@register("median_impute", with_blocks(f"""
+    SELECT entity, year_month, round(coalesce(price_n_avg, m.a), 4) AS price_n_avg,
+           round(coalesce(price_n_total, m.t), 4) AS price_n_total
+    FROM split, (SELECT {Q('la', 0.5)} AS a, {Q('lt', 0.5)} AS t
+                 FROM (SELECT {L('price_n_avg')} AS la, {L('price_n_total')} AS lt FROM split
+                       WHERE split = 'train')) m""", "split"))
 def median_impute(spark, sf):
     s = split_frame(spark, sf)
     med = FE.fit_medians(s.where(F.col("split") == "train"), IMPUTE_COLS)
     out = FE.apply_medians(s, med)
-    return out.select("entity", "year_month", *[F.round(c, 4).alias(c) for c in IMPUTE_COLS])
+    return out.select("entity", "year_month", *[rnd(c, 4).alias(c) for c in IMPUTE_COLS])
 
 
 @register("constant_impute", with_blocks("""
@@ -134,7 +138,7 @@ def standard_scale(spark, sf):
     s = split_frame(spark, sf)
     sc = FE.fit_scaler(s.where(F.col("split") == "train"), SCALE_COLS)
     out = FE.apply_scaler(s, sc, SCALE_COLS)
-    return out.select("entity", "year_month", *[F.round(c, 6).alias(c) for c in SCALE_COLS])
+    return out.select("entity", "year_month", *[rnd(c, 6).alias(c) for c in SCALE_COLS])
 
 
 @register("one_hot", with_blocks("""
@@ -158,9 +162,12 @@ MODEL_COLUMNS_SQL_ORDER = ["entity", "year_month"] + NUMERIC_FEATURES + ["region
                                                                           "discount_bucket", P.TARGET]
 
 
-@register("model_matrix_columns", with_blocks(
-    f"SELECT {', '.join(MODEL_COLUMNS_SQL_ORDER)} FROM model", "model"))
+_MODEL_SQL_COLS = [f"round({c}, 6) AS {c}" if c == "ship_qty_log1p" else c for c in MODEL_COLUMNS_SQL_ORDER]
+
+
+@register("model_matrix_columns", with_blocks(f"SELECT {', '.join(_MODEL_SQL_COLS)} FROM model", "model"))
 def model_matrix_columns(spark, sf):
     """The modelling columns after the leakage-safe exclusions."""
     m = FE.model_columns(model_frame(spark, sf), EXCLUDED)
-    return m.select(*MODEL_COLUMNS_SQL_ORDER)
+    # log1p differs from ln(1 + x) in the last bit between engines: round it.
+    return m.withColumn("ship_qty_log1p", rnd("ship_qty_log1p", 6)).select(*MODEL_COLUMNS_SQL_ORDER)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators import profile as PR
 from panelkit.plans import panel as P
-from panelkit.plans.oracle_blocks import with_blocks
+from panelkit.plans.oracle_blocks import sql_quantile as Q, sql_sorted_list as L, with_blocks
 from panelkit.plans.registry import register
 from panelkit.plans.tables import table
 
@@ -120,12 +120,12 @@ LINE_STATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @register("descriptive_stats", f"""
-    SELECT column_name AS "column", count(value) AS count, round(avg(value), 4) AS mean,
-           round(stddev_samp(value), 4) AS std, min(value) AS min,
-           round(quantile_cont(value, 0.05), 4) AS p5, round(quantile_cont(value, 0.25), 4) AS p25,
-           round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.75), 4) AS p75,
-           round(quantile_cont(value, 0.95), 4) AS p95, max(value) AS max
-    FROM ({_unpivot_sql('lineitem', LINE_STATS)}) GROUP BY column_name""")
+    SELECT column_name AS "column", n AS count, round(mean, 4) AS mean, round(std, 4) AS std, mn AS min,
+           round({Q('v', 0.05)}, 4) AS p5, round({Q('v', 0.25)}, 4) AS p25, round({Q('v', 0.5)}, 4) AS p50,
+           round({Q('v', 0.75)}, 4) AS p75, round({Q('v', 0.95)}, 4) AS p95, mx AS max
+    FROM (SELECT column_name, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS std,
+                 min(value) AS mn, max(value) AS mx, {L('value')} AS v
+          FROM ({_unpivot_sql('lineitem', LINE_STATS)}) GROUP BY column_name)""")
 def descriptive_stats(spark, sf):
     return PR.describe_columns(table(spark, sf, "lineitem"), LINE_STATS, digits=4)
 
@@ -149,21 +149,21 @@ OUTLIER_COLS = ["target_qty", "target_lines", "price_avg", "ship_qty", "ship_val
 
 @register("iqr_outliers", with_blocks(f"""
     WITH v AS ({_unpivot_sql('panel', OUTLIER_COLS)}),
-    b AS (SELECT column_name, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
-          FROM v GROUP BY column_name)
-    SELECT b.column_name AS "column", b.q1 - 1.5 * (b.q3 - b.q1) AS lower_bound,
-           b.q3 + 1.5 * (b.q3 - b.q1) AS upper_bound,
+    b AS (SELECT column_name, {Q('l', 0.25)} AS q1, {Q('l', 0.75)} AS q3
+          FROM (SELECT column_name, {L('value')} AS l FROM v GROUP BY column_name))
+    SELECT b.column_name AS "column", round(b.q1 - 1.5 * (b.q3 - b.q1), 6) AS lower_bound,
+           round(b.q3 + 1.5 * (b.q3 - b.q1), 6) AS upper_bound,
            count(*) FILTER (WHERE v.value < b.q1 - 1.5 * (b.q3 - b.q1)
                              OR v.value > b.q3 + 1.5 * (b.q3 - b.q1)) AS outliers
     FROM v JOIN b ON v.column_name = b.column_name GROUP BY ALL""", "panel"))
 def iqr_outliers(spark, sf):
-    return PR.iqr_outliers(_panel(spark, sf), OUTLIER_COLS)
+    return PR.iqr_outliers(_panel(spark, sf), OUTLIER_COLS, digits=6)
 
 
-@register("boxplot_stats", """
-    WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS med,
-                      quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)
-    SELECT q.q1, q.med AS median, q.q3,
+@register("boxplot_stats", f"""
+    WITH q AS (SELECT {Q('l', 0.25)} AS q1, {Q('l', 0.5)} AS med, {Q('l', 0.75)} AS q3
+               FROM (SELECT {L('l_extendedprice')} AS l FROM lineitem))
+    SELECT round(q.q1, 6) AS q1, round(q.med, 6) AS median, round(q.q3, 6) AS q3,
            min(l_extendedprice) FILTER (WHERE l_extendedprice >= q.q1 - 1.5 * (q.q3 - q.q1)) AS whisker_low,
            max(l_extendedprice) FILTER (WHERE l_extendedprice <= q.q3 + 1.5 * (q.q3 - q.q1)) AS whisker_high,
            count(*) FILTER (WHERE l_extendedprice < q.q1 - 1.5 * (q.q3 - q.q1)
@@ -171,7 +171,7 @@ def iqr_outliers(spark, sf):
            count(*) AS n
     FROM lineitem, q WHERE l_extendedprice IS NOT NULL GROUP BY q.q1, q.med, q.q3""")
 def boxplot_stats(spark, sf):
-    return PR.boxplot_stats(table(spark, sf, "lineitem"), "l_extendedprice")
+    return PR.boxplot_stats(table(spark, sf, "lineitem"), "l_extendedprice", digits=6)
 
 
 @register("histogram_bins", with_blocks("""

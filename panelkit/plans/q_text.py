@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelkit.functions.numeric import rnd
+
 from panelkit.functions import dates as D
 from panelkit.functions import numeric as N
 from panelkit.functions import text as X
@@ -245,9 +247,9 @@ def truncating_cast(spark, sf):
     FROM customer""")
 def numeric_transforms(spark, sf):
     c = table(spark, sf, "customer")
-    return c.select("c_custkey", F.round(N.log1p_clipped("c_acctbal"), 6).alias("acctbal_log1p"),
-                    F.round(N.sqrt_clipped("c_acctbal"), 6).alias("acctbal_sqrt"),
-                    F.round(F.pow("c_acctbal", 2), 4).alias("acctbal_sq"))
+    return c.select("c_custkey", rnd(N.log1p_clipped("c_acctbal"), 6).alias("acctbal_log1p"),
+                    rnd(N.sqrt_clipped("c_acctbal"), 6).alias("acctbal_sqrt"),
+                    rnd(F.pow("c_acctbal", 2), 4).alias("acctbal_sq"))
 
 
 @register("json_field_default", """

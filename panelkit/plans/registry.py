@@ -19,7 +19,8 @@ def register(name: str, sql: str | None):
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = (fn, sql)
+        from panelkit.plans.oracle_blocks import rewrite_round
+        REGISTRY[name] = (fn, rewrite_round(sql) if sql else None)
         return fn
     return deco
 

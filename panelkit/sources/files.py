@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from panelkit.functions.numeric import rnd
 from pyspark.sql import types as T
 
 from panelkit.functions.text import _col
@@ -90,7 +92,7 @@ def inventory_summary(df: DataFrame, source_col: str, size_col: str, name_col: s
 
     totals = df.groupBy(source_col).agg(
         F.count(F.lit(1)).alias("files"),
-        F.round(F.sum(size_col) / 1024.0 / 1024.0, 2).alias("size_mb"))
+        rnd(F.sum(size_col) / 1024.0 / 1024.0, 2).alias("size_mb"))
     first = top_k(df.select(source_col, name_col), [source_col], [F.asc(name_col)], k, "__rk")
     examples = first.groupBy(source_col).agg(
         F.array_join(F.array_sort(F.collect_list(name_col)), ", ").alias("examples"))
