@@ -29,28 +29,31 @@ DATA_SHEET_HEAD = [
 ]
 
 
+# Block 2 lists suppliers in descending key order from this row down; the
+# TOTAL row sits below every data row. Keys must stay below REVERSE_BASE.
+REVERSE_BASE = 1_000_000_000
+TOTAL_ROW = 2_000_000_000
+
+
 def render_cells(spark, sf):
     sm = P.supplier_months(spark, sf)
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("supplier_key"), "s_name")
-    maxkey = s.select(F.max("supplier_key")).scalar()
     data = (sm.join(s, "supplier_key")
-              .withColumn("source_file", F.concat(F.lit("traffic_"), "year_month", F.lit(".xlsx")))
-              .withColumn("__maxkey", maxkey))
+              .withColumn("source_file", F.concat(F.lit("traffic_"), "year_month", F.lit(".xlsx"))))
     digits = F.element_at(F.split("s_name", "#"), -1)
     key = F.col("supplier_key").cast("int")
-    mk = F.col("__maxkey").cast("int")
     cell = lambda r, c, v: F.struct(r.alias("row"), F.lit(c).alias("col"), v.cast("string").alias("value"))
     body = data.select("source_file", F.inline(F.array(
         cell(F.lit(4) + key, 0, F.concat(F.lit("Supplier - "), digits)),
         cell(F.lit(4) + key, 1, F.col("ship_qty")),
-        cell(F.lit(4) + mk - key, 3, F.concat(F.lit("supplier/"), digits, F.lit(" (**)"))),
-        cell(F.lit(4) + mk - key, 4, F.col("ship_lines")),
+        cell(F.lit(REVERSE_BASE) - key, 3, F.concat(F.lit("supplier/"), digits, F.lit(" (**)"))),
+        cell(F.lit(REVERSE_BASE) - key, 4, F.col("ship_lines")),
         cell(F.lit(4) + key, 6, F.concat(F.lit("SUPPLIER  -  "), digits)),
         cell(F.lit(4) + key, 8, F.when(F.col("ship_value") != 0, F.col("ship_value"))),
     )))
-    totals = data.groupBy("source_file", "__maxkey").agg(
+    totals = data.groupBy("source_file").agg(
         F.sum("ship_qty").alias("q"), F.sum("ship_lines").alias("l"), F.sum("ship_value").alias("v"))
-    trow = F.lit(5) + F.col("__maxkey").cast("int")
+    trow = F.lit(TOTAL_ROW)
     total_cells = totals.select("source_file", F.inline(F.array(
         cell(trow, 0, F.lit("Total general")), cell(trow, 1, F.col("q")),
         cell(trow, 3, F.lit("TOTAL")), cell(trow, 4, F.col("l")),
@@ -75,23 +78,22 @@ def _sql_cells() -> str:
                 f"v.t AS value FROM files f, (VALUES {vals}) v(r, c, t)")
     return f"""
     WITH sm AS (SELECT m.*, s.s_name, 'traffic_' || m.year_month || '.xlsx' AS source_file,
-                       CAST(m.supplier_key AS INTEGER) AS k, split_part(s.s_name, '#', -1) AS digits,
-                       (SELECT CAST(max(s_suppkey) AS INTEGER) FROM supplier) AS mk
+                       CAST(m.supplier_key AS INTEGER) AS k, split_part(s.s_name, '#', -1) AS digits
                 FROM sup_month m JOIN supplier s ON m.supplier_key = s.s_suppkey),
     files AS (SELECT DISTINCT source_file FROM sm),
     body AS (
       SELECT source_file, 4 + k AS row, 0 AS col, 'Supplier - ' || digits AS value FROM sm
       UNION ALL SELECT source_file, 4 + k, 1, CAST(ship_qty AS VARCHAR) FROM sm
-      UNION ALL SELECT source_file, 4 + mk - k, 3, 'supplier/' || digits || ' (**)' FROM sm
-      UNION ALL SELECT source_file, 4 + mk - k, 4, CAST(ship_lines AS VARCHAR) FROM sm
+      UNION ALL SELECT source_file, {REVERSE_BASE} - k, 3, 'supplier/' || digits || ' (**)' FROM sm
+      UNION ALL SELECT source_file, {REVERSE_BASE} - k, 4, CAST(ship_lines AS VARCHAR) FROM sm
       UNION ALL SELECT source_file, 4 + k, 6, 'SUPPLIER  -  ' || digits FROM sm
       UNION ALL SELECT source_file, 4 + k, 8, CASE WHEN ship_value <> 0 THEN CAST(ship_value AS VARCHAR) END FROM sm
-      UNION ALL SELECT source_file, 5 + max(mk), 0, 'Total general' FROM sm GROUP BY source_file
-      UNION ALL SELECT source_file, 5 + max(mk), 1, CAST(sum(ship_qty) AS VARCHAR) FROM sm GROUP BY source_file
-      UNION ALL SELECT source_file, 5 + max(mk), 3, 'TOTAL' FROM sm GROUP BY source_file
-      UNION ALL SELECT source_file, 5 + max(mk), 4, CAST(sum(ship_lines) AS VARCHAR) FROM sm GROUP BY source_file
-      UNION ALL SELECT source_file, 5 + max(mk), 6, 'Total' FROM sm GROUP BY source_file
-      UNION ALL SELECT source_file, 5 + max(mk), 8, CAST(sum(ship_value) AS VARCHAR) FROM sm GROUP BY source_file)
+      UNION ALL SELECT source_file, {TOTAL_ROW}, 0, 'Total general' FROM sm GROUP BY source_file
+      UNION ALL SELECT source_file, {TOTAL_ROW}, 1, CAST(sum(ship_qty) AS VARCHAR) FROM sm GROUP BY source_file
+      UNION ALL SELECT source_file, {TOTAL_ROW}, 3, 'TOTAL' FROM sm GROUP BY source_file
+      UNION ALL SELECT source_file, {TOTAL_ROW}, 4, CAST(sum(ship_lines) AS VARCHAR) FROM sm GROUP BY source_file
+      UNION ALL SELECT source_file, {TOTAL_ROW}, 6, 'Total' FROM sm GROUP BY source_file
+      UNION ALL SELECT source_file, {TOTAL_ROW}, 8, CAST(sum(ship_value) AS VARCHAR) FROM sm GROUP BY source_file)
     SELECT source_file, 'Datos' AS sheet_name, 1 AS sheet_index, CAST(row AS INTEGER) AS row,
            CAST(col AS INTEGER) AS col, value FROM body
     UNION ALL {lit(DATA_SHEET_HEAD, 'Datos', 1)}
