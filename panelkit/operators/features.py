@@ -205,3 +205,14 @@ def expanding_folds(df: DataFrame, time_col: str, k: int) -> DataFrame:
              .when((pos <= (F.col("fold") + 1) * size) | ((F.col("fold") == k) & (pos <= n)), F.lit("test")))
     tagged = tagged.withColumn("role", role).where(F.col("role").isNotNull()).drop("month_pos")
     return df.join(F.broadcast(tagged), on=time_col, how="inner")
+
+
+def preview(df: DataFrame, names: list[str], n: int = 5, order: list[str] | None = None,
+            features: str = "features", keep: list[str] | None = None) -> DataFrame:
+    """M6: the first ``n`` prepared rows with one named column per feature
+    (``vector_to_array`` keeps the work on the executors)."""
+    from pyspark.ml.functions import vector_to_array
+
+    arr = vector_to_array(F.col(features))
+    base = df.orderBy(*order).limit(n) if order else df.limit(n)
+    return base.select(*(keep or []), *[arr[i].alias(name) for i, name in enumerate(names)])

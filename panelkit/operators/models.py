@@ -17,7 +17,10 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, digits: int =
     y = F.col(label).cast("double")
     p = F.col(prediction).cast("double")
     base = df.where(y.isNotNull() & p.isNotNull())
-    mean = base.select(F.avg(y)).scalar()
+    # The mean is attached once as a column (a scalar subquery may not sit
+    # inside an aggregate when its plan holds non-deterministic model UDFs).
+    base = base.withColumn("__mean", base.select(F.avg(y)).scalar())
+    mean = F.col("__mean")
     err = y - p
     return base.agg(
         F.count(F.lit(1)).alias("n"),

@@ -61,3 +61,14 @@ def register_catalog(spark: SparkSession, root: str) -> list[str]:
         spark.sql(create_table_sql(name, f"{root.rstrip('/')}/{rel}", ddl))
         done.append(name)
     return done
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
+               mode: str = "overwrite", num_partitions: int | None = None) -> None:
+    """Publish a table to a relational store (overwrite load).
+
+    ``num_partitions`` caps concurrent connections (``coalesce``); the
+    driver class must be on the classpath. Not exercised offline.
+    """
+    out = df.coalesce(num_partitions) if num_partitions else df
+    out.write.jdbc(url=url, table=table, mode=mode, properties=properties or {})

@@ -139,3 +139,25 @@ def test_expanding_folds_no_leak(spark):
         te = {r.ym for r in t if r.fold == f and r.role == "test"}
         assert tr and te and max(tr) < min(te)
     assert {r.ym for r in t if r.fold == 3 and r.role == "test"} == {"2024-10", "2024-11", "2024-12"}
+
+
+def test_fit_regressors_and_preview(spark):
+    from panelkit.operators.features import preview
+
+    rows = [(f"2024-{m:02d}", p, float(m), float(m * 3 + (1 if p == "A" else 0)), float(m * 30))
+            for m in range(1, 13) for p in ("A", "B")]
+    df = spark.createDataFrame(rows, "ym string, prov string, x double, z double, y double")
+    tr, te = FE.train_test(df, "ym", 0.75)
+    trx, tex, names = FE.prepare_matrix(tr, te, ["x", "z"], ["prov"])
+    models = MO.fit_regressors(trx, "features", "y")
+    assert set(models) == {"ridge", "random_forest", "gbt"}
+    scored = models["ridge"].transform(tex)
+    m = MO.regression_metrics(scored, "y", "prediction").first()
+    assert m.n == 6 and m.r2 > 0.5
+    pv = preview(trx, names, 3, order=["ym", "prov"], keep=["ym"]).collect()
+    assert len(pv) == 3 and list(pv[0].asDict()) == ["ym", "x", "z", "prov_A", "prov_B"]
+
+
+def test_numeric_columns_excludes_booleans(spark):
+    df = spark.createDataFrame([(1, 2.0, True, "a")], "i int, d double, b boolean, s string")
+    assert PR.numeric_columns(df) == ["i", "d"]
