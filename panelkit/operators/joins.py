@@ -1,10 +1,13 @@
 """Joins and keyed selection.
 
-Broadcast policy: a side is broadcast only when its size is proven, either
-because it is a fixed dimension or because :func:`bounded_broadcast` has
-checked it with a bounded ``limit(n+1).count()``. Everything else is left to
-the optimizer: AQE converts a sort-merge join to a broadcast join only from
-measured shuffle sizes, and splits skewed partitions of a hot key.
+Broadcast policy: only sides with a proven size are broadcast. By default
+that proof is Spark's own: a side is broadcast when its size estimate (file
+statistics, or AQE's measured shuffle output at run time) is below
+``spark.sql.autoBroadcastJoinThreshold``; otherwise the join shuffles, and
+AQE splits skewed partitions of a hot key. Literal dimensions and tables
+bounded by construction are hinted explicitly where they are built.
+``bounded_broadcast`` is the explicit opt-in when no estimate exists: it
+checks the row count with a bounded ``limit(n+1).count()``.
 """
 
 from __future__ import annotations
@@ -31,14 +34,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: list[str] | str, defaults: dict[str, Any] | None = None,
-           max_dim_rows: int = DIM_MAX_ROWS) -> DataFrame:
+           max_dim_rows: int | None = None) -> DataFrame:
     """Left join to a dimension; missing values take ``defaults``.
 
     A default may be a literal or the name of a column of ``df`` (the
-    reference falls back to the key itself).
+    reference falls back to the key itself). ``max_dim_rows`` forces a
+    broadcast after a bounded row-count check; by default Spark's size-checked
+    broadcast decides.
     """
     on = [on] if isinstance(on, str) else list(on)
-    out = df.join(bounded_broadcast(dim, max_dim_rows), on=on, how="left")
+    side = bounded_broadcast(dim, max_dim_rows) if max_dim_rows else dim
+    out = df.join(side, on=on, how="left")
     for c, d in (defaults or {}).items():
         fill = F.col(d) if isinstance(d, str) and d in df.columns else F.lit(d)
         out = out.withColumn(c, F.coalesce(F.col(c), fill))
@@ -75,8 +81,8 @@ def resolve_alias(df: DataFrame, col: str, aliases: DataFrame, canonical: DataFr
     c = canonical.select(normalize_text("name").alias(key), F.col("name").alias("__canon"))
     c = c.groupBy(key).agg(F.min("__canon").alias("__canon"))
     res = (df.withColumn(key, normalize_text(col))
-             .join(bounded_broadcast(a), on=key, how="left")
-             .join(bounded_broadcast(c), on=key, how="left"))
+             .join(a, on=key, how="left")
+             .join(c, on=key, how="left"))
     value = (F.when(F.col(key) == "", F.lit(""))
               .otherwise(F.coalesce("__alias_target", "__canon", F.trim(F.col(col).cast("string")))))
     return res.withColumn(out, value).drop(key, "__alias_target", "__canon")

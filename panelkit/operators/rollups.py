@@ -15,12 +15,14 @@ from panelkit.functions.numeric import exact_avg, exact_sum, null_nan, rnd
 
 def monthly_rollup(df: DataFrame, keys: list[str], avg_cols: list[str], sum_cols: list[str],
                    count_as: str = "days", digits: int = 4,
-                   decimal_scale: int | None = None) -> DataFrame:
+                   decimal_scale: int | None = None, extra=None) -> DataFrame:
     """A1: daily -> monthly. ``count(*)`` rows, ``<c>_avg`` for averaged
     columns, ``<c>_total`` for summed ones; NULL/NaN skipped; all-NULL -> NULL.
 
     ``decimal_scale`` sums through DECIMAL so results do not depend on the
-    order partitions are merged (use it for money-like doubles).
+    order partitions are merged (use it for money-like doubles). ``extra``
+    maps further output names to aggregate expressions computed in the same
+    pass (e.g. conditional counts that later feed parent rollups).
     """
     aggs = [F.count(F.lit(1)).alias(count_as)]
     for c in avg_cols:
@@ -31,6 +33,7 @@ def monthly_rollup(df: DataFrame, keys: list[str], avg_cols: list[str], sum_cols
         x = null_nan(c)
         v = exact_sum(x, decimal_scale) if decimal_scale is not None else F.sum(x)
         aggs.append(rnd(v, digits).alias(f"{c}_total"))
+    aggs += [e.alias(n) for n, e in (extra or {}).items()]
     return df.groupBy(*keys).agg(*aggs)
 
 

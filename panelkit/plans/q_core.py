@@ -80,7 +80,8 @@ MAPPED_NATIONS_SQL = """(SELECT n.n_nationkey AS c_nationkey, n.n_name FROM nati
     FROM customer c LEFT JOIN {MAPPED_NATIONS_SQL} m ON c.c_nationkey = m.c_nationkey""")
 def dimension_lookup(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    out = J.lookup(c, mapped_nations(spark, sf), "c_nationkey")
+    # The mapped-nation dimension is checked explicitly (bounded row count).
+    out = J.lookup(c, mapped_nations(spark, sf), "c_nationkey", max_dim_rows=10_000)
     return out.select("c_custkey", "c_nationkey",
                       F.coalesce("n_name", F.col("c_nationkey").cast("string")).alias("nation_name"))
 
@@ -109,7 +110,7 @@ def alias_inputs(spark, sf):
     accented, and an unknown suffix (passes through raw)."""
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    j = c.join(J.bounded_broadcast(n), "c_nationkey")
+    j = c.join(n, "c_nationkey")
     seg = F.col("c_mktsegment")
     raw = (F.when(seg == "BUILDING", F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")))
             .when(seg == "AUTOMOBILE", F.regexp_replace("n_name", "_", " "))
