@@ -94,14 +94,13 @@ def normalize_entity_name(c) -> Column:
 def title_case(c) -> Column:
     """F-S3: Python ``str.title``: every run of letters is capitalised.
 
-    ``initcap`` only capitalises after spaces, so split into letter and
-    non-letter runs and capitalise each run.
+    ``initcap`` only starts a word after a space, so a space is appended to
+    every non-letter, ``initcap`` runs, and the added spaces are removed
+    again (each non-letter is followed by exactly one added space, so the
+    left-to-right removal pairs them up). Three regex passes, no arrays.
     """
-    runs = F.regexp_extract_all(_col(c), F.lit("(\\p{L}+|\\P{L}+)"), 1)
-    return F.array_join(
-        F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)),
-                                             F.lower(F.substring(r, 2, 1 << 30)))),
-        "")
+    spaced = F.regexp_replace(F.lower(_col(c)), "(\\P{L})", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), "(\\P{L}) ", "$1")
 
 
 def slugify(c) -> Column:

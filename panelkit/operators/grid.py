@@ -75,7 +75,8 @@ def pair_blocks(cells: DataFrame, titles: DataFrame, expected: int = 3, metrics:
     mapped onto ``metrics``. Layout errors (not exactly ``expected`` name
     columns, fewer TOTAL columns, or a name column without a TOTAL after it)
     fail the job when ``strict``; otherwise such files are dropped."""
-    head = cells.join(titles, ["source_file", "sheet_index"]).where(F.col("row") == F.col("title_row") + 1)
+    header_rows = titles.select("source_file", "sheet_index", "title_row", (F.col("title_row") + 1).alias("row"))
+    head = cells.join(header_rows, ["source_file", "sheet_index", "row"])
     norm = normalize_text("value")
     head = head.select("source_file", "sheet_index", "title_row", "col",
                        norm.contains(NAME_HEADER).alias("is_name"), (norm == TOTAL_HEADER).alias("is_total"))
@@ -103,7 +104,10 @@ def extract_blocks(cells: DataFrame, pairs: DataFrame, strict: bool = False) ->
     name keeps its last row. Blocks without a TOTAL row fail when ``strict``
     and are dropped otherwise."""
     c = cells.select("source_file", "sheet_index", "row", "col", "value")
-    names = (c.join(pairs, ["source_file", "sheet_index"]).where(F.col("col") == F.col("name_col"))
+    # The block's name column is part of the equi-join key: each cell meets
+    # at most one block instead of every block of its file.
+    keyed = pairs.withColumn("col", F.col("name_col"))
+    names = (c.join(keyed, ["source_file", "sheet_index", "col"])
               .where(F.col("row") >= F.col("title_row") + 3))
     ends = (names.where(normalize_text("value").startswith("TOTAL"))
                  .groupBy("source_file", "block").agg(F.min("row").alias("end_row")))

@@ -181,3 +181,15 @@ PANEL_SCHEMA = [
 ]
 PANEL_NUMERIC = [c for c, t in PANEL_SCHEMA if t in ("bigint", "double")]
 TARGET = "target_qty"
+
+
+def gold_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel as stored gold table for analysis queries (materialized once)."""
+    from panelkit.plans.tables import shared_table
+    return shared_table(spark, sf_dir, "gold_panel", lambda: monthly_feature_panel(spark, sf_dir))
+
+
+def silver_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly driver table as stored silver table (materialized once)."""
+    from panelkit.plans.tables import shared_table
+    return shared_table(spark, sf_dir, "silver_monthly", lambda: monthly(daily(spark, sf_dir)))

@@ -100,7 +100,7 @@ def unmapped_keys(spark, sf):
     "monthly", "target"))
 def pending_keys(spark, sf):
     """Planned (entity, month) keys that have not landed on the target side."""
-    plan = P.monthly(P.daily(spark, sf)).select(*P.PANEL_KEYS)
+    plan = P.silver_monthly(spark, sf).select(*P.PANEL_KEYS)
     landed = P.target_side(spark, sf)
     return J.drop_known(plan, landed, P.PANEL_KEYS)
 
@@ -279,5 +279,5 @@ def head_rows(spark, sf):
 @register("sorted_panel", with_blocks(
     "SELECT entity, year_month, days, price_avg FROM monthly ORDER BY entity, year_month", "monthly"))
 def sorted_panel(spark, sf):
-    return P.monthly(P.daily(spark, sf)).select("entity", "year_month", "days", "price_avg") \
+    return P.silver_monthly(spark, sf).select("entity", "year_month", "days", "price_avg") \
         .orderBy("entity", "year_month")

@@ -18,7 +18,7 @@ KEYS = ["entity"]
 
 
 def _monthly_idx(spark, sf):
-    m = P.monthly(P.daily(spark, sf))
+    m = P.silver_monthly(spark, sf)
     return m.withColumn("month_idx", D.month_index("year_month"))
 
 
@@ -65,7 +65,7 @@ PERIOD = ("1997-01", "1998-12")
 def period_flag(spark, sf):
     """A fixed calendar period flag (the reference's pandemic window, moved
     onto the driver tables' time span)."""
-    m = P.monthly(P.daily(spark, sf))
+    m = P.silver_monthly(spark, sf)
     return m.select("entity", "year_month", D.period_flag("year_month", *PERIOD).alias("in_period"))
 
 
@@ -121,7 +121,7 @@ def weekly_mean(spark, sf):
     FROM panel""", "panel"))
 def ratio_features(spark, sf):
     from panelkit.functions.numeric import safe_ratio
-    p = P.monthly_feature_panel(spark, sf)
+    p = P.gold_panel(spark, sf)
     return p.select("entity", "year_month",
                     safe_ratio("price_total", "ship_value").alias("price_per_ship_value"),
                     safe_ratio(P.TARGET, "ship_qty").alias("target_per_ship_qty"),

@@ -26,7 +26,7 @@ CATEGORICAL_FEATURES = ["entity", "region_code", "price_bucket", "discount_bucke
 def model_frame(spark, sf):
     """Panel rows with a target + calendar parts, transforms and buckets
     (the reference's modelling frame)."""
-    m = P.monthly_feature_panel(spark, sf).dropna(subset=[P.TARGET])
+    m = P.gold_panel(spark, sf).dropna(subset=[P.TARGET])
     m = D.date_parts(m, "year_month")
     return m.withColumns({
         "target_qty_log1p": F.log1p(P.TARGET),

@@ -36,6 +36,12 @@ TOTAL_ROW = 2_000_000_000
 
 
 def render_cells(spark, sf):
+    """The rendered workbooks as a stored cell table (materialized once)."""
+    from panelkit.plans.tables import shared_table
+    return shared_table(spark, sf, "cells", lambda: _render_cells(spark, sf))
+
+
+def _render_cells(spark, sf):
     sm = P.supplier_months(spark, sf)
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("supplier_key"), "s_name")
     data = (sm.join(s, "supplier_key")

@@ -12,7 +12,7 @@ from panelkit.plans.tables import table
 
 
 def _panel(spark, sf):
-    return P.monthly_feature_panel(spark, sf)
+    return P.gold_panel(spark, sf)
 
 
 def _unpivot_sql(src: str, cols: list[str], keep_null: bool = False) -> str:

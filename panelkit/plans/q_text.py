@@ -179,7 +179,7 @@ def source_inventory(spark, sf):
     FROM monthly""", "monthly"))
 def request_plan(spark, sf):
     """S11/F-D4: one request URL and file stem per (entity, month) to fetch."""
-    m = P.monthly(P.daily(spark, sf))
+    m = P.silver_monthly(spark, sf)
     start = D.month_start("year_month")
     end = F.last_day(start)
     params = [("location", F.lower("entity")),
@@ -215,7 +215,7 @@ def calendar_enrichment(spark, sf):
            CAST(CAST(substring(year_month, 6, 2) AS INTEGER) IN (6, 7, 8, 9) AS INTEGER) AS is_high_season
     FROM monthly""", "monthly"))
 def date_decomposition(spark, sf):
-    m = P.monthly(P.daily(spark, sf)).select("entity", "year_month")
+    m = P.silver_monthly(spark, sf).select("entity", "year_month")
     return D.date_parts(m, "year_month")
 
 

@@ -10,3 +10,34 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+_SHARED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def shared_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """An intermediate table (silver/gold) materialized once per application.
+
+    The first use computes ``build()`` and writes it as Parquet under the
+    cluster's shared ``spark.checkpoint.dir``; later uses read that table, as
+    the analysis steps read the stored gold table. Lineage is cut (a lost
+    executor re-reads files instead of recomputing joins), and reads get
+    column pruning and filter pushdown. Without a checkpoint folder the
+    table is cached instead.
+    """
+    import hashlib
+
+    app = spark.sparkContext.applicationId
+    key = (app, sf_dir.rstrip("/"), name)
+    df = _SHARED.get(key)
+    if df is None:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if base:
+            tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+            path = f"{base.rstrip('/')}/panelkit_tables/{app}/{name}-{tag}"
+            build().write.mode("overwrite").parquet(path)
+            df = spark.read.parquet(path)
+        else:
+            df = build().cache()
+        _SHARED[key] = df
+    return df
