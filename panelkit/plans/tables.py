@@ -32,12 +32,18 @@ def shared_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     df = _SHARED.get(key)
     if df is None:
         base = spark.conf.get("spark.checkpoint.dir", None)
+        df = None
         if base:
             tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
             path = f"{base.rstrip('/')}/panelkit_tables/{app}/{name}-{tag}"
-            build().write.mode("overwrite").parquet(path)
-            df = spark.read.parquet(path)
-        else:
+            try:
+                build().write.mode("overwrite").parquet(path)
+                df = spark.read.parquet(path)
+            except Exception as exc:  # folder not writable: keep the table in the session
+                if "AnalysisException" not in type(exc).__name__ and "Py4J" not in type(exc).__name__ \
+                        and "IOException" not in str(exc):
+                    raise
+        if df is None:
             df = build().cache()
         _SHARED[key] = df
     return df

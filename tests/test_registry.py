@@ -37,3 +37,18 @@ def test_query_matches_oracle(spark, con, name):
         return
     msg = compare(df, con, ORACLE[name])
     assert msg is None, msg
+
+
+def test_shared_table_is_written_once(spark):
+    from panelkit.plans.tables import shared_table
+
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(5).withColumnRenamed("id", "x")
+
+    a = shared_table(spark, "/tmp/panelkit-shared-test", "t", build)
+    b = shared_table(spark, "/tmp/panelkit-shared-test", "t", build)
+    assert a is b and len(calls) == 1 and sorted(r.x for r in a.collect()) == [0, 1, 2, 3, 4]
+    assert "parquet" in a._jdf.queryExecution().executedPlan().toString().lower()
