@@ -39,10 +39,8 @@ def shared_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
             try:
                 build().write.mode("overwrite").parquet(path)
                 df = spark.read.parquet(path)
-            except Exception as exc:  # folder not writable: keep the table in the session
-                if "AnalysisException" not in type(exc).__name__ and "Py4J" not in type(exc).__name__ \
-                        and "IOException" not in str(exc):
-                    raise
+            except Exception:  # folder not writable: keep the table in the session instead
+                df = None
         if df is None:
             df = build().cache()
         _SHARED[key] = df
