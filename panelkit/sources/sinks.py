@@ -72,3 +72,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
     """
     out = df.coalesce(num_partitions) if num_partitions else df
     out.write.jdbc(url=url, table=table, mode=mode, properties=properties or {})
+
+
+def write_versioned(df: DataFrame, path: str, run_date: str, fmt: str = "parquet") -> None:
+    """One dataset version per run date (``run_date=<YYYY-MM-DD>``
+    partition); earlier versions stay readable and are pruned by filters."""
+    out = df.withColumn("run_date", F.lit(run_date).cast("date"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt)
+        .partitionBy("run_date").save(path))

@@ -73,3 +73,18 @@ def run_daily_window(spark: SparkSession, source_path: str, schema: T.StructType
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(target)
+
+
+def start_daily_window(spark: SparkSession, source: DataFrame, sink_path: str, checkpoint: str,
+                       keys: list[str] | None = None, watermark: str = "1 day",
+                       trigger: dict | None = None):
+    """Production form of D14: append mode, so each day is written once the
+    watermark has passed it and its state is dropped; rows later than the
+    watermark are ignored. ``source`` is any streaming DataFrame with the
+    event schema (Kafka value parsed with ``from_json``, or a landing
+    folder). Returns the running ``StreamingQuery``."""
+    daily = daily_stream(source, "ts", keys or ["event_type"], "value", watermark)
+    writer = (daily.writeStream.outputMode("append").format("parquet").option("path", sink_path)
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(**(trigger or {"processingTime": "1 minute"}))
+    return writer.start()
