@@ -134,8 +134,19 @@ def pivot_blocks(blocks: DataFrame, metrics: list[str] = METRICS, fill: int = 0)
                        *[F.coalesce(F.col(m), F.lit(fill)).cast("bigint").alias(m) for m in metrics])
 
 
-def tidy_table(cells: DataFrame, strict: bool = False) -> DataFrame:
-    """G1-G4 end to end."""
+def tidy_table(cells: DataFrame, strict: bool = False, materialize_layout: bool = True) -> DataFrame:
+    """G1-G4 end to end.
+
+    The title rows and block pairs (a few rows per file) feed several
+    branches of the extraction; they are materialized once so the cell
+    table is not re-scanned for each branch.
+    """
+    from panelkit.session import materialize
+
     titles = find_title_rows(cells, strict=strict)
+    if materialize_layout:
+        titles = materialize(titles)
     pairs = pair_blocks(cells, titles, strict=strict)
+    if materialize_layout:
+        pairs = materialize(pairs)
     return pivot_blocks(extract_blocks(cells, pairs, strict=strict))

@@ -66,3 +66,17 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def env_int(name: str, default: int) -> int:
     value = os.environ.get(name)
     return int(value) if value else default
+
+
+def materialize(df):
+    """Compute a small intermediate table once and cut its lineage.
+
+    Reliable ``checkpoint()`` into ``spark.checkpoint.dir`` when the session
+    names one (never ``localCheckpoint``), else ``cache()``. Use only for
+    tables whose size is bounded (e.g. one row per file).
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.checkpoint.dir", None):
+        checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    return df.cache()
