@@ -13,6 +13,16 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Rewrite rules that turn a normalized name into an entity
+# key (trailing "(**)" marker, slash as dash, no spaces around dashes, one
+# dash), applied in this order.
+ENTITY_NAME_RULES = [
+    ("\\s*\\(\\*+\\)\\s*$", ""),
+    ("\\s*/\\s*", "-"),
+    ("\\s*-\\s*", "-"),
+    ("-{2,}", "-"),
+]
+
 # Whitespace as Python's ``re`` sees it on ASCII text (``\s`` also covers the
 # four information separators); Java's and RE2's ``\s`` are narrower.
 WS_CLASS = "[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f ]"
@@ -84,10 +94,8 @@ def normalize_entity_name(c) -> Column:
     """F-S2: normalize_text, drop a trailing ``(***)`` marker, ``/`` -> ``-``,
     no spaces around ``-``, runs of ``-`` collapsed."""
     s = normalize_text(c)
-    s = F.regexp_replace(s, "\\s*\\(\\*+\\)\\s*$", "")
-    s = F.regexp_replace(s, "\\s*/\\s*", "-")
-    s = F.regexp_replace(s, "\\s*-\\s*", "-")
-    s = F.regexp_replace(s, "-{2,}", "-")
+    for pattern, replacement in ENTITY_NAME_RULES:
+        s = F.regexp_replace(s, pattern, replacement)
     return collapse_ws(s)
 
 

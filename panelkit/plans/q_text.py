@@ -19,10 +19,8 @@ from panelkit.sources import files as S
 
 def _sql_entity_name(expr: str) -> str:
     s = sql_normalize(expr)
-    s = f"regexp_replace({s}, '\\s*\\(\\*+\\)\\s*$', '')"
-    s = f"regexp_replace({s}, '\\s*/\\s*', '-', 'g')"
-    s = f"regexp_replace({s}, '\\s*-\\s*', '-', 'g')"
-    s = f"regexp_replace({s}, '-{{2,}}', '-', 'g')"
+    for pattern, replacement in X.ENTITY_NAME_RULES:
+        s = f"regexp_replace({s}, '{pattern}', '{replacement}', 'g')"
     return f"trim(regexp_replace({s}, '[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f ]+', ' ', 'g'))"
 
 
