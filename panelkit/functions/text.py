@@ -90,15 +90,20 @@ def normalize_text(c) -> Column:
     return F.coalesce(collapse_ws(fold_ascii(s)), F.lit(""))
 
 
-def normalize_entity_name(c) -> Column:
-    """F-S2: normalize_text, drop a trailing ``(***)`` marker, ``/`` -> ``-``,
-    no spaces around ``-``, runs of ``-`` collapsed."""
-    s = normalize_text(c)
+def entity_key(normalized) -> Column:
+    """The F-S2 rewrite rules applied to text that is already normalized."""
+    s = _col(normalized)
     for pattern, replacement in ENTITY_NAME_RULES:
         s = F.regexp_replace(s, pattern, replacement)
     return collapse_ws(s)
 
 
+def normalize_entity_name(c) -> Column:
+    """F-S2: normalize_text, drop a trailing ``(***)`` marker, ``/`` -> ``-``,
+    no spaces around ``-``, runs of ``-`` collapsed."""
+    return entity_key(normalize_text(c))
+
+
 def title_case(c) -> Column:
     """F-S3: Python ``str.title``: every run of letters is capitalised.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.text import normalize_entity_name, normalize_text
+from panelkit.functions.text import entity_key, normalize_text
 from panelkit.operators.joins import next_match
 
 # Fixed values of the airport-statistics layout.
@@ -102,28 +102,35 @@ def extract_blocks(cells: DataFrame, pairs: DataFrame, strict: bool = False) ->
     """Rows ``title+3`` up to the first row whose name starts with TOTAL;
     blank names skipped; value NULL -> 0, truncated to bigint; a repeated
     name keeps its last row. Blocks without a TOTAL row fail when ``strict``
-    and are dropped otherwise."""
-    c = cells.select("source_file", "sheet_index", "row", "col", "value")
-    # The block's name column is part of the equi-join key: each cell meets
-    # at most one block instead of every block of its file.
-    keyed = pairs.withColumn("col", F.col("name_col"))
-    names = (c.join(keyed, ["source_file", "sheet_index", "col"])
-              .where(F.col("row") >= F.col("title_row") + 3))
-    ends = (names.where(normalize_text("value").startswith("TOTAL"))
-                 .groupBy("source_file", "block").agg(F.min("row").alias("end_row")))
+    and are dropped otherwise.
+
+    Each sheet row is gathered once into a ``col -> value`` map (bounded by
+    the row's width); the blocks of its file (a handful of rows, broadcast)
+    then read their name and total cells from that map, so no cell-to-cell
+    join is needed.
+    """
+    keep = pairs.select("source_file", "sheet_index").distinct()
+    rows = (cells.join(F.broadcast(keep), ["source_file", "sheet_index"], "left_semi")
+                 .groupBy("source_file", "sheet_index", "row")
+                 .agg(F.map_from_entries(F.collect_list(F.struct("col", "value"))).alias("cells")))
+    blocks = pairs.select("source_file", "sheet_index", "title_row", "block", "metric", "name_col", "total_col")
+    per_block = (rows.join(F.broadcast(blocks), ["source_file", "sheet_index"])
+                     .where(F.col("row") >= F.col("title_row") + 3)
+                     .select("source_file", "block", "metric", "row",
+                             F.col("cells")[F.col("name_col")].alias("name"),
+                             F.col("cells")[F.col("total_col")].alias("raw")))
+    norm = normalize_text("name")
+    staged = per_block.withColumn("__norm", norm)
+    ends = (staged.where(F.col("__norm").startswith("TOTAL"))
+                  .groupBy("source_file", "block").agg(F.min("row").alias("end_row")))
     if strict:
         _fail_if_any(pairs.join(ends, ["source_file", "block"], "left_anti"), "no total row in block")
-    rows = (names.join(ends, ["source_file", "block"]).where(F.col("row") < F.col("end_row"))
-                 .select("source_file", "sheet_index", "block", "metric", "row", "total_col",
-                         normalize_entity_name("value").alias("entity_name"))
-                 .where(F.col("entity_name") != ""))
-    vals = c.select("source_file", "sheet_index", "row", F.col("col").alias("total_col"),
-                    F.col("value").alias("raw"))
-    joined = rows.join(vals, ["source_file", "sheet_index", "row", "total_col"], "left")
     value = F.coalesce(F.nanvl(F.col("raw").cast("double"), F.lit(None).cast("double")), F.lit(0.0)).cast("bigint")
-    return (joined.withColumn("value", value)
-                  .groupBy("source_file", "metric", "entity_name")
-                  .agg(F.max_by("value", "row").alias("value")))
+    data = (staged.join(ends, ["source_file", "block"]).where(F.col("row") < F.col("end_row"))
+                  .select("source_file", "metric", "row", entity_key("__norm").alias("entity_name"),
+                          value.alias("value"))
+                  .where(F.col("entity_name") != ""))
+    return data.groupBy("source_file", "metric", "entity_name").agg(F.max_by("value", "row").alias("value"))
 
 
 def pivot_blocks(blocks: DataFrame, metrics: list[str] = METRICS, fill: int = 0) -> DataFrame:
