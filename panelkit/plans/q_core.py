@@ -32,7 +32,6 @@ def scoped_counts(spark, sf):
 
 
 from panelkit.functions.dates import ym_of
-from panelkit.functions.text import normalize_text
 from panelkit.operators import joins as J
 from panelkit.operators import sets as U
 from panelkit.plans.oracle_blocks import sql_normalize

@@ -129,3 +129,10 @@ def test_set_operators(spark):
     assert [r.k for r in U.key_except(a, b).collect()] == [1]
     assert [r.k for r in U.key_intersect(a, b).collect()] == [2]
     assert U.union_all([a, b]).count() == 5
+
+
+def test_checkpoint_dir_is_read_from_session(spark):
+    from panelkit.session import checkpoint_dir
+
+    current = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_dir(spark, "/should/not/be/used") == current
