@@ -260,7 +260,8 @@ def latest_per_key(spark, sf):
 @register("top_k_per_group", """
     SELECT o_custkey, o_orderkey, o_totalprice, rank FROM (
       SELECT o_custkey, o_orderkey, o_totalprice,
-             row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank
+             CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER)
+               AS rank
       FROM orders) WHERE rank <= 3""")
 def top_k_per_group(spark, sf):
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
