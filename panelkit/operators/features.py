@@ -169,14 +169,14 @@ def prepare_matrix(train: DataFrame, test: DataFrame, numeric: list[str], catego
     vector column; statistics come from ``train`` only.
 
     Fitting reads the inputs several times, so by default both inputs are
-    checkpointed first (reliable checkpoint in ``spark.checkpoint.dir``):
-    lineage is cut and a lost executor does not recompute the whole panel.
+    checkpointed first (reliable checkpoint in ``spark.checkpoint.dir``, or
+    cached when the session names no folder): lineage is cut and a lost
+    executor does not recompute the whole panel.
     """
     if materialize:
-        from panelkit.session import checkpoint_dir
-        checkpoint_dir(train.sparkSession)
-        train = train.checkpoint()
-        test = test.checkpoint()
+        from panelkit.session import materialize as _materialize
+        train = _materialize(train)
+        test = _materialize(test)
     med = fit_medians(train, numeric)
     tr = apply_medians(train, med)
     te = apply_medians(test, med)

@@ -50,7 +50,7 @@ def run_daily_window(spark: SparkSession, source_path: str, schema: T.StructType
     """Run :func:`daily_stream` over a file source until all available input
     is processed, then return the written daily table as a batch DataFrame."""
     keys = keys or ["event_type"]
-    base = out_dir or f"{checkpoint_dir(spark).rstrip('/')}/stream_daily_window/{uuid.uuid4().hex}"
+    shared = out_dir or spark.conf.get("spark.checkpoint.dir", None)
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -61,6 +61,15 @@ def run_daily_window(spark: SparkSession, source_path: str, schema: T.StructType
     else:
         stream = reader.load(source_path)
     daily = daily_stream(stream, "ts", keys, "value")
+    if not shared:
+        # No shared folder (local use only): the per-day result, one row per
+        # (day, key), is kept in an in-session memory table.
+        name = f"daily_window_{uuid.uuid4().hex}"
+        q = (daily.writeStream.outputMode("complete").format("memory").queryName(name)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return spark.table(name)
+    base = out_dir or f"{checkpoint_dir(spark).rstrip('/')}/stream_daily_window/{uuid.uuid4().hex}"
     target = f"{base}/table"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
