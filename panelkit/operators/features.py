@@ -17,13 +17,13 @@ from panelkit.functions.numeric import quantile_labels
 def quantile_bucket(df: DataFrame, col: str, labels: list[str], out: str,
                     approx: bool = False) -> DataFrame:
     """F-C2: quartile segments with interpolated edges over all rows."""
+    from panelkit.operators.quantiles import quantile_struct
+
     n = len(labels)
     ps = [i / n for i in range(1, n)]
     x = F.col(col).cast("double")
-    pct = (F.percentile_approx(x, ps, 10000) if approx
-           else F.percentile(x, F.array(*[F.lit(p) for p in ps])))
     q = F.col("__q")
-    staged = df.withColumn("__q", df.select(pct.alias("q")).scalar())
+    staged = df.withColumn("__q", quantile_struct(df, col, ps, approx).scalar())
     return staged.withColumn(out, quantile_labels(x, [q[i] for i in range(n - 1)], labels)).drop("__q")
 
 
@@ -61,10 +61,14 @@ def fit_medians(train: DataFrame, cols: list[str], approx: bool = False) -> Data
 
     ``ml.Imputer`` returns a lower element (2.0 for 1..4), not the median.
     """
-    def med(c):
-        x = F.col(c).cast("double")
-        return F.percentile_approx(x, 0.5, 10000) if approx else F.percentile(x, 0.5)
-    return train.agg(*[med(c).alias(c) for c in cols])
+    if approx:
+        return train.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(c) for c in cols])
+    from panelkit.operators.profile import long_values
+    from panelkit.operators.quantiles import exact_quantiles
+
+    qs = exact_quantiles(long_values(train, cols), "column", "value", [0.5])
+    one = qs.groupBy().agg(*[F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in cols])
+    return one.select(*[F.col(c).cast("double").alias(c) for c in cols])
 
 
 def fit_scaler(train: DataFrame, cols: list[str]) -> DataFrame:

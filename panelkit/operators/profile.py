@@ -77,19 +77,28 @@ def column_profile(df: DataFrame, digits: int = 2) -> DataFrame:
 
 def describe_columns(df: DataFrame, cols: list[str], percentiles: list[float] | None = None,
                      approx: bool = False, digits: int | None = 6) -> DataFrame:
-    """Count, mean, sample std, min, percentiles (linear), max per column."""
+    """Count, mean, sample std, min, percentiles (linear), max per column.
+
+    Exact percentiles come from :func:`quantiles.exact_quantiles` (distinct
+    values range-partitioned, no column gathered in one task).
+    """
+    from panelkit.operators.quantiles import quantile_columns
+
     ps = percentiles or DESCRIBE_PERCENTILES
+    names = [f"p{int(round(p * 100))}" for p in ps]
     r = (lambda c: rnd(c, digits)) if digits is not None else (lambda c: c)
-    stats = long_values(df, cols).groupBy("column").agg(
-        F.count("value").alias("count"),
-        r(F.avg("value")).alias("mean"),
-        r(F.stddev_samp("value")).alias("std"),
-        F.min("value").alias("min"),
-        _quantiles(F.col("value"), ps, approx).alias("__q"),
-        F.max("value").alias("max"),
-    )
-    qcols = [r(F.col("__q")[i]).alias(f"p{int(round(p * 100))}") for i, p in enumerate(ps)]
-    return stats.select("column", "count", "mean", "std", "min", *qcols, "max")
+    long = long_values(df, cols)
+    aggs = [F.count("value").alias("count"), F.avg("value").alias("__mean"),
+            F.stddev_samp("value").alias("__std"), F.min("value").alias("min"), F.max("value").alias("max")]
+    if approx:
+        aggs.append(_quantiles(F.col("value"), ps, True).alias("__q"))
+        stats = long.groupBy("column").agg(*aggs)
+        stats = stats.select("*", *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
+    else:
+        stats = long.groupBy("column").agg(*aggs).join(quantile_columns(long, "column", "value", ps, names),
+                                                       "column", "left")
+    return stats.select("column", "count", r(F.col("__mean")).alias("mean"), r(F.col("__std")).alias("std"),
+                        "min", *[r(F.col(n)).alias(n) for n in names], "max")
 
 
 def column_modes(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -119,9 +128,13 @@ def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def quantile_bounds(df: DataFrame, cols: list[str], k: float = 1.5, approx: bool = False) -> DataFrame:
     """Per column q1, q3 and Tukey fences ``q1 - k*iqr``, ``q3 + k*iqr``."""
-    q = long_values(df, cols).groupBy("column").agg(
-        _quantiles(F.col("value"), [0.25, 0.75], approx).alias("__q"))
-    q = q.select("column", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3"))
+    long = long_values(df, cols)
+    if approx:
+        q = long.groupBy("column").agg(_quantiles(F.col("value"), [0.25, 0.75], True).alias("__q"))
+        q = q.select("column", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3"))
+    else:
+        from panelkit.operators.quantiles import quantile_columns
+        q = quantile_columns(long, "column", "value", [0.25, 0.75], ["q1", "q3"])
     iqr = F.col("q3") - F.col("q1")
     return q.withColumns({"lower_bound": F.col("q1") - k * iqr, "upper_bound": F.col("q3") + k * iqr})
 
@@ -194,7 +207,8 @@ def boxplot_stats(df: DataFrame, col: str, k: float = 1.5, approx: bool = False,
     """Quartiles, whiskers (extreme points inside the fences), flier count."""
     x = F.col(col).cast("double")
     base = df.where(x.isNotNull()).select(x.alias("x"))
-    quart = base.select(_quantiles(F.col("x"), [0.25, 0.5, 0.75], approx).alias("q")).scalar()
+    from panelkit.operators.quantiles import quantile_struct
+    quart = quantile_struct(base, "x", [0.25, 0.5, 0.75], approx).scalar()
     base = base.withColumn("__q", quart)
     q = F.col("__q")
     q1, med, q3 = q[0], q[1], q[2]

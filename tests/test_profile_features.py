@@ -161,3 +161,20 @@ def test_fit_regressors_and_preview(spark):
 def test_numeric_columns_excludes_booleans(spark):
     df = spark.createDataFrame([(1, 2.0, True, "a")], "i int, d double, b boolean, s string")
     assert PR.numeric_columns(df) == ["i", "d"]
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    import random
+
+    from panelkit.operators.quantiles import exact_quantiles
+
+    rnd = random.Random(5)
+    rows = [(g, float(rnd.randint(0, 40)) if rnd.random() > 0.1 else None)
+            for g in ("a", "b", "c") for _ in range(rnd.randint(2, 300))] + [("solo", 3.5)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ps = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    mine = {(r.g, r.p): r.q for r in exact_quantiles(df, "g", "v", ps, partitions=5).collect()}
+    ref = df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in ps])).alias("q")).collect()
+    for r in ref:
+        for i, p in enumerate(ps):
+            assert mine[(r.g, p)] == r.q[i], (r.g, p)
