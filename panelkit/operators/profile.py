@@ -50,17 +50,20 @@ def table_summary(df: DataFrame, key: str, time_col: str, target: str) -> DataFr
     )
 
 
-def column_profile(df: DataFrame, digits: int = 2) -> DataFrame:
+def column_profile(df: DataFrame, digits: int = 2, approx_distinct: bool = False) -> DataFrame:
     """Per column dtype, non-null, nulls, null % and distinct non-null count.
 
     One aggregate computes every column's counts; the dtype comes from the
-    schema (metadata, no data read).
+    schema (metadata, no data read). Exact distinct counts expand each row
+    once per column; ``approx_distinct`` uses HyperLogLog sketches instead
+    (constant memory per column) for very wide or very large tables.
     """
     cols = df.columns
+    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
         aggs.append(F.count(F.col(c)).alias(f"nn{i}"))
-        aggs.append(F.count_distinct(F.col(c)).alias(f"nd{i}"))
+        aggs.append(distinct(F.col(c)).alias(f"nd{i}"))
     wide = df.agg(*aggs)
     dtypes = dict(df.dtypes)
     stack = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),

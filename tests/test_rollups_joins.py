@@ -136,3 +136,20 @@ def test_checkpoint_dir_is_read_from_session(spark):
 
     current = spark.conf.get("spark.checkpoint.dir")
     assert checkpoint_dir(spark, "/should/not/be/used") == current
+
+
+def test_bounded_broadcast_respects_the_bound(spark):
+    small = spark.range(10)
+    big = spark.range(1000)
+    p_small = J.bounded_broadcast(small, 100).join(spark.range(5), "id")._jdf.queryExecution().optimizedPlan().toString()
+    p_big = J.bounded_broadcast(big, 100).join(spark.range(5), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in p_small.lower() and "broadcast" not in p_big.lower()
+
+
+def test_column_profile_approx_distinct(spark):
+    from panelkit.operators import profile as PR
+
+    df = spark.createDataFrame([(i % 7, None if i % 3 else "x") for i in range(100)], "a int, b string")
+    exact = {r.column: r.unique for r in PR.column_profile(df).collect()}
+    approx = {r.column: r.unique for r in PR.column_profile(df, approx_distinct=True).collect()}
+    assert exact == approx == {"a": 7, "b": 1}
