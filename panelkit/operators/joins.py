@@ -103,11 +103,16 @@ def next_match(df: DataFrame, keys: list[str], order_col: str, is_match: Column,
     """For each row, the smallest ``order_col`` of a *matching* row of
     the same key that is strictly greater than its own (forward as-of match).
 
-    ``order_col`` must be numeric. With ``bucket_width`` the search is split
+    ``order_col`` must be integral (e.g. ``unix_micros`` of a timestamp): the
+    "strictly greater" frame is ``rangeBetween(1, unbounded)``. With
+    ``bucket_width`` the search is split
     in two exact levels so a hot key never lands in one window task: inside
     a ``(key, bucket)`` window first, then over one summary row per
     ``(key, bucket)`` for rows whose match lies in a later bucket.
     """
+    kind = dict(df.dtypes).get(order_col)
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"next_match needs an integral order column, got {order_col}: {kind}")
     o = F.col(order_col)
     m = F.when(is_match, o)
     following = lambda *parts: (Window.partitionBy(*parts).orderBy(o)

@@ -153,3 +153,9 @@ def test_column_profile_approx_distinct(spark):
     exact = {r.column: r.unique for r in PR.column_profile(df).collect()}
     approx = {r.column: r.unique for r in PR.column_profile(df, approx_distinct=True).collect()}
     assert exact == approx == {"a": 7, "b": 1}
+
+
+def test_next_match_rejects_fractional_order(spark):
+    df = spark.createDataFrame([(1, 0.5, True)], "u long, t double, m boolean")
+    with pytest.raises(ValueError):
+        J.next_match(df, ["u"], "t", F.col("m"), "nx")
