@@ -26,6 +26,10 @@ ENTITY_NAME_RULES = [
 # Whitespace as Python's ``re`` sees it on ASCII text (``\s`` also covers the
 # four information separators); Java's and RE2's ``\s`` are narrower.
 WS_CLASS = "[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f ]"
+# Every character for which Python's ``str.isspace`` is true
+# (what ``str.strip()`` removes); Spark's ``trim`` removes only spaces.
+PY_SPACE_CLASS = ("[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f \\x85\\xa0\\u1680\\u2000-\\u200a"
+                  "\\u2028\\u2029\\u202f\\u205f\\u3000]")
 NON_ASCII = "[^\\x00-\\x7F]"
 
 
@@ -77,6 +81,11 @@ def fold_ascii(c) -> Column:
     return F.regexp_replace(s, NON_ASCII, "")
 
 
+def strip_ws(c) -> Column:
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
+    return F.regexp_replace(_col(c).cast("string"), f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "")
+
+
 def collapse_ws(c) -> Column:
     return F.trim(F.regexp_replace(_col(c), WS_CLASS + "+", " "))
 

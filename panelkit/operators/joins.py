@@ -18,7 +18,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.functions.text import normalize_text
+from panelkit.functions.text import normalize_text, strip_ws
 
 DIM_MAX_ROWS = 100_000
 
@@ -84,7 +84,7 @@ def resolve_alias(df: DataFrame, col: str, aliases: DataFrame, canonical: DataFr
              .join(a, on=key, how="left")
              .join(c, on=key, how="left"))
     value = (F.when(F.col(key) == "", F.lit(""))
-              .otherwise(F.coalesce("__alias_target", "__canon", F.trim(F.col(col).cast("string")))))
+              .otherwise(F.coalesce("__alias_target", "__canon", strip_ws(col))))
     return res.withColumn(out, value).drop(key, "__alias_target", "__canon")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from panelkit import schemas
 from panelkit.functions.dates import calendar_columns, year_month
 from panelkit.functions.numeric import clean_number
-from panelkit.functions.text import title_case
+from panelkit.functions.text import strip_ws, title_case
 from panelkit.operators import grid as G
 from panelkit.operators.joins import Side, drop_known, feature_panel, latest_per_key, lookup, resolve_alias, unmapped
 from panelkit.operators.rollups import monthly_rollup, parent_rollup, scoped_counts
@@ -69,7 +69,7 @@ def normalize_province(spark: SparkSession, df: DataFrame, col: str) -> DataFram
 def silver_hotels(spark: SparkSession, raw: DataFrame, source_file: str | None = None) -> DataFrame:
     """Hotel statistics rows whose trimmed ``LUGAR_RESIDENCIA`` is
     ``Total``, renamed and typed; NaN/unparsable numbers -> NULL, rounded 4."""
-    rows = raw.where(F.trim(F.col("LUGAR_RESIDENCIA").cast("string")) == "Total")
+    rows = raw.where(strip_ws("LUGAR_RESIDENCIA") == "Total")
     rows = normalize_province(spark, rows, "PROVINCIA")
     year = F.col("AÑO").cast("double").cast("int")
     month = F.col("MES").cast("double").cast("int")

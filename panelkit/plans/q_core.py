@@ -49,8 +49,9 @@ def membership_filter(spark, sf):
 
 
 def where_trimmed_equals(df, col, value):
-    """Equality on trimmed text (`` Total `` == ``Total``)."""
-    return df.where(F.trim(F.col(col).cast("string")) == F.lit(value))
+    """Equality on stripped text (`` Total `` == ``Total``)."""
+    from panelkit.functions.text import strip_ws
+    return df.where(strip_ws(col) == F.lit(value))
 
 
 @register("trimmed_equality_filter", """

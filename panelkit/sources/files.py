@@ -183,9 +183,11 @@ def coerce_numeric(df: DataFrame, exempt: list[str] | None = None,
     cands = [c for c, t in df.dtypes if c not in exempt and c not in booleans and t == "string"]
     parsed = {}
     if cands:
-        row = df.agg(*[F.count(F.expr(f"try_cast(`{c}` AS DOUBLE)")).alias(c)
-                       for c in cands]).first()
-        parsed = {c: row[c] for c in cands}
+        # per column: values that parse, and values present at all (an
+        # all-NULL column is converted too, as the reference's coercion does)
+        row = df.agg(*[F.count(F.expr(f"try_cast(`{c}` AS DOUBLE)")).alias(c) for c in cands],
+                     *[F.count(c).alias(f"__n_{c}") for c in cands]).first()
+        parsed = {c: row[c] > 0 or row[f"__n_{c}"] == 0 for c in cands}
     exprs = {}
     for c in df.columns:
         if c in booleans:

@@ -105,3 +105,8 @@ def test_date_parts_and_season(spark):
 def test_year_month_format(spark):
     df = spark.createDataFrame([(2024, 3)], "y int, m int")
     assert df.select(D.year_month("y", "m").alias("o")).first().o == "2024-03"
+
+
+def test_strip_ws_is_python_strip(spark):
+    for s in [" Total ", "\tTotal\n", "\xa0Total　", "To tal", "\x1cTotal"]:
+        assert one(spark, X.strip_ws("s"), s) == s.strip(), repr(s)

@@ -107,3 +107,8 @@ def test_conform_rejects_unexpected(spark):
 
 def test_catalog_schemas_gold_has_31_columns():
     assert len(schemas.struct(schemas.GOLD_MONTHLY_FEATURES).fields) == 31
+
+
+def test_coerce_numeric_all_null_column_becomes_numeric(spark):
+    df = spark.createDataFrame([("1", None), ("2", None)], "a string, b string")
+    assert dict(S.coerce_numeric(df).dtypes) == {"a": "double", "b": "double"}
