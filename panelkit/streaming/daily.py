@@ -30,17 +30,31 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
+def _wall_clock_instant(c) -> "F.Column":
+    """The instant whose UTC wall clock equals a ``timestamp_ntz`` value, so
+    day windows (aligned to UTC midnight) follow the local calendar whatever
+    the session time zone is."""
+    return F.timestamp_micros(
+        F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400_000_000)
+        + (F.hour(c) * 3600 + F.minute(c) * 60).cast("bigint") * F.lit(1_000_000)
+        + (F.second(c).cast("bigint") * 1_000_000))
+
+
 def daily_stream(stream: DataFrame, ts: str, keys: list[str], value: str,
                  watermark: str = "1 day") -> DataFrame:
     """Windowed daily aggregate of a stream: events and exact value total per
-    (day, keys). ``withWatermark`` needs a ``timestamp`` (not NTZ) column, so
-    the event time is cast under the session's UTC time zone."""
-    t = F.col(ts).cast("timestamp")
+    (day, keys). ``withWatermark`` needs a ``timestamp`` (not NTZ) column; a
+    local (NTZ) event time is mapped to the instant with the same UTC wall
+    clock, and the day is read back in UTC, so the result does not depend on
+    the session time zone."""
+    kind = dict(stream.dtypes).get(ts)
+    t = _wall_clock_instant(F.col(ts)) if kind == "timestamp_ntz" else F.col(ts).cast("timestamp")
     s = stream.withColumn("__event_time", t).withWatermark("__event_time", watermark)
     agg = s.groupBy(F.window("__event_time", "1 day").alias("w"), *keys).agg(
         F.count(F.lit(1)).alias("events"),
         F.sum(F.col(value).cast("decimal(18,2)")).alias("value_total"))
-    return agg.select(F.to_date(F.col("w.start")).alias("day"), *keys, "events",
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
+    return agg.select(day.alias("day"), *keys, "events",
                       F.col("value_total").cast("double").alias("value_total"))
 
 

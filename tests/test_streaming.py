@@ -44,3 +44,16 @@ def test_versioned_writes_keep_old_runs(spark, tmp_dir):
     back = spark.read.parquet(path)
     counts = {str(r.run_date): r["count"] for r in back.groupBy("run_date").count().collect()}
     assert counts == {"2024-01-01": 3, "2024-02-01": 1}
+
+
+def test_daily_window_ignores_session_time_zone(spark):
+    from panelkit.streaming.daily import run_daily_window
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        shifted = sorted(run_daily_window(spark, f"{SF}/events.parquet").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    utc = sorted(run_daily_window(spark, f"{SF}/events.parquet").collect())
+    assert shifted == utc
