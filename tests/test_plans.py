@@ -56,3 +56,9 @@ def test_latest_per_key_is_partial_aggregate(spark, qs):
 def test_lags_use_joins_not_windows(spark, qs):
     p = qs["monthly_lags"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
     assert "Window" not in p
+
+
+def test_flagship_reads_orders_at_most_twice(spark, qs):
+    p = plan(qs["monthly_feature_panel"](spark, SF))
+    scans = [line for line in p.split("\n") if "FileScan parquet" in line and "o_orderdate" in line]
+    assert 1 <= len(scans) <= 2, len(scans)
