@@ -8,6 +8,9 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 BATCH_BYTES = 16 << 20  # text bytes handed to one Python step at a time
 
@@ -60,30 +63,36 @@ def map_text(df: DataFrame, keep: list[str], text: str, fields: str,
     ``fn`` gets the texts of a batch (None for null) and returns one list per
     column named in the DDL string ``fields``. Runs in Arrow batches.
     """
-    spark = df.sparkSession
-    base = df.select(*keep, text)
-    schema = base.select(*keep).schema
-    from pyspark.sql.types import StructType
-
-    out = StructType(schema.fields + StructType.fromDDL(fields).fields)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
+    base = df.select(*keep) if text in keep else df.select(*keep, text)
+    made = StructType.fromDDL(fields)
+    out = StructType([StructField(f.name, f.dataType) for f in df.select(*keep).schema.fields]
+                     + made.fields)
     arrow = to_arrow_schema(out)
-    names = [f.name for f in StructType.fromDDL(fields).fields]
+    names = made.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            made = fn(batch.column(batch.schema.get_field_index(text)).to_pylist())
+            got = fn(batch.column(batch.schema.get_field_index(text)).to_pylist())
             cols = [batch.column(batch.schema.get_field_index(k)) for k in keep]
-            cols += [pa.array(made[n], type=arrow.field(n).type) for n in names]
-            cols = [c.cast(arrow.field(i).type) if c.type != arrow.field(i).type else c
-                    for i, c in enumerate(cols)]
+            cols = [c.cast(arrow.field(k).type) for k, c in zip(keep, cols)]
+            cols += [pa.array(got[n], type=arrow.field(n).type) for n in names]
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
-    del spark
     return base.mapInArrow(run, out)
 
 
+def bounded_sample(df: DataFrame, key, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df`` (all, if fewer), chosen by the hash of ``key``.
+
+    The share is taken from one count, so that no task or driver step orders
+    the whole table; the choice does not depend on partitioning.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int((1 << 30) * rows / total))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table (one Parquet file or folder)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
