@@ -5,17 +5,61 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelkit.llm import minhash_dedup
+from panelkit.llm import decontaminate, minhash_dedup, mixing, quality, secrets
 from panelkit.llm.common import table
 
+KEEP_SCORE = 0.3    # a document counts as the positive class from this score on
+MIX_TARGETS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}  # share of tokens by language
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.QualityModel:
+    """Learnt from ``documents`` and ``labels`` outside the held-out fold."""
+    return quality.fit(quality.labelled_texts(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", 5, 0))
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document; rows with a null id count as held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality_model(spark, sf_dir), ["doc_id"])
+    return scored.select("doc_id", F.coalesce(quality.remainder("doc_id", 5) == 0, F.lit(True)).alias("held_out"),
+                         "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (document, benchmark item) pairs that leak, with their evidence."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
 
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, domain) of the documents in the labelled table; the domain is the language."""
+    marked = labels.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    return docs.select("doc_id", "text", "lang").join(marked, "doc_id").select(
+        "text", F.col("lang").alias("domain"))
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampling rate for every document, so that languages meet MIX_TARGETS."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mixing.mix(docs, language_labels(docs, labels), MIX_TARGETS, ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op4_secret_scan": op4_secret_scan,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_minhash_dedup": op9_minhash_dedup,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 # The operators need compression, decoding, learned models, graph closure or
