@@ -2,8 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; :func:`run`
 writes every stage's result as Parquet into the shared folder and hands the
-stored table to the next one. Stages keep rows with null ids or null texts
-unless their operator decides otherwise.
+stored table to the next one. All stages but the last return the columns of
+``documents``. Rows with a null id take part row by row (quality, secrets,
+mixing) and are kept by the stages that compare documents; other columns pass
+through.
 """
 
 from __future__ import annotations
@@ -11,19 +13,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import minhash_dedup
+from panelkit.llm import decontaminate, minhash_dedup, mixing, quality, secrets
 from panelkit.llm.common import stored, table
+from panelkit.llm.queries import KEEP_SCORE, MIX_TARGETS, language_labels, quality_model
+
+_NEW = "panelkit_stage_value"  # a column name of our own, dropped again
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go (op 1)."""
+    scored = quality.score(docs, quality_model(spark, sf_dir), docs.columns, score_col=_NEW)
+    return scored.where(F.col(_NEW) >= KEEP_SCORE).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays (op 9)."""
+    """One document of each near-duplicate component stays (op 9); one row of each id."""
     keep = minhash_dedup.near_duplicates(docs).where("kept").select("doc_id")
     named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     return (named.join(keep, "doc_id", "left_semi").select(*docs.columns)
             .unionByName(docs.where("doc_id IS NULL")))
 
 
-STAGES = [("minhash_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, re-parameterised ones too, go (op 6)."""
+    leaked = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+
+
+def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets, encoded ones too, are replaced by a mark (op 4); n_chars follows the text."""
+    done = secrets.redact(docs, docs.columns, out_col=_NEW).withColumn("text", F.col(_NEW))
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(),
+                                                 F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return done.select(*docs.columns)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's sampling rate and copies for the target mix of languages (op 10)."""
+    labelled = language_labels(docs, table(spark, sf_dir, "labels"))
+    return mixing.mix(docs, labelled, MIX_TARGETS, docs.columns)
+
+
+STAGES = [
+    ("quality_classifier", quality_filter),
+    ("minhash_dedup", near_dedup),
+    ("benchmark_decontamination", decontamination),
+    ("secret_scan", secret_redaction),
+    ("source_mixing", source_mixing),
+]
 
 # Compression, graph closure, decoding and an iterative fit have no SQL form;
 # tests/llm/test_pipeline.py holds the brute-force versions.
@@ -31,6 +69,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
