@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import decontaminate, minhash_dedup, mixing, quality, secrets
+from panelkit.llm import (
+    ann,
+    decontaminate,
+    html_text,
+    minhash_dedup,
+    mixing,
+    pii,
+    quality,
+    secrets,
+    toxicity,
+    warc,
+)
 from panelkit.llm.common import table
 
 KEEP_SCORE = 0.3    # a document counts as the positive class from this score on
+NEIGHBOURS = 20
+QUERY_STEP = 20     # vectors whose id this divides are queries
+PII_KEY = "change-me-per-corpus"  # the key of the pseudonyms; a secret in production
 MIX_TARGETS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}  # share of tokens by language
 
 
@@ -28,15 +42,46 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
 
 
+def op2_toxicity_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document; rows with a null id count as held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(quality.labelled_texts(docs, table(spark, sf_dir, "labels"), "toxic", 4, 2))
+    scored = toxicity.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", F.coalesce(quality.remainder("doc_id", 4) == 2, F.lit(True)).alias("held_out"),
+                         "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
+
+
+def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with personal values replaced by keyed pseudonyms."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), ["doc_id"], PII_KEY)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The (document, benchmark item) pairs that leak, with their evidence."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, F.col("vec_id") % QUERY_STEP == 0, NEIGHBOURS)
+
+
+def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged capture index of the archives written from all pages."""
+    index = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                        "urlkey", "ts", "key_range", "position")
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,8 +101,13 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_toxicity_classifier": op2_toxicity_classifier,
+    "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op4_secret_scan": op4_secret_scan,
+    "op5_html_extraction": op5_html_extraction,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_warc_archive": op8_warc_archive,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_source_mixing": op10_source_mixing,
 }
