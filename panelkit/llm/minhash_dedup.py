@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import map_text, stored
 from panelkit.llm.components import connected_components
+from panelkit.llm.hashing import BASE, mix, rolling, span_hashes
 
 SHINGLE = 5           # words in a shingle
 ROWS, BANDS = 4, 32   # a pair at similarity 0.75 shares no band with p = 5e-6
@@ -36,26 +37,6 @@ BLOCK = 512           # rows of a bucket compared in one block
 _rng = np.random.default_rng(20240501)
 _MUL = (_rng.integers(0, 2**31, HASHES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
 _ADD = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
-_BASE = 0x9E3779B97F4A7C15
-_POW = [np.uint64(pow(_BASE, k, 2**64)) for k in range(SHINGLE)]
-_BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _powers(n: int, cache: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
-    """The first n powers of the base and of its inverse, modulo 2^64."""
-    if len(cache.get("up", ())) < n:
-        size = max(n, 1 << 14)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            cache[name] = np.multiply.accumulate(factors)
-    return cache["up"][:n], cache["down"][:n]
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -72,16 +53,9 @@ def shingle_set(text: str | None) -> np.ndarray:
     if not len(bounds):
         return np.empty(0, np.uint64)
     start, end = bounds[::2], bounds[1::2]
-    up, down = _powers(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE.take(raw) * up[:-1], out=total[1:])
-    words = _mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    words = span_hashes(raw, start, end)
     width = min(SHINGLE, len(words))
-    n = len(words) - width + 1
-    acc = words[:n] + np.uint64(width)
-    for k in range(1, width):
-        acc += words[k:k + n] * _POW[k]
-    acc = _mix(acc)
+    acc = mix(rolling(words, width) + np.uint64(width))
     acc.sort()
     return acc[np.concatenate(([True], acc[1:] != acc[:-1]))]
 
@@ -101,7 +75,7 @@ def band_keys(sigs: np.ndarray) -> np.ndarray:
     parts = sigs.astype(np.uint64).reshape(len(sigs), BANDS, ROWS)
     acc = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2])
     for k in range(ROWS):
-        acc = _mix(acc * np.uint64(_BASE) + parts[:, :, k])
+        acc = mix(acc * BASE + parts[:, :, k])
     return acc.view(np.int64)
 
 
@@ -167,22 +141,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, id_col: str = "doc
                                          F.max("doc_id").alias("hi")).where("lo < hi"))
     members = stored(banded.join(buckets, "key"), "buckets")
 
+    # Sets of the documents that share a bucket. Their number grows with the
+    # corpus, so the ids are shuffled, not broadcast.
+    sets = stored(map_text(
+        known.join(members.select("doc_id").distinct().hint("shuffle_merge"), "doc_id", "left_semi"),
+        ["doc_id"], "text", "shingles binary", _sets), "sets")
+
     # Round 1: every member against the two pivots of its bucket.
     pivots = (members.select("doc_id", F.explode(F.array("lo", "hi")).alias("pivot"))
               .where("pivot <> doc_id")
               .select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b"))
               .distinct())
-    links = verify(_prune(pivots, sigs, threshold, percent), known, percent)
-    first = connected_components(links)
+    first = connected_components(verify(_prune(pivots, sigs, threshold, percent), sets, percent))
 
     # Round 2: what is left of the buckets that still hold several components.
-    left = stored(_blocks(members.where("size > 3"), first, sigs, threshold, percent), "survivors")
-    more = verify(left.distinct(), known, percent)
-    firsts = first.select(F.col("doc_id").alias("a"), F.col("component_id").alias("ca"))
     merged = connected_components(
-        more.join(firsts, "a", "left")
-        .join(firsts.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b", "left")
-        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+        _blocks(members.where("size > 3"), first, sigs, sets, threshold, percent))
 
     found = (copies.join(first.select(F.col("doc_id").alias("rep"), F.col("component_id").alias("c1")),
                          "rep", "left")
@@ -232,13 +206,16 @@ def _sequential(sa: np.ndarray, sb: np.ndarray, i: np.ndarray, j: np.ndarray,
     return alive
 
 
-def _blocks(members: DataFrame, comps: DataFrame, sigs: DataFrame, threshold: float,
-            percent: int) -> DataFrame:
-    """Surviving pairs across components, bucket by bucket, in bounded blocks.
+def _blocks(members: DataFrame, comps: DataFrame, sigs: DataFrame, sets: DataFrame,
+            threshold: float, percent: int) -> DataFrame:
+    """Links (a, b) between components, found bucket by bucket in bounded blocks.
 
     The members outside a bucket's largest component are compared with all
     members of other components. Blocks hold at most about BLOCK rows on each
     side; a pair that shares an earlier band is left to that band's bucket.
+    Survivors of the sequential comparison are verified on their full sets,
+    likeliest first; once two components are linked their other pairs are
+    redundant.
     """
     rows = (members.where("doc_id <> lo AND doc_id <> hi").select("key", "band", "doc_id")
             .join(comps, "doc_id", "left")
@@ -250,9 +227,9 @@ def _blocks(members: DataFrame, comps: DataFrame, sigs: DataFrame, threshold: fl
             .where("most < total")
             .select("key", "main", F.ceil(F.col("total") / BLOCK).alias("nb"),
                     F.ceil((F.col("total") - F.col("most")) / BLOCK).alias("ns")))
-    dealt = (rows.join(main, "key").join(sigs, "doc_id")
+    dealt = (rows.join(main, "key").join(sigs, "doc_id").join(sets, "doc_id")
              .withColumn("h", F.xxhash64("doc_id")).withColumn("odd", F.col("comp") != F.col("main")))
-    cols = ["key", "band", "doc_id", "comp", "n_shingles", "sig", "odd"]
+    cols = ["key", "band", "doc_id", "comp", "n_shingles", "sig", "shingles", "odd"]
     left = dealt.where("odd").select(
         *cols, F.lit(True).alias("side"), F.expr("pmod(h, ns)").alias("i"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("j"))
@@ -265,49 +242,66 @@ def _blocks(members: DataFrame, comps: DataFrame, sigs: DataFrame, threshold: fl
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         band = int(pdf["band"].iloc[0])
         s, t = pdf[pdf["side"]], pdf[~pdf["side"]]
-        none = pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-        if s.empty or t.empty:
-            return none
-        ids, idt = s["doc_id"].to_numpy(), t["doc_id"].to_numpy()
-        ns, nt = s["n_shingles"].to_numpy(), t["n_shingles"].to_numpy()
-        ok = s["comp"].to_numpy()[:, None] != t["comp"].to_numpy()[None, :]
-        ok &= ~t["odd"].to_numpy()[None, :] | (ids[:, None] < idt[None, :])
-        ok &= np.minimum(ns[:, None], nt) * 100 >= np.maximum(ns[:, None], nt) * percent
-        i, j = np.nonzero(ok)
-        sa = np.frombuffer(b"".join(s["sig"]), np.uint16).reshape(-1, HASHES)
-        sb = np.frombuffer(b"".join(t["sig"]), np.uint16).reshape(-1, HASHES)
-        found = [none]
-        for start in range(0, len(i), 1 << 16):
-            pi, pj = i[start:start + (1 << 16)], j[start:start + (1 << 16)]
-            alive = _sequential(sa, sb, pi, pj, floors)
-            pi, pj = pi[alive], pj[alive]
-            same = (sa[pi] == sb[pj]).reshape(-1, BANDS, ROWS).all(axis=2)
-            here = ~same[:, :band].any(axis=1)
-            found.append(pd.DataFrame({"a": np.minimum(ids[pi], idt[pj])[here],
-                                       "b": np.maximum(ids[pi], idt[pj])[here]}))
-        return pd.concat(found, ignore_index=True)
-
-    return left.unionByName(right).groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
-
-
-def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold: 100 |A∩B| >= percent |A∪B|."""
-    pairs = stored(pairs, "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(map_text(texts.join(needed, "doc_id", "left_semi"), ["doc_id"], "text",
-                           "shingles binary", _sets), "sets")
+        links: list[tuple[int, int]] = []
+        if not s.empty and not t.empty:
+            ids, idt = s["doc_id"].to_numpy(), t["doc_id"].to_numpy()
+            ns, nt = s["n_shingles"].to_numpy(), t["n_shingles"].to_numpy()
+            cs, ct = s["comp"].to_numpy(), t["comp"].to_numpy()
+            ok = cs[:, None] != ct[None, :]
+            ok &= ~t["odd"].to_numpy()[None, :] | (ids[:, None] < idt[None, :])
+            ok &= np.minimum(ns[:, None], nt) * 100 >= np.maximum(ns[:, None], nt) * percent
+            i, j = np.nonzero(ok)
+            sa = np.frombuffer(b"".join(s["sig"]), np.uint16).reshape(-1, HASHES)
+            sb = np.frombuffer(b"".join(t["sig"]), np.uint16).reshape(-1, HASHES)
+            left_sets, right_sets = s["shingles"].to_numpy(), t["shingles"].to_numpy()
+            root: dict[int, int] = {}
+
+            def find(c: int) -> int:
+                while (p := root.get(c, c)) != c:
+                    c = p
+                return c
+
+            for start in range(0, len(i), 1 << 16):
+                pi, pj = i[start:start + (1 << 16)], j[start:start + (1 << 16)]
+                alive = _sequential(sa, sb, pi, pj, floors)
+                pi, pj = pi[alive], pj[alive]
+                equal = sa[pi] == sb[pj]
+                same = equal.reshape(-1, BANDS, ROWS).all(axis=2)
+                order = np.argsort(-equal.sum(axis=1), kind="stable")
+                for k in order[~same[order, :band].any(axis=1)]:
+                    p, q = pi[k], pj[k]
+                    cp, cq = find(cs[p]), find(ct[q])
+                    if cp != cq and _reaches(left_sets[p], right_sets[q], percent):
+                        root[max(cp, cq)] = min(cp, cq)
+                        links.append((min(ids[p], idt[q]), max(ids[p], idt[q])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    found = left.unionByName(right).groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
+    firsts = comps.select(F.col("doc_id").alias("a"), F.col("component_id").alias("ca"))
+    return (stored(found, "links").join(firsts, "a", "left")
+            .join(firsts.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b", "left")
+            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+
+
+def _reaches(x: bytes, y: bytes, percent: int) -> bool:
+    """100 |A∩B| >= percent |A∪B| for two stored sets."""
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    merged = np.concatenate((p, q))
+    merged.sort(kind="stable")
+    both = int((merged[1:] == merged[:-1]).sum())
+    return both > 0 and 100 * both >= percent * (len(merged) - both)
+
+
+def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets reach the threshold."""
     joined = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
               .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
               .select("a", "b", "sa", "sb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p = np.frombuffer(x.as_buffer(), np.uint64)
-                q = np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
+            ok = [_reaches(x.as_buffer(), y.as_buffer(), percent)
+                  for x, y in zip(batch.column(2), batch.column(3))]
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    return stored(joined.mapInArrow(run, "a long, b long").distinct(), "links")
+    return joined.mapInArrow(run, "a long, b long")
