@@ -16,10 +16,15 @@ def rnd(c, digits: int) -> Column:
     Computed as ``floor(x * 10^d + 0.5) / 10^d`` with plain IEEE double
     operations, so any engine evaluating the same formula gets bit-identical
     results (Spark's ``round`` is HALF_UP on the decimal text, DuckDB's is
-    half-even on the scaled double; they disagree on exact ties).
+    half-even on the scaled double; they disagree on exact ties). NaN is
+    missing (L10) and gives NULL; infinities stay.
     """
     scale = float(10 ** digits)
-    return F.floor(_col(c).cast("double") * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    x = null_nan(c)
+    # Spark's floor(double) is a BIGINT; a value beyond its range (infinity
+    # too) has no decimals to round.
+    return F.when(F.abs(x) < F.lit(2.0 ** 62 / scale),
+                  F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(x)
 
 
 def null_nan(c) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.functions.numeric import quantile_labels
+from panelkit.functions.numeric import null_nan, quantile_labels
 
 
 def quantile_bucket(df: DataFrame, col: str, labels: list[str], out: str,
@@ -75,7 +75,7 @@ def fit_scaler(train: DataFrame, cols: list[str]) -> DataFrame:
     """M3: mean and *population* std per column; zero std -> 1."""
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = null_nan(c)
         aggs.append(F.avg(x).alias(f"{c}__mean"))
         sd = F.stddev_pop(x)
         aggs.append(F.when((sd == 0) | sd.isNull(), F.lit(1.0)).otherwise(sd).alias(f"{c}__std"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.numeric import rnd
+from panelkit.functions.numeric import null_nan, rnd
 from pyspark.sql import types as T
 
 DESCRIBE_PERCENTILES = [0.05, 0.25, 0.5, 0.75, 0.95]
@@ -25,8 +25,8 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def long_values(df: DataFrame, cols: list[str], name: str = "column", value: str = "value",
                 keep_null: bool = False) -> DataFrame:
-    """Unpivot ``cols`` to ``(column, value double)``."""
-    cast = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    """Unpivot ``cols`` to ``(column, value double)``; NaN is missing."""
+    cast = df.select(*[null_nan(c).alias(c) for c in cols])
     out = cast.unpivot([], cols, name, value)
     return out if keep_null else out.where(F.col(value).isNotNull())
 
@@ -118,8 +118,10 @@ def column_modes(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
-    """A10: NULL count per column, only columns with missing values, descending."""
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    """A10: NULL (and NaN) count per column, only columns with missing values, descending."""
+    floats = {c for c, t in df.dtypes if t in ("float", "double")}
+    wide = df.agg(*[F.count_if((null_nan(c) if c in floats else F.col(c)).isNull()).alias(c)
+                    for c in df.columns])
     long = wide.unpivot([], df.columns, "column", "missing")
     return long.where(F.col("missing") > 0).orderBy(F.desc("missing"), "column")
 
@@ -160,15 +162,23 @@ def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5, approx: bool =
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Pairwise-complete Pearson correlation, long form, one aggregate."""
+    """Pairwise-complete Pearson correlation, long form, one aggregate.
+
+    NaN is missing; a column that is constant over a pair's complete rows has
+    no correlation (NULL).
+    """
     pairs = [(a, b) for a in cols for b in cols]
     uniq = {}
     for a, b in pairs:
         key = tuple(sorted((a, b)))
         if key not in uniq:
             uniq[key] = f"c{len(uniq)}"
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(n)
-                    for (a, b), n in uniq.items()])
+    def pearson(a: str, b: str) -> Column:
+        x, y = null_nan(a), null_nan(b)
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), spread)
+
+    wide = df.agg(*[pearson(a, b).alias(n) for (a, b), n in uniq.items()])
     stack = F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
                                F.col(uniq[tuple(sorted((a, b)))]).alias("corr"))
                       for a, b in pairs])
@@ -188,9 +198,9 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
     """Equal-width bins between min and max, last bin closed.
 
     min/max arrive through one scalar subquery (no cross join, nothing
-    through the driver).
+    through the driver). NaN is missing.
     """
-    x = F.col(col).cast("double")
+    x = null_nan(col)
     base = df.where(x.isNotNull()).select(x.alias("x"))
     rng = base.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
     s = F.col("__s")
@@ -207,8 +217,8 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
 
 def boxplot_stats(df: DataFrame, col: str, k: float = 1.5, approx: bool = False,
                   digits: int | None = None) -> DataFrame:
-    """Quartiles, whiskers (extreme points inside the fences), flier count."""
-    x = F.col(col).cast("double")
+    """Quartiles, whiskers (extreme points inside the fences), flier count. NaN is missing."""
+    x = null_nan(col)
     base = df.where(x.isNotNull()).select(x.alias("x"))
     from panelkit.operators.quantiles import quantile_struct
     quart = quantile_struct(base, "x", [0.25, 0.5, 0.75], approx).scalar()

@@ -2,10 +2,10 @@
 
 ``percentile`` merges a value->count map per group in a single task, which
 for a high-cardinality column means one task holding every distinct value.
-Here the distinct values are range-partitioned instead: each partition
-computes running counts over its own slice, one small row per (group,
-partition) gives the offsets, and each requested rank is found by an
-equi-join on the group plus a rank-range condition. The result is the same
+Here the distinct values are cut into slices instead, at bounds found once and
+fixed as data, so that a value's slice is a function of the value alone: one
+small row per (group, slice) gives the offsets, only the slices that hold a
+requested rank are ranked, each by its own running count. The result is the same
 double as Spark's ``percentile``: ``pos = (n-1)*p``, and
 ``(ceil(pos)-pos)*lo + (pos-floor(pos))*hi`` between the two neighbours.
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def exact_quantiles(long: DataFrame, group: str, value: str, ps: list[float],
@@ -21,32 +22,41 @@ def exact_quantiles(long: DataFrame, group: str, value: str, ps: list[float],
     """Quantiles per ``group`` of the non-NULL ``value`` column.
 
     Returns ``(group, p, q)`` with one row per group and requested ``p``.
-    ``partitions`` sets the range partitioning of the distinct values
-    (default: the session's shuffle partition count).
+    ``partitions`` sets the number of slices per group (default: the
+    session's shuffle partition count). The bounds of the slices, at most that
+    many numbers per group, are computed when the plan is built; groups are
+    meant to be columns, not entities.
     """
     spark = long.sparkSession
     k = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = long.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
     counts = vals.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
-    ranged = counts.repartitionByRange(k, "g", "v").withColumn("pid", F.spark_partition_id())
-    # one row per (group, partition): offsets of each slice within its group
-    slices = ranged.groupBy("g", "pid").agg(F.sum("c").alias("pc"))
+    share = [i / k for i in range(1, k)] or [0.5]
+    cuts = spark.createDataFrame(
+        vals.groupBy("g").agg(F.array_distinct(F.percentile_approx("v", share, 1000)).alias("cuts")).collect(),
+        T.StructType([vals.schema["g"], T.StructField("cuts", T.ArrayType(T.DoubleType()))]))
+    slot = F.size(F.filter("cuts", lambda c: c < F.col("v")))
+    sliced = counts.join(F.broadcast(cuts), "g").select("g", "v", "c", slot.alias("pid"))
+    # one row per (group, slice): its ranks [off, off + pc) within the group
+    slices = sliced.groupBy("g", "pid").agg(F.sum("c").alias("pc"))
     before = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.select("g", "pid", F.coalesce(F.sum("pc").over(before), F.lit(0)).alias("off"),
+    slices = slices.select("g", "pid", "pc", F.coalesce(F.sum("pc").over(before), F.lit(0)).alias("off"),
                            F.sum("pc").over(Window.partitionBy("g")).alias("n"))
-    # running count inside each slice (a slice is bounded by the range partitioning)
-    inside = Window.partitionBy("g", "pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = ranged.withColumn("cum", F.sum("c").over(inside))
-    ranks = ranks.join(F.broadcast(slices), ["g", "pid"]).select(
-        "g", "v", (F.col("off") + F.col("cum") - F.col("c")).alias("first"),
-        (F.col("off") + F.col("cum")).alias("end"))  # value covers ranks [first, end)
     # targets: the two neighbouring ranks of every requested quantile
-    totals = slices.select("g", "n").distinct()
     probs = F.array(*[F.lit(float(p)) for p in ps])
-    targets = totals.select("g", "n", F.explode(probs).alias("p")).withColumn(
+    targets = slices.select("g", "n").distinct().select("g", "n", F.explode(probs).alias("p")).withColumn(
         "pos", (F.col("n") - 1).cast("double") * F.col("p"))
     targets = targets.select("g", "p", "pos", F.floor("pos").alias("lo"), F.ceil("pos").alias("hi"))
-    hit = ranks.join(F.broadcast(targets), "g").where(
+    wanted = slices.join(targets, "g").where(
+        ((F.col("lo") >= F.col("off")) & (F.col("lo") < F.col("off") + F.col("pc")))
+        | ((F.col("hi") >= F.col("off")) & (F.col("hi") < F.col("off") + F.col("pc"))))
+    # running count inside the wanted slices only
+    inside = Window.partitionBy("g", "pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = (sliced.join(wanted.select("g", "pid", "off").distinct(), ["g", "pid"])
+             .withColumn("cum", F.sum("c").over(inside))
+             .select("g", "pid", "v", (F.col("off") + F.col("cum") - F.col("c")).alias("first"),
+                     (F.col("off") + F.col("cum")).alias("end")))  # value covers ranks [first, end)
+    hit = ranks.join(wanted.select("g", "pid", "p", "pos", "lo", "hi"), ["g", "pid"]).where(
         ((F.col("lo") >= F.col("first")) & (F.col("lo") < F.col("end")))
         | ((F.col("hi") >= F.col("first")) & (F.col("hi") < F.col("end"))))
     picked = hit.groupBy("g", "p", "pos", "lo", "hi").agg(

@@ -19,9 +19,9 @@ def key_union(dfs: list[DataFrame]) -> DataFrame:
 
 def key_except(requested: DataFrame, known: DataFrame) -> DataFrame:
     """Requested keys that are not known (set difference, distinct)."""
-    return requested.subtract(known)
+    return requested.distinct().subtract(known.distinct())
 
 
 def key_intersect(a: DataFrame, b: DataFrame) -> DataFrame:
     """U4: keys present in both."""
-    return a.intersect(b)
+    return a.distinct().intersect(b.distinct())

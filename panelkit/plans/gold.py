@@ -39,11 +39,14 @@ HOTEL_COLUMNS = {
 def weather_daily(spark: SparkSession, path: str, latest_only: bool = True) -> DataFrame:
     """One row per location and day; location code -> province
     (unknown codes pass through). ``latest_only`` keeps only the newest
-    download per location (greatest file name), so re-downloads do not
-    double the days (ledger L2)."""
+    download per location and date range (greatest file name), so
+    re-downloads do not double the days (ledger L2) and files of different
+    ranges all count."""
     daily = read_daily_json(spark, path, DAILY_WEATHER_VARS)
     if latest_only:
-        key = F.coalesce("location_code", "source_file")
+        # location and range: the file name up to its second date
+        span = F.regexp_extract("source_file", r"^(.*?_\d{8}_\d{8})", 1)
+        key = F.coalesce(F.nullif(span, F.lit("")), "source_file")
         daily = daily.withColumn("__key", key)
         newest = daily.groupBy("__key").agg(F.max("source_file").alias("source_file"))
         daily = daily.join(newest, ["__key", "source_file"], "left_semi").drop("__key")
@@ -148,8 +151,10 @@ def gold_monthly_features(spark: SparkSession, weather: DataFrame, holidays: Dat
     if hotels is not None:
         hcols = list(HOTEL_COLUMNS.values())
         # One hotel row per key; the greatest (source_file, year, month) wins.
+        # Rows of one file are told apart by their values, so the choice is the
+        # same under any partitioning.
         h = latest_per_key(hotels.select("province", "year_month", "source_file", *hcols),
-                           ["province", "year_month"], ["source_file"])
+                           ["province", "year_month"], ["source_file", *hcols])
         sides.append(Side(h, ["province", "year_month"], hcols))
     panel = feature_panel(weather, sides)
     for c in ["national_holiday_count", "regional_holiday_count", "aena_passengers", "aena_operations",

@@ -281,14 +281,14 @@ def numeric_coercion(spark, sf):
     SELECT vec_id, time, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b FROM (
       SELECT vec_id, CAST(i AS INTEGER) AS time, embedding[i + 1] AS a,
              CASE WHEN i < 8 + label * 4 THEN embedding[i + 1] END AS b
-      FROM embeddings, range(48) t(i))""")
+      FROM (SELECT vec_id, label, embedding, unnest(range(len(embedding))) AS i FROM embeddings))""")
 def parallel_array_explode(spark, sf):
     """S1/F-A1: aligned arrays of unequal length exploded by the time array's
-    positions; a shorter array pads with NULL, a longer one is cut."""
+    positions, one per element of the embedding; a shorter array pads with NULL."""
     e = table(spark, sf, "embeddings")
     emb = F.transform("embedding", lambda x: x.cast("double"))
     doc = e.select("vec_id", F.struct(
-        F.sequence(F.lit(0), F.lit(47)).alias("time"),
+        F.transform("embedding", lambda x, i: i).alias("time"),
         emb.alias("a"),
         F.slice(emb, 1, F.lit(8) + F.col("label") * 4).alias("b")).alias("daily"))
     return S.explode_parallel_arrays(doc, "daily", "time", ["a", "b"], keep=["vec_id"])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelkit.session import shared_dir
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -31,17 +33,13 @@ def shared_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     key = (app, sf_dir.rstrip("/"), name)
     df = _SHARED.get(key)
     if df is None:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        df = None
+        base = shared_dir(spark)
         if base:
             tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
             path = f"{base.rstrip('/')}/panelkit_tables/{app}/{name}-{tag}"
-            try:
-                build().write.mode("overwrite").parquet(path)
-                df = spark.read.parquet(path)
-            except Exception:  # folder not writable: keep the table in the session instead
-                df = None
-        if df is None:
+            build().write.mode("overwrite").parquet(path)
+            df = spark.read.parquet(path)
+        else:
             df = build().cache()
         _SHARED[key] = df
     return df

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every panelkit job relies on. AQE re-plans joins from runtime
@@ -52,20 +50,17 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     Only when it is unset (local tests) is ``fallback`` installed; there is
     no machine-local default on purpose.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = shared_dir(spark) or fallback
     if not current:
-        if not fallback:
-            raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-        current = fallback
-        spark.conf.set("spark.checkpoint.dir", current)
+        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current
 
 
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default
+def shared_dir(spark: SparkSession) -> str | None:
+    """The folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
 def materialize(df):
@@ -76,7 +71,7 @@ def materialize(df):
     tables whose size is bounded (e.g. one row per file).
     """
     spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None):
+    if shared_dir(spark):
         checkpoint_dir(spark)
         return df.checkpoint(eager=True)
     return df.cache()

@@ -125,7 +125,7 @@ def reject_reason(content, suffix, min_bytes: int = 100) -> Column:
     """Why a payload must be quarantined, NULL when it is fine:
     too small, HTML instead of data, or an .xlsx without the ``PK`` header."""
     body = F.coalesce(_col(content).cast("string"), F.lit(""))
-    head = F.lower(F.regexp_replace(body, "^" + ASCII_WS + "+", ""))
+    head = F.lower(F.substring(F.regexp_replace(body, "^" + ASCII_WS + "+", ""), 1, 32))
     return (F.when(F.octet_length(body) < min_bytes, F.lit("too_small"))
              .when(head.startswith("<!doctype html") | head.startswith("<html"), F.lit("html"))
              .when((_col(suffix) == ".xlsx") & ~body.startswith("PK"), F.lit("not_xlsx")))
@@ -144,11 +144,12 @@ def explode_parallel_arrays(df: DataFrame, struct_col: str, time_field: str, val
 
 def read_daily_json(spark: SparkSession, path: str, variables: list[str]) -> DataFrame:
     """S1 scan: column-array JSON documents with a fixed schema (missing
-    variables are NULL arrays), exploded to one row per day."""
+    variables are NULL arrays), exploded to one row per day. A document that
+    does not parse fails the read."""
     daily = T.StructType([T.StructField("time", T.ArrayType(T.StringType()))] +
                          [T.StructField(v, T.ArrayType(T.DoubleType())) for v in variables])
     schema = T.StructType([T.StructField("daily", daily)])
-    df = read_with_file_name(spark, "json", path, schema, multiLine="true")
+    df = read_with_file_name(spark, "json", path, schema, multiLine="true", mode="FAILFAST")
     df = df.withColumn("location_code", location_code("source_file"))
     return explode_parallel_arrays(df, "daily", "time", variables, keep=["source_file", "location_code"])
 

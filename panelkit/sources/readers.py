@@ -8,31 +8,41 @@ from pyspark.sql import functions as F
 from panelkit import schemas
 
 
-def read_csv_strings(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8",
+def read_csv_strings(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8",
                      header: bool = True) -> DataFrame:
-    """S3: header CSV, every column as a string (no inference)."""
+    """S3: header CSV, every column as a string (no inference).
+
+    Quoted fields may hold line breaks and doubled quotes. All files must
+    have the same header; another one fails the read instead of shifting
+    columns.
+    """
+    return (_csv(spark, path, sep, encoding, header)
+            .select("*", F.col("_metadata.file_name").alias("source_file")))
+
+
+def _csv(spark: SparkSession, path: str | list[str], sep: str, encoding: str, header: bool = True) -> DataFrame:
     return (spark.read.option("header", str(header).lower()).option("inferSchema", "false")
-            .option("sep", sep).option("encoding", encoding).option("multiLine", "false")
-            .csv(path).withColumn("source_file", F.col("_metadata.file_name")))
+            .option("enforceSchema", "false").option("sep", sep).option("encoding", encoding)
+            .option("multiLine", "true").option("quote", '"').option("escape", '"').csv(path))
 
 
 def read_csv_utf8_or_latin1(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """Semicolon CSV decoded as UTF-8, falling back to Latin-1 for files
     that are not valid UTF-8 (``is_valid_utf8`` on the raw lines).
 
-    The decision is per file, from one distributed scan; only the (small)
-    list of fallback file names reaches the driver.
+    The decision is per file, by full path, from one distributed scan. The
+    paths come to the driver, where Spark's own file listing already is; each
+    encoding's files are then read (and their headers compared) by themselves.
     """
-    probe = (spark.read.text(path).select(F.col("_metadata.file_path").alias("f"), "value")
-             .where(~F.is_valid_utf8("value")).select("f").distinct())
-    latin = [r.f for r in probe.collect()]
-    utf8 = read_csv_strings(spark, path, sep=sep, encoding="UTF-8")
-    if not latin:
-        return utf8
-    names = [p.rsplit("/", 1)[-1] for p in latin]
-    good = utf8.where(~F.col("source_file").isin(names))
-    fallback = read_csv_strings(spark, latin, sep=sep, encoding="ISO-8859-1")
-    return good.unionByName(fallback, allowMissingColumns=True)
+    probe = (spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("f"))
+             .agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8")).collect())
+    parts = []
+    for encoding, valid in (("UTF-8", True), ("ISO-8859-1", False)):
+        if paths := sorted(r["f"] for r in probe if r["utf8"] is valid):
+            parts.append(read_csv_strings(spark, paths, sep=sep, encoding=encoding))
+    if not parts:
+        return read_csv_strings(spark, path, sep=sep)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 def read_manifests(spark: SparkSession, path: str, suffix: str = ".metadata.json") -> DataFrame:
