@@ -93,6 +93,18 @@ def bounded_sample(df: DataFrame, key, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int((1 << 30) * rows / total))
 
 
+def sampled_texts(docs: DataFrame, marks: DataFrame, rows: int) -> DataFrame:
+    """The text and the marks of at most about ``rows`` marked documents, stored.
+
+    ``marks`` has doc_id and further columns. The sample is drawn from the
+    marks before any text is read, so its broadcast is bounded and no text is
+    shuffled; repeated and null ids of the marks count once and not at all.
+    """
+    marks = marks.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    chosen = F.broadcast(bounded_sample(marks, F.col("doc_id"), rows))
+    return stored(docs.select("doc_id", "text").join(chosen, "doc_id").drop("doc_id"), "labelled")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table (one Parquet file or folder)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -15,12 +15,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import bounded_sample, map_text
+from panelkit.llm.common import bounded_sample, map_text, sampled_texts
 
 BLOCK = 2048                # bytes compressed at a time, so that dictionaries matter throughout
 LEVEL = 3
 DICTIONARY_BYTES = 65536
 DICTIONARY_BLOCKS = 4000    # blocks a class gives to its dictionary, at most
+LABELLED_ROWS = 20000       # labelled documents a model is fitted on, at most
 CALIBRATION_ROWS = 20000    # labelled rows the calibration is fitted on, at most
 RIDGE = 0.1
 
@@ -154,10 +155,9 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
-                   held: int) -> DataFrame:
-    """(text, label) of the labelled documents outside the held-out fold."""
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int,
+                   rows: int = LABELLED_ROWS) -> DataFrame:
+    """(text, label) of at most ``rows`` labelled documents outside the held-out fold."""
     marks = (labels.where(remainder("doc_id", modulus) != held)
-             .select("doc_id", F.col(label).cast("int").alias("label")).where("label IS NOT NULL")
-             .dropDuplicates(["doc_id"]))
-    return docs.select("doc_id", "text").join(marks, "doc_id").select("text", "label")
+             .select("doc_id", F.col(label).cast("int").alias("label")).where("label IS NOT NULL"))
+    return sampled_texts(docs, marks, rows)

@@ -19,7 +19,7 @@ from panelkit.llm import (
     toxicity,
     warc,
 )
-from panelkit.llm.common import table
+from panelkit.llm.common import sampled_texts, table
 
 KEEP_SCORE = 0.3    # a document counts as the positive class from this score on
 NEIGHBOURS = 20
@@ -45,7 +45,8 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document; rows with a null id count as held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.fit(quality.labelled_texts(docs, table(spark, sf_dir, "labels"), "toxic", 4, 2))
+    model = toxicity.fit(quality.labelled_texts(docs, table(spark, sf_dir, "labels"), "toxic", 4, 2,
+                                              toxicity.TRAIN_ROWS))
     scored = toxicity.score(docs, model, ["doc_id"])
     return scored.select("doc_id", F.coalesce(quality.remainder("doc_id", 4) == 2, F.lit(True)).alias("held_out"),
                          "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
@@ -87,10 +88,10 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, domain) of the documents in the labelled table; the domain is the language."""
-    marked = labels.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    return docs.select("doc_id", "text", "lang").join(marked, "doc_id").select(
-        "text", F.col("lang").alias("domain"))
+    """(text, domain) of a sample of the documents in the labelled table; the domain is the language."""
+    marks = docs.select("doc_id", F.col("lang").alias("domain")).join(
+        labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    return sampled_texts(docs, marks, mixing.LABELLED_ROWS)
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
