@@ -8,6 +8,7 @@ loser tree into the captures of all archives by URL key and timestamp.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -32,7 +33,7 @@ def _header(name: str, value: Column) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """Write (page_id, url, html[, ts]) as WARC files below ``path``, RECORDS_PER_FILE records each.
+    """Write (page_id, url, html[, ts]) as gzipped WARC files below ``path``, RECORDS_PER_FILE records each.
 
     Of records with equal payloads of at least REVISIT_BYTES bytes the one
     with the smallest page id is a response, the others revisit it. A null
@@ -67,7 +68,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
         _header("Content-Type", F.lit("application/http; msgtype=response")),
         _header("Content-Length", F.octet_length("block")), F.lit(CRLF), F.col("block"))
     (rows.withColumn("block", block).select(record.alias("value")).write
-     .option("lineSep", CRLF * 2).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+     .option("lineSep", CRLF * 2).option("maxRecordsPerFile", RECORDS_PER_FILE)
+     .option("compression", "gzip").text(path))
 
 
 def url_key(url: str | None) -> str:
@@ -106,7 +108,10 @@ RUN_FIELDS = ("urlkey string, ts string, page_id long, url string, record_type s
 
 
 def _entries(file: str, data: bytes) -> list[tuple]:
-    """The index entries of an archive, sorted: one run. Stored payloads must match their digest."""
+    """The index entries of an archive, sorted: one run. Stored payloads must match their digest.
+
+    Offsets and lengths count bytes of the archive as unpacked.
+    """
     out = []
     for offset, length, h, block in records(data):
         head, _, payload = block.partition(b"\r\n\r\n")
@@ -136,7 +141,7 @@ def read_runs(spark, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, data in zip(batch.column(0), batch.column(1)):
-                rows = _entries(file.as_py(), data.as_py())
+                rows = _entries(file.as_py(), gzip.decompress(data.as_py()))
                 for start in range(0, len(rows), 10_000):
                     frame = pd.DataFrame(rows[start:start + 10_000], columns=names).astype(
                         {"page_id": "Int64", "refers_to": "Int64"})
