@@ -10,14 +10,16 @@ neutral mention of a group does not move the score.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import bounded_sample, map_text
+from panelkit.llm.common import bounded_sample, map_text, stored
 
 TRAIN_ROWS = 12000       # labelled rows the model is fitted on, at most
 STEPS = 400
@@ -25,6 +27,7 @@ RIDGE = 1e-4             # L2 penalty on standardised weights
 COUNTERFACTUAL = 1.0     # weight of the squared score change under a swap
 STANDOUT = 3.0           # standard deviations by which a feature's toxic texts differ from chance
 PREFIX = 5               # characters of a word's beginning
+VOCABULARY = 50000       # features of the model, at most: those that stand out most
 
 # Words that name groups of people.
 IDENTITY_TERMS = """
@@ -56,6 +59,9 @@ def _hashes(texts: list) -> dict[str, list]:
     return {"w": [sorted(h for w in words(t) for h in features(w)) for t in texts]}
 
 
+TERMS = np.unique([_hash(w) for w in IDENTITY_TERMS])
+
+
 @dataclass
 class ToxicityModel:
     """Weights by feature hash; features outside the model weigh nothing."""
@@ -125,50 +131,83 @@ def _solve(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, swap_in: np
     return scale * w, b
 
 
-def train(samples: list[tuple[list[int], int]]) -> ToxicityModel:
-    """Fit on (feature hashes, label) rows."""
-    y = np.array([label for _, label in samples], float)
+def train(labels: list[int], rows: list[np.ndarray], sizes: list[int], stand: dict[int, float]) -> ToxicityModel:
+    """Fit on texts given by their label, their features in the vocabulary and their feature count.
+
+    The vocabulary is ``stand`` (standard deviations from chance by feature
+    hash) and the identity terms, in the order of :func:`vocabulary_of`.
+    """
+    y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         p = np.clip(y.mean() if len(y) else 0.5, 1e-6, 1 - 1e-6)
         return ToxicityModel(bias=float(np.log(p / (1 - p))))
-    texts = [np.array(w, np.int64) for w, _ in samples]
-    distinct = [np.unique(t) for t in texts]
-    seen, place = np.unique(np.concatenate(distinct), return_inverse=True)
-    times = np.bincount(place, minlength=len(seen))
-    toxic = np.bincount(place, np.repeat(y, [len(t) for t in distinct]), len(seen))
-    chance = times * y.mean()
-    stand = (toxic - chance) / np.sqrt(chance + 1)
-    terms = np.unique([h for w in IDENTITY_TERMS for h in features(w)[:1]])
-    vocabulary = np.union1d(seen[np.abs(stand) >= STANDOUT], terms)
-    scale = np.ones(len(vocabulary))
-    known = np.isin(vocabulary, seen)
-    scale[known] = np.maximum(np.abs(stand[np.searchsorted(seen, vocabulary[known])]), 1.0) / STANDOUT
-    rows = []
-    for t in texts:
-        at = np.minimum(np.searchsorted(vocabulary, t), len(vocabulary) - 1)
-        rows.append(at[vocabulary[at] == t])
-    term_at = np.searchsorted(vocabulary, terms)
+    vocabulary = vocabulary_of(stand)
+    scale = np.array([max(abs(stand[h]), 1.0) / STANDOUT if h in stand else 1.0 for h in vocabulary.tolist()])
+    term_at = np.searchsorted(vocabulary, TERMS)
     swap_in, swap_out = np.empty(len(rows), np.int64), np.full(len(rows), -1)
     for k, r in enumerate(rows):
         mine = r[np.isin(r, term_at)]
-        swap_in[k] = term_at[(k * 7919 + len(texts[k])) % len(term_at)]
+        swap_in[k] = term_at[(k * 7919 + sizes[k]) % len(term_at)]
         if len(mine):
             swap_out[k] = mine[k % len(mine)]
     w, b = _solve(rows, y, scale, swap_in, swap_out)
     return ToxicityModel(dict(zip(vocabulary.tolist(), w.tolist())), float(b))
 
 
+def vocabulary_of(stand: dict[int, float]) -> np.ndarray:
+    """The sorted feature hashes of the model: features that stand out and identity terms."""
+    return np.union1d(np.fromiter(stand, np.int64, len(stand)), TERMS)
+
+
+def standing_out(hashed: DataFrame, texts: int, toxic: int) -> DataFrame:
+    """(h, stand) of the features whose toxic texts differ from chance by STANDOUT, and of identity terms.
+
+    ``hashed`` has the label and the features ``w`` of each text; counts are
+    combined before the shuffle, and the VOCABULARY features that stand out
+    most are chosen.
+    """
+    counts = (hashed.select("label", F.explode(F.array_distinct("w")).alias("h")).groupBy("h")
+              .agg(F.count("*").alias("times"), F.sum("label").alias("toxic")))
+    chance = F.col("times") * F.lit(toxic / texts)
+    return (counts.select("h", ((F.col("toxic") - chance) / F.sqrt(chance + 1)).alias("stand"))
+            .where((F.abs("stand") >= STANDOUT) | F.col("h").isin(TERMS.tolist()))
+            .orderBy(F.abs("stand").desc(), "h").limit(VOCABULARY))
+
+
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> ToxicityModel:
     """Fit on at most TRAIN_ROWS rows with a text and a label (1 toxic), chosen by the text's hash.
 
-    Null texts and labels are left out. With one class only, every score is
-    the share of toxic rows; without rows 0.5.
+    Features are counted by Spark; only the vocabulary (at most VOCABULARY
+    hashes) and each text's places in it reach the driver, packed. Null texts
+    and labels are left out. With one class only, every score is the share of
+    toxic rows; without rows 0.5.
     """
     rows = (labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
             .where("text IS NOT NULL AND label IN (0, 1)"))
     rows = bounded_sample(rows, F.col("text"), TRAIN_ROWS)
-    got = map_text(rows, ["label"], "text", "w array<long>", _hashes).select("w", "label").collect()
-    return train(sorted((r["w"], r["label"]) for r in got))
+    hashed = stored(map_text(rows, ["label"], "text", "w array<long>", _hashes).select("label", "w"), "features")
+    total = hashed.agg(F.count("*").alias("texts"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
+    if total["toxic"] in (0, total["texts"]):
+        return train([total["toxic"] > 0] * total["texts"], [], [], {})
+    stand = {r["h"]: r["stand"] for r in standing_out(hashed, total["texts"], total["toxic"]).collect()}
+    vocabulary = vocabulary_of(stand)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed, sizes = [], []
+            for w in batch.column(1):
+                h = w.values.to_numpy()
+                at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
+                packed.append(np.sort(at[vocabulary[at] == h]).astype(np.int32).tobytes())
+                sizes.append(len(h))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(packed, pa.binary()), pa.array(sizes, pa.int32())],
+                names=["label", "at", "size"])
+
+    got = hashed.mapInArrow(places, "label int, at binary, size int").collect()
+    got.sort(key=lambda r: (r["at"], r["size"], r["label"]))
+    return train([r["label"] for r in got], [np.frombuffer(r["at"], np.int32) for r in got],
+                 [r["size"] for r in got], stand)
 
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str], text_col: str = "text",

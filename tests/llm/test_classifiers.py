@@ -28,7 +28,7 @@ def test_toxicity_on_held_out_documents(spark):
     assert acc[0] >= 0.95 and acc[1] >= 0.6
 
 
-def test_identity_terms_do_not_move_the_score():
+def test_identity_terms_do_not_move_the_score(spark):
     rnd = random.Random(1)
     rows = []
     for k in range(400):
@@ -37,8 +37,8 @@ def test_identity_terms_do_not_move_the_score():
         words |= {"vile"} if bad else set()
         if rnd.random() < (0.6 if bad else 0.1):  # a biased corpus: toxic texts mention women more often
             words.add("women")
-        rows.append((toxicity._hashes([" ".join(words)])["w"][0], bad))
-    model = toxicity.train(rows)
+        rows.append((" ".join(words), bad))
+    model = toxicity.fit(spark.createDataFrame(rows, "text string, label int"))
     plain, women, men, vile = model.scores(["calm day", "calm day women", "calm day men", "vile day"])
     assert vile > 0.8 and plain < 0.2 and abs(women - plain) < 0.1 and abs(women - men) < 0.1
 
