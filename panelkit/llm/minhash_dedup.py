@@ -98,8 +98,9 @@ def _sign(texts: list) -> dict[str, list]:
     sets = [shingle_set(text) for text in texts]
     full = [k for k, fp in enumerate(sets) if len(fp)]
     sigs = np.stack([signature(sets[k]) for k in full]) if full else np.empty((0, HASHES), np.uint32)
+    sigs = sigs.astype(np.uint16)  # bands and comparisons see the same values
     out: dict[str, list] = {c: [None] * len(texts) for c in ("set_hash", "sig", "bands")}
-    for k, sig, keys in zip(full, sigs.astype(np.uint16), band_keys(sigs)):
+    for k, sig, keys in zip(full, sigs, band_keys(sigs)):
         out["set_hash"][k] = xxhash.xxh3_128_digest(sets[k].tobytes())
         out["sig"][k], out["bands"][k] = sig.tobytes(), keys
     return {"n_shingles": [len(fp) for fp in sets], **out}
