@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.text import entity_key, normalize_text
-from panelkit.operators.joins import next_match
+from panelkit.operators.joins import bounded_broadcast, next_match
 
 # Fixed values of the airport-statistics layout.
 TITLE_TERMS = ["PASAJEROS", "OPERACIONES", "MERCANCIA"]
@@ -43,10 +43,11 @@ def row_texts(cells: DataFrame, max_row: int) -> DataFrame:
 
 def find_title_rows(cells: DataFrame, title_terms: list[str] = TITLE_TERMS,
                     header_terms: list[str] = HEADER_TERMS, max_rows: int = 20,
-                    strict: bool = False) -> DataFrame:
+                    strict: bool = True) -> DataFrame:
     """G1: per file, the first sheet (by ``sheet_index``) and first row whose
     text contains every title term while the next row contains every header
-    term, searching rows ``< min(max_rows, n_rows - 2)``."""
+    term, searching rows ``< min(max_rows, n_rows - 2)``. A file without such
+    a row fails the job when ``strict``, and has no title row otherwise."""
     texts = row_texts(cells, max_rows)
     n_rows = cells.groupBy("source_file", "sheet_index").agg((F.max("row") + 1).alias("n_rows"))
     nxt = texts.select("source_file", "sheet_index", (F.col("row") - 1).alias("row"),
@@ -69,7 +70,7 @@ def find_title_rows(cells: DataFrame, title_terms: list[str] = TITLE_TERMS,
 
 
 def pair_blocks(cells: DataFrame, titles: DataFrame, expected: int = 3, metrics: list[str] = METRICS,
-                strict: bool = False) -> DataFrame:
+                strict: bool = True) -> DataFrame:
     """On the header row (title + 1), pair each name column with the next
     TOTAL column to its right; name columns are numbered left to right and
     mapped onto ``metrics``. Layout errors (not exactly ``expected`` name
@@ -98,32 +99,31 @@ def pair_blocks(cells: DataFrame, titles: DataFrame, expected: int = 3, metrics:
                         F.col("col").alias("name_col"), "total_col")
 
 
-def extract_blocks(cells: DataFrame, pairs: DataFrame, strict: bool = False) -> DataFrame:
+def extract_blocks(cells: DataFrame, pairs: DataFrame, strict: bool = True) -> DataFrame:
     """Rows ``title+3`` up to the first row whose name starts with TOTAL;
     blank names skipped; value NULL -> 0, truncated to bigint; a repeated
     name keeps its last row. Blocks without a TOTAL row fail when ``strict``
     and are dropped otherwise.
 
-    Each sheet row is gathered once into a ``col -> value`` map (bounded by
-    the row's width); the blocks of its file (a handful of rows, broadcast)
-    then read their name and total cells from that map, so no cell-to-cell
-    join is needed.
+    Only the cells of name and total columns are kept, by an equi-join with
+    the block layout (two rows per block; broadcast after a check of its size,
+    shuffled beyond it), before the two cells of a row and block are paired.
     """
-    keep = pairs.select("source_file", "sheet_index").distinct()
-    rows = (cells.join(F.broadcast(keep), ["source_file", "sheet_index"], "left_semi")
-                 .groupBy("source_file", "sheet_index", "row")
-                 .agg(F.map_from_entries(F.collect_list(F.struct("col", "value"))).alias("cells")))
-    blocks = pairs.select("source_file", "sheet_index", "title_row", "block", "metric", "name_col", "total_col")
-    per_block = (rows.join(F.broadcast(blocks), ["source_file", "sheet_index"])
-                     .where(F.col("row") >= F.col("title_row") + 3)
-                     .select("source_file", "block", "metric", "row",
-                             F.col("cells")[F.col("name_col")].alias("name"),
-                             F.col("cells")[F.col("total_col")].alias("raw")))
-    norm = normalize_text("name")
-    staged = per_block.withColumn("__norm", norm)
+    wanted = pairs.select("source_file", "sheet_index", "title_row", "block", "metric", F.inline(F.array(
+        F.struct(F.col("name_col").alias("col"), F.lit(True).alias("is_name")),
+        F.struct(F.col("total_col").alias("col"), F.lit(False).alias("is_name")))))
+    staged = (cells.join(bounded_broadcast(wanted), ["source_file", "sheet_index", "col"])
+                   .where(F.col("row") >= F.col("title_row") + 3)
+                   .groupBy("source_file", "block", "metric", "row")
+                   .agg(F.max(F.when(F.col("is_name"), F.col("value"))).alias("name"),
+                        F.max(F.when(~F.col("is_name"), F.col("value"))).alias("raw"))
+                   .withColumn("__norm", normalize_text("name")))
     ends = (staged.where(F.col("__norm").startswith("TOTAL"))
                   .groupBy("source_file", "block").agg(F.min("row").alias("end_row")))
     if strict:
+        from panelkit.session import materialize
+
+        ends = materialize(ends)  # one row per block
         _fail_if_any(pairs.join(ends, ["source_file", "block"], "left_anti"), "no total row in block")
     value = F.coalesce(F.nanvl(F.col("raw").cast("double"), F.lit(None).cast("double")), F.lit(0.0)).cast("bigint")
     data = (staged.join(ends, ["source_file", "block"]).where(F.col("row") < F.col("end_row"))
@@ -141,7 +141,7 @@ def pivot_blocks(blocks: DataFrame, metrics: list[str] = METRICS, fill: int = 0)
                        *[F.coalesce(F.col(m), F.lit(fill)).cast("bigint").alias(m) for m in metrics])
 
 
-def tidy_table(cells: DataFrame, strict: bool = False, materialize_layout: bool = True) -> DataFrame:
+def tidy_table(cells: DataFrame, strict: bool = True, materialize_layout: bool = True) -> DataFrame:
     """G1-G4 end to end.
 
     The title rows and block pairs (a few rows per file) feed several

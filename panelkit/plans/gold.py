@@ -18,6 +18,7 @@ from panelkit.functions.text import strip_ws, title_case
 from panelkit.operators import grid as G
 from panelkit.operators.joins import Side, drop_known, feature_panel, latest_per_key, lookup, resolve_alias, unmapped
 from panelkit.operators.rollups import monthly_rollup, parent_rollup, scoped_counts
+from panelkit.session import materialize
 from panelkit.sources.dims import DAILY_WEATHER_VARS, GOLD_FEATURE_SOURCE, NATIONAL_REGION_CODE, dimension
 from panelkit.sources.files import file_fields, read_daily_json
 from panelkit.sources.sinks import conform
@@ -103,8 +104,8 @@ def silver_holidays(calendar: DataFrame) -> DataFrame:
 def silver_air_traffic(spark: SparkSession, cells: DataFrame, strict: bool = True) -> DataFrame:
     """G1-G4 + S2 + J3: airport-month rows from workbook cells. Unparsable
     file names and unmapped airports fail the job when ``strict``."""
-    titles = G.find_title_rows(cells, strict=strict)
-    pairs = G.pair_blocks(cells, titles, strict=strict)
+    titles = materialize(G.find_title_rows(cells, strict=strict))
+    pairs = materialize(G.pair_blocks(cells, titles, strict=strict))
     tidy = G.pivot_blocks(G.extract_blocks(cells, pairs, strict=strict))
     airports = dimension(spark, "airport_provinces")
     tidy = tidy.withColumnRenamed("entity_name", "airport_normalized")

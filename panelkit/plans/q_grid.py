@@ -17,6 +17,7 @@ from panelkit.plans.oracle_blocks import BLOCKS, sql_normalize, with_blocks
 from panelkit.plans.q_text import _sql_entity_name
 from panelkit.plans.registry import register
 from panelkit.plans.tables import table
+from panelkit.session import materialize
 
 # Fixed layout of the rendered workbook: (row, col, text) of the static cells.
 NOTES_SHEET = [(0, 0, "Pasajeros, operaciones y mercancía"), (1, 0, "Sin datos"), (2, 0, "Fin")]
@@ -157,14 +158,15 @@ def grid_title_row(spark, sf):
     "SELECT source_file, block, metric, name_col, total_col FROM pairs", "pairs"))
 def grid_block_pairs(spark, sf):
     cells = render_cells(spark, sf)
-    return G.pair_blocks(cells, G.find_title_rows(cells)).select(
+    return G.pair_blocks(cells, materialize(G.find_title_rows(cells))).select(
         "source_file", "block", "metric", "name_col", "total_col")
 
 
 @register("grid_block_extract", with_blocks("SELECT * FROM blocks", "blocks"))
 def grid_block_extract(spark, sf):
     cells = render_cells(spark, sf)
-    return G.extract_blocks(cells, G.pair_blocks(cells, G.find_title_rows(cells)))
+    titles = materialize(G.find_title_rows(cells))
+    return G.extract_blocks(cells, materialize(G.pair_blocks(cells, titles)))
 
 
 @register("grid_tidy_table", with_blocks(f"""
