@@ -57,8 +57,10 @@ def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     Words are runs of letters (bytes from 128 up count as letters, an
     apostrophe between letters too) or numbers (digits with . , : / between
     digits). A number is <num>; a unit word after a number <unit>; a run of
-    capitalised words that do not begin a sentence, one <name>. Hashes are of
-    the lower-cased word; punctuation only marks sentence starts.
+    capitalised words that do not begin a sentence, one <name>; single letters
+    and words that begin with two capitals are none, so that a text all in
+    capitals keeps its words. Hashes are of the lower-cased word; punctuation
+    only marks sentence starts.
     """
     raw = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
     pad = np.zeros(len(raw) + 2, np.uint8)
@@ -89,10 +91,10 @@ def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     np.cumsum((raw == 46) | (raw == 33) | (raw == 63) | (raw == 10), out=stops[1:])
     after = np.zeros(len(start), bool)
     after[1:] = stops[start[1:]] == stops[end[:-1]]
-    second = np.minimum(start + 1, len(raw) - 1)
-    first_up = upper[start] | accented[second]
-    shouted = (end - start > 1) & upper[second]
-    name = (kind == LITERAL) & after & first_up & ~shouted
+    wide = accented.take(start + 1, mode="clip")  # an accented capital takes two bytes
+    second = start + 1 + wide
+    shouted = upper.take(second, mode="clip") | accented.take(second + 1, mode="clip")
+    name = (kind == LITERAL) & after & (upper[start] | wide) & (second < end) & ~shouted
     kind[name] = NAME
     again = np.zeros(len(start), bool)
     again[1:] = name[1:] & name[:-1]

@@ -158,6 +158,16 @@ def test_verbatim_and_changed_copies_leak(spark, docs_of, empty_docs):
     assert decontaminate.leaks(docs_of(rows), bench.limit(0)).count() == 0
 
 
+def test_case_of_accented_copies(spark, docs_of):
+    item = "La règle était écrite à la main avant que les élèves ne parlent y compris à l'école"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, item.upper()), (2, " ".join(f"{w}!!" for w in item.upper().split())), (3, item.lower()), (4, "ÉTÉ À É " * 9)]
+    got = {r["doc_id"] for r in decontaminate.leaks(docs_of(rows), bench).collect()}
+    assert got == {1, 2, 3}
+    kinds = decontaminate.canonical("on dit Élise et ÉAI et À et Zoe")[0].tolist()
+    assert kinds == [0, 0, 3, 0, 0, 0, 0, 0, 3]
+
+
 def brute_windows(text):
     kind, value = decontaminate.canonical(text)
     out, n = [], min(decontaminate.WINDOW, len(kind))
