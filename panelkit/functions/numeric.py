@@ -11,20 +11,11 @@ from panelkit.functions.text import _col
 
 
 def rnd(c, digits: int) -> Column:
-    """Round to ``digits`` decimals, ties toward +infinity (ledger L1).
+    """Round to ``digits`` decimals, ties away from zero (ledger L1).
 
-    Computed as ``floor(x * 10^d + 0.5) / 10^d`` with plain IEEE double
-    operations, so any engine evaluating the same formula gets bit-identical
-    results (Spark's ``round`` is HALF_UP on the decimal text, DuckDB's is
-    half-even on the scaled double; they disagree on exact ties). NaN is
-    missing (L10) and gives NULL; infinities stay.
+    Spark's ``round``. NaN is missing (L10) and gives NULL; infinities stay.
     """
-    scale = float(10 ** digits)
-    x = null_nan(c)
-    # Spark's floor(double) is a BIGINT; a value beyond its range (infinity
-    # too) has no decimals to round.
-    return F.when(F.abs(x) < F.lit(2.0 ** 62 / scale),
-                  F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(x)
+    return F.round(null_nan(c), digits)
 
 
 def null_nan(c) -> Column:
@@ -65,8 +56,13 @@ def exact_sum(c, scale: int = 2) -> Column:
 
 
 def exact_avg(c, scale: int = 2) -> Column:
-    """Order-independent average: exact decimal sum / non-NULL count."""
-    return F.try_divide(exact_sum(c, scale), F.count(_col(c)).cast("double"))
+    """Order-independent average: exact decimal sum / non-NULL count.
+
+    Both sides are scaled to whole numbers, so that the division is the only
+    step that rounds and a result of few decimals is met exactly.
+    """
+    units = F.sum(_col(c).cast(f"decimal(18,{scale})")) * F.lit(10 ** scale)
+    return F.try_divide(units.cast("double"), F.count(_col(c)).cast("double") * F.lit(float(10 ** scale)))
 
 
 def bucket(c, edges: list[float], labels: list[str]) -> Column:

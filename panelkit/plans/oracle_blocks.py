@@ -6,6 +6,16 @@ depend on, as CTEs in dependency order.
 
 from __future__ import annotations
 
+def sql_cent_avg(x: str) -> str:
+    """Aggregate: the mean of non-negative amounts in cents, to 4 decimals, half up.
+
+    In whole numbers: averages over 8 or 16 rows often lie exactly between two
+    decimals, where rounding a double depends on the engine.
+    """
+    cents = f"CAST(sum(CAST({x} AS DECIMAL(18,2))) * 100 AS HUGEINT)"
+    return f"CAST((200 * {cents} + count({x})) // (2 * count({x})) AS DOUBLE) / 10000"
+
+
 # name -> (dependencies, SQL)
 BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "entity_dim": ((), """
@@ -24,8 +34,8 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
           ON o.o_custkey = d.c_custkey"""),
     "monthly": (("daily",), """
         SELECT entity, year_month, count(*) AS days,
-               round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price), 4) AS price_avg,
-               round(CAST(sum(CAST(price_n AS DECIMAL(18,2))) AS DOUBLE) / count(price_n), 4) AS price_n_avg,
+               """ + sql_cent_avg("price") + """ AS price_avg,
+               """ + sql_cent_avg("price_n") + """ AS price_n_avg,
                round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE), 4) AS price_total,
                round(CAST(sum(CAST(price_n AS DECIMAL(18,2))) AS DOUBLE), 4) AS price_n_total
         FROM daily GROUP BY entity, year_month"""),
@@ -60,8 +70,8 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT d.entity, strftime(o.o_orderdate, '%Y-%m') AS year_month,
                CAST(count(*) AS DOUBLE) AS target_lines,
                sum(CASE WHEN l.l_returnflag = 'R' THEN l.l_quantity END) AS target_qty,
-               round(avg(l.l_quantity), 4) AS target_avg_qty,
-               round(CAST(sum(CAST(l.l_discount AS DECIMAL(18,2))) AS DOUBLE) / count(*), 4) AS target_discount_avg
+               """ + sql_cent_avg("l.l_quantity") + """ AS target_avg_qty,
+               """ + sql_cent_avg("l.l_discount") + """ AS target_discount_avg
         FROM lineitem l
         JOIN orders o ON l.l_orderkey = o.o_orderkey
         JOIN (SELECT c.c_custkey, d.entity FROM customer c
@@ -92,12 +102,6 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def sql_rnd(expr: str, digits: int) -> str:
-    """SQL twin of ``functions.numeric.rnd``: ``floor(x * 10^d + 0.5) / 10^d``."""
-    scale = f"{10 ** digits}.0"
-    return f"(floor(CAST({expr} AS DOUBLE) * {scale} + 0.5) / {scale})"
-
-
 def sql_sorted_list(x: str) -> str:
     """Aggregate: the non-NULL values of ``x`` as a sorted list."""
     return f"list_sort(list({x}) FILTER (WHERE {x} IS NOT NULL))"
@@ -114,36 +118,6 @@ def sql_quantile(v: str, p: float) -> str:
             f"ELSE (ceil({pos}) - {pos}) * {lo} + ({pos} - floor({pos})) * {hi} END)")
 
 
-def rewrite_round(sql: str) -> str:
-    """Rewrite every ``round(expr, d)`` call of an oracle query into
-    :func:`sql_rnd` so both engines round ties the same way."""
-    import re
-    out, i = [], 0
-    pat = re.compile(r"(?<![A-Za-z0-9_])round\(", re.IGNORECASE)
-    while True:
-        m = pat.search(sql, i)
-        if not m:
-            out.append(sql[i:])
-            return "".join(out)
-        out.append(sql[i:m.start()])
-        depth, j, comma = 1, m.end(), None
-        while depth:
-            ch = sql[j]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                depth -= 1
-            elif ch == "," and depth == 1:
-                comma = j
-            elif ch == "'":
-                j = sql.index("'", j + 1)
-            j += 1
-        inner = rewrite_round(sql[m.end():comma])
-        digits = int(sql[comma + 1:j - 1].strip())
-        out.append(sql_rnd(inner, digits))
-        i = j
-
-
 def _order(names) -> list[str]:
     seen: list[str] = []
 

@@ -125,7 +125,7 @@ def target_side(spark: SparkSession, sf_dir: str, daily_df: DataFrame | None = N
         lines.cast("double").alias("target_lines"),
         F.sum("returned_qty").alias("target_qty"),
         rnd(F.sum("qty") / lines, 4).alias("target_avg_qty"),
-        rnd(F.sum("discount").cast("double") / lines, 4).alias("target_discount_avg"))
+        rnd((F.sum("discount") * 100).cast("double") / (lines * 100), 4).alias("target_discount_avg"))
 
 
 def monthly_feature_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

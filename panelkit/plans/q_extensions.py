@@ -10,7 +10,7 @@ from panelkit.operators import features as FE
 from panelkit.operators import models as MO
 from panelkit.operators import timeseries as TS
 from panelkit.plans import panel as P
-from panelkit.plans.oracle_blocks import with_blocks
+from panelkit.plans.oracle_blocks import sql_cent_avg, with_blocks
 from panelkit.plans.q_features import CATEGORICAL_FEATURES, NUMERIC_FEATURES, split_frame
 from panelkit.plans.registry import register
 
@@ -35,12 +35,12 @@ def monthly_lags(spark, sf):
 
 @register("rolling_mean", with_blocks("""
     SELECT m.entity, m.year_month, m.price_avg,
-           (SELECT round(avg(p.price_avg), 4) FROM monthly_idx p
+           (SELECT round(avg(p.price_avg), 6) FROM monthly_idx p
              WHERE p.entity = m.entity AND p.month_idx BETWEEN m.month_idx - 3 AND m.month_idx - 1) AS price_avg_mean3
     FROM monthly_idx m""", "monthly_idx"))
 def rolling_mean(spark, sf):
     m = _monthly_idx(spark, sf).select("entity", "year_month", "month_idx", "price_avg")
-    out = TS.rolling_mean(m, KEYS, "month_idx", ["price_avg"], n=3)
+    out = TS.rolling_mean(m, KEYS, "month_idx", ["price_avg"], n=3, digits=6)
     return out.select("entity", "year_month", "price_avg", "price_avg_mean3")
 
 
@@ -100,7 +100,7 @@ def conditional_day_count(spark, sf):
 
 @register("weekly_mean", with_blocks("""
     SELECT entity, CAST(yearweek(day) AS INTEGER) AS iso_year_week,
-           round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price), 4) AS price_week_avg,
+           """ + sql_cent_avg("price") + """ AS price_week_avg,
            count(*) AS orders
     FROM daily GROUP BY entity, yearweek(day)""", "daily"))
 def weekly_mean(spark, sf):
