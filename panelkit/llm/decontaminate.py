@@ -3,9 +3,9 @@
 Texts become sequences of canonical words in which numbers, units and names
 are typed placeholders. Windows of such words are hashed together with the
 pattern of equal slot values; windows of documents that occur in the benchmark
-are found by a hash join, and the slot values of all windows a document shares
+are found by a hash join, and the slot values of the windows a copy shares
 with an item must map consistently, so that re-parameterised copies are caught
-and chance matches of mere templates are not.
+and chance matches of mere templates are not. Every copy is judged by itself.
 """
 
 from __future__ import annotations
@@ -135,27 +135,34 @@ def windows(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _window_rows(df: DataFrame, bits: bytes | None) -> DataFrame:
-    """(id, at, key, slots) of the windows of (id, text); only keys in the filter, if given."""
+    """(id, part, words, at, key, slots) of the windows of (id, text); only keys in the filter, if given.
+
+    ``part`` tells the texts of one id apart, ``words`` is the text's length.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if bits is None else np.frombuffer(bits, np.uint8)
         for batch in slices(batches, "text"):
-            ids, ats, keys, slots = [], [], [], []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids, parts, sizes, ats, keys, slots = [], [], [], [], [], []
+            for i, text, part in zip(*(c.to_pylist() for c in batch.columns)):
                 at, key, value = windows(text)
                 if known is not None:
                     place = key & (FILTER_BITS - 1)
                     hit = known.take(place >> 3) >> (place & 7).astype(np.uint8) & 1 > 0
                     at, key = at[hit], key[hit]
                 ids += [i] * len(at)
+                parts += [part] * len(at)
+                sizes += [len(value)] * len(at)
                 ats += at.tolist()
                 keys += key.tolist()
                 slots += [[v for v in value[k:k + WINDOW].view(np.int64).tolist() if v] for k in at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ats, pa.int32()), pa.array(keys, pa.int64()),
-                 pa.array(slots, pa.list_(pa.int64()))], names=["id", "at", "key", "slots"])
+                [pa.array(ids, pa.int64()), pa.array(parts, pa.int64()), pa.array(sizes, pa.int32()),
+                 pa.array(ats, pa.int32()), pa.array(keys, pa.int64()), pa.array(slots, pa.list_(pa.int64()))],
+                names=["id", "part", "words", "at", "key", "slots"])
 
-    return df.mapInArrow(run, "id long, at int, key long, slots array<long>")
+    return df.withColumn("part", F.xxhash64("text")).mapInArrow(
+        run, "id long, part long, words int, at int, key long, slots array<long>")
 
 
 def _filter(keys: DataFrame) -> bytes:
@@ -169,40 +176,80 @@ def _filter(keys: DataFrame) -> bytes:
     return bytes(out)
 
 
+PAIR, ALIGNMENT, NEAR, NEAR_SHIFTED = range(4)
+
+
+def _places(hits: DataFrame) -> DataFrame:
+    """Every hit once for each group of hits it is judged with.
+
+    A group is the whole pair of document and item, one alignment of one text
+    of either, or alignments that differ by less than the item's length (two
+    copies of an item lie at least its length apart). The latter are cut into
+    steps of that length, and again half a step further on, so that a copy
+    with insertions is whole in one of the two.
+    """
+    part, item, offset, words = F.col("doc_part"), F.col("item_part"), F.col("at") - F.col("item_at"), F.col("words")
+    none = F.lit(None).cast("long")
+
+    def group(level: int, doc_part, item_part, place):
+        return F.struct(F.lit(level).alias("level"), doc_part.alias("doc_part"), item_part.alias("item_part"),
+                        place.cast("long").alias("place"))
+
+    groups = F.array(group(PAIR, none, none, F.lit(0)), group(ALIGNMENT, part, item, offset),
+                     group(NEAR, part, item, F.floor(offset / words)),
+                     group(NEAR_SHIFTED, part, item, F.floor((offset + F.floor(words / 2)) / words)))
+    # Alignments are told apart by the texts, too: rows of one id may hold different ones.
+    return hits.select("doc_id", "item_id", F.xxhash64(part, item, offset).alias("offset"), "item_at", "item_slots",
+                       "slots", F.explode(groups).alias("g")).select("*", "g.*").drop("g")
+
+
+def _same(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
+    """Join on equal keys, where null equals null."""
+    other = right.withColumnsRenamed({k: f"_{k}" for k in key})
+    on = [left[k].eqNullSafe(other[f"_{k}"]) for k in key]
+    return left.join(other, on, how).drop(*[f"_{k}" for k in key])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, matched, windows, coverage, consistency) of contaminated documents.
 
     ``matched`` of the item's ``windows`` distinct windows occur in the
-    document. A pair is a leak when the coverage reaches COVERAGE or RUN
-    windows lie on one alignment, and the slot values map consistently.
+    document. A pair is a leak when in one group of its hits (:func:`_places`)
+    the coverage reaches COVERAGE or RUN windows lie on one alignment, and the
+    slot values map consistently; the group with most windows is reported.
 
     Defined cases: null or empty texts have no windows; rows with a null id
     take no part; repeated rows of one id count as one document with all
-    their windows; empty tables give an empty result; other columns of either
-    table are ignored.
+    their windows, and each also by itself; empty tables give an empty result;
+    other columns of either table are ignored.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), "text").where("id IS NOT NULL")
     item_rows = stored(_window_rows(items, None).select(
-        F.col("id").alias("item_id"), F.col("at").alias("item_at"), "key",
-        F.col("slots").alias("item_slots")), "items")
+        F.col("id").alias("item_id"), F.col("part").alias("item_part"), F.col("words"), F.col("at").alias("item_at"),
+        "key", F.col("slots").alias("item_slots")), "items")
     bits = _filter(item_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id IS NOT NULL")
-    doc_rows = _window_rows(texts, bits).withColumnRenamed("id", "doc_id")
+    doc_rows = _window_rows(texts, bits).withColumnsRenamed({"id": "doc_id", "part": "doc_part"}).drop("words")
     hits = stored(doc_rows.join(item_rows, "key"), "hits")
-    totals = item_rows.groupBy("item_id").agg(F.count_distinct("item_at").alias("windows"))
-    runs = (hits.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("offset"))
-            .agg(F.count_distinct("item_at").alias("run"))
-            .groupBy("doc_id", "item_id").agg(F.max("run").alias("run")))
-    matched = hits.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("matched"))
-    values = (hits.select("doc_id", "item_id", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
-              .select("doc_id", "item_id", F.col("z.item_slots").alias("theirs"), F.col("z.slots").alias("ours"))
-              .distinct().groupBy("doc_id", "item_id")
+    totals = (item_rows.groupBy("item_id", "item_part").agg(F.count_distinct("item_at").alias("windows"))
+              .unionByName(item_rows.groupBy("item_id").agg(F.count_distinct("item_at").alias("windows"))
+                           .withColumn("item_part", F.lit(None).cast("long"))))
+    places = _places(hits)
+    key = ["doc_id", "item_id", "level", "doc_part", "item_part", "place"]
+    runs = (places.groupBy(*key, "offset").agg(F.count_distinct("item_at").alias("run"))
+            .groupBy(*key).agg(F.max("run").alias("run")))
+    matched = places.groupBy(*key).agg(F.count_distinct("item_at").alias("matched"))
+    values = (places.select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
+              .select(*key, F.col("z.item_slots").alias("theirs"), F.col("z.slots").alias("ours"))
+              .distinct().groupBy(*key)
               .agg(F.least(F.count_distinct("theirs"), F.count_distinct("ours")).alias("one"),
                    F.count("*").alias("pairs")))
-    return (matched.join(runs, ["doc_id", "item_id"]).join(totals, "item_id")
-            .join(values, ["doc_id", "item_id"], "left")
-            .withColumn("coverage", F.col("matched") / F.col("windows"))
-            .withColumn("consistency", F.coalesce(F.col("one") / F.col("pairs"), F.lit(1.0)))
-            .where((F.col("coverage") >= COVERAGE) | (F.col("run") >= RUN))
-            .where(F.col("consistency") >= CONSISTENCY)
-            .select("doc_id", "item_id", "matched", "windows", "coverage", "consistency"))
+    evidence = _same(_same(matched, runs, key, "inner"), values, key, "left")
+    passed = (_same(evidence, totals, ["item_id", "item_part"], "inner")
+              .withColumn("coverage", F.col("matched") / F.col("windows"))
+              .withColumn("consistency", F.coalesce(F.col("one") / F.col("pairs"), F.lit(1.0)))
+              .where((F.col("coverage") >= COVERAGE) | (F.col("run") >= RUN))
+              .where(F.col("consistency") >= CONSISTENCY))
+    best = F.max(F.struct("matched", "coverage", "consistency", "windows"))
+    return (passed.groupBy("doc_id", "item_id").agg(best.alias("b"))
+            .select("doc_id", "item_id", "b.matched", "b.windows", "b.coverage", "b.consistency"))

@@ -158,6 +158,18 @@ def test_verbatim_and_changed_copies_leak(spark, docs_of, empty_docs):
     assert decontaminate.leaks(docs_of(rows), bench.limit(0)).count() == 0
 
 
+def test_each_copy_is_judged_by_itself(spark, docs_of):
+    bench = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    other = "In 1999 Carol Jones sold 7 red apples and gave Dan another 9 ft of rope before noon on that day"
+    third = "In 1888 Eve Stone sold 8 red apples and gave Finn another 4 mi of rope before noon on that day"
+    mixed = "In 1999 Carol Jones sold 7 red apples and gave Dan another 7 ft of rope before noon on that day"
+    longer = other.replace("red apples", "red and very round apples")
+    rows = [(1, f"{ITEM}. Then. {other}"), (2, f"{other}. So. {third}"), (3, other), (3, third), (4, mixed),
+            (5, f"{longer}. So. {longer.replace('Carol', 'Ann').replace('1999', '1777').replace('7 red', '6 red')}")]
+    got = {r["doc_id"]: r for r in decontaminate.leaks(docs_of(rows), bench).collect()}
+    assert {1, 2, 3} <= set(got) and got[1]["coverage"] == got[1]["consistency"] == 1.0 and 5 in got
+
+
 def test_case_of_accented_copies(spark, docs_of):
     item = "La règle était écrite à la main avant que les élèves ne parlent y compris à l'école"
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
