@@ -6,6 +6,8 @@ pattern of equal slot values; windows of documents that occur in the benchmark
 are found by a hash join, and the slot values of the windows a copy shares
 with an item must map consistently, so that re-parameterised copies are caught
 and chance matches of mere templates are not. Every copy is judged by itself.
+Items too short or too poor in literal words for such windows are matched by
+their actual words.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ degree degrees usd eur gbp
 """.split()
 LITERAL, NUM, UNIT, NAME = range(4)
 _CODES = mix(np.arange(1, 5, dtype=np.uint64))
+_PLAIN = mix(np.arange(WINDOW + 1, dtype=np.uint64) + np.uint64(1 << 32))  # sets windows of actual words apart
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -51,8 +54,8 @@ def _unit_hashes() -> np.ndarray:
 _UNITS = _unit_hashes()
 
 
-def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(kind, word hash) of the canonical words of a text.
+def _words(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, hash, whether it continues a name) of every word of a text.
 
     Words are runs of letters (bytes from 128 up count as letters, an
     apostrophe between letters too) or numbers (digits with . , : / between
@@ -73,7 +76,7 @@ def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     kind_at = digit.astype(np.int8) + 2 * letter.astype(np.int8)
     change = np.flatnonzero(kind_at[1:] != kind_at[:-1])  # a span begins or ends at raw[change]
     if not len(change):
-        return np.empty(0, np.int8), np.empty(0, np.uint64)
+        return np.empty(0, np.int8), np.empty(0, np.uint64), np.empty(0, bool)
     begin, finish = change[:-1], change[1:]
     word = kind_at[begin + 1] > 0
     start, end = begin[word], finish[word]
@@ -98,6 +101,12 @@ def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     kind[name] = NAME
     again = np.zeros(len(start), bool)
     again[1:] = name[1:] & name[:-1]
+    return kind, hashes, again
+
+
+def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(kind, word hash) of the canonical words of a text: its words, a run of name words being one."""
+    kind, hashes, again = _words(text)
     if again.any():
         heads = np.flatnonzero(~again)
         hashes = np.add.reduceat(hashes, heads)
@@ -134,35 +143,68 @@ def windows(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, mix(acc + np.uint64(size))[at].view(np.int64), value
 
 
-def _window_rows(df: DataFrame, bits: bytes | None) -> DataFrame:
-    """(id, part, words, at, key, slots) of the windows of (id, text); only keys in the filter, if given.
+def plain_windows(text: str | None, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(positions, hashes, no slot values of every word) of the windows of actual words, without placeholders."""
+    hashes = _words(text)[1]
+    ats, keys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for size in sizes:
+        if size <= len(hashes):
+            keys.append(mix(mix(rolling(hashes, size)) + _PLAIN[size]).view(np.int64))
+            ats.append(np.arange(len(keys[-1])))
+    return np.concatenate(ats), np.concatenate(keys), np.zeros(len(hashes), np.uint64)
+
+
+def item_windows(text: str | None) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], int]:
+    """The windows of a benchmark item, and their size if they are of actual words (else 0).
+
+    An item of fewer than WINDOW canonical words, or without a usable window,
+    is matched by its actual words: in windows of WINDOW words, or whole.
+    """
+    made = windows(text)
+    if len(made[0]) and len(made[2]) >= WINDOW:
+        return made, 0
+    size = min(WINDOW, len(_words(text)[0]))
+    return plain_windows(text, [size] if size else []), size
+
+
+def _window_rows(df: DataFrame, bits: bytes | None, sizes: list[int] | None = None) -> DataFrame:
+    """(id, part, words, plain, at, key, slots) of the windows of (id, text); without ``bits``, of items.
 
-    ``part`` tells the texts of one id apart, ``words`` is the text's length.
+    ``part`` tells the texts of one id apart, ``words`` is the text's length,
+    ``plain`` the size of windows of actual words (0: of canonical words). Of
+    documents, only keys in the filter ``bits`` are given; windows of actual
+    words are made in ``sizes``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if bits is None else np.frombuffer(bits, np.uint8)
         for batch in slices(batches, "text"):
-            ids, parts, sizes, ats, keys, slots = [], [], [], [], [], []
+            ids, parts, lengths, plain, ats, keys, slots = [], [], [], [], [], [], []
             for i, text, part in zip(*(c.to_pylist() for c in batch.columns)):
-                at, key, value = windows(text)
-                if known is not None:
-                    place = key & (FILTER_BITS - 1)
-                    hit = known.take(place >> 3) >> (place & 7).astype(np.uint8) & 1 > 0
-                    at, key = at[hit], key[hit]
-                ids += [i] * len(at)
-                parts += [part] * len(at)
-                sizes += [len(value)] * len(at)
-                ats += at.tolist()
-                keys += key.tolist()
-                slots += [[v for v in value[k:k + WINDOW].view(np.int64).tolist() if v] for k in at]
+                if known is None:
+                    made, size = item_windows(text)
+                    found = [(*made, size)]
+                else:
+                    found = [(*windows(text), 0)] + ([(*plain_windows(text, sizes), WINDOW)] if sizes else [])
+                for at, key, value, size in found:
+                    if known is not None:
+                        place = key & (FILTER_BITS - 1)
+                        hit = known.take(place >> 3) >> (place & 7).astype(np.uint8) & 1 > 0
+                        at, key = at[hit], key[hit]
+                    ids += [i] * len(at)
+                    parts += [part] * len(at)
+                    lengths += [len(value)] * len(at)
+                    plain += [size] * len(at)
+                    ats += at.tolist()
+                    keys += key.tolist()
+                    slots += [[v for v in value[k:k + WINDOW].view(np.int64).tolist() if v] for k in at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(parts, pa.int64()), pa.array(sizes, pa.int32()),
-                 pa.array(ats, pa.int32()), pa.array(keys, pa.int64()), pa.array(slots, pa.list_(pa.int64()))],
-                names=["id", "part", "words", "at", "key", "slots"])
+                [pa.array(ids, pa.int64()), pa.array(parts, pa.int64()), pa.array(lengths, pa.int32()),
+                 pa.array(plain, pa.int32()), pa.array(ats, pa.int32()), pa.array(keys, pa.int64()), pa.array(slots, pa.list_(pa.int64()))],
+                names=["id", "part", "words", "plain", "at", "key", "slots"])
 
     return df.withColumn("part", F.xxhash64("text")).mapInArrow(
-        run, "id long, part long, words int, at int, key long, slots array<long>")
+        run, "id long, part long, words int, plain int, at int, key long, slots array<long>")
 
 
 def _filter(keys: DataFrame) -> bytes:
@@ -225,11 +267,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), "text").where("id IS NOT NULL")
     item_rows = stored(_window_rows(items, None).select(
-        F.col("id").alias("item_id"), F.col("part").alias("item_part"), F.col("words"), F.col("at").alias("item_at"),
+        F.col("id").alias("item_id"), F.col("part").alias("item_part"), "words", "plain", F.col("at").alias("item_at"),
         "key", F.col("slots").alias("item_slots")), "items")
     bits = _filter(item_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id IS NOT NULL")
-    doc_rows = _window_rows(texts, bits).withColumnsRenamed({"id": "doc_id", "part": "doc_part"}).drop("words")
+    sizes = [r["plain"] for r in item_rows.where("plain > 0").select("plain").distinct().collect()]  # 1 to WINDOW
+    doc_rows = (_window_rows(texts, bits, sizes).withColumnsRenamed({"id": "doc_id", "part": "doc_part"})
+                .drop("words", "plain"))
     hits = stored(doc_rows.join(item_rows, "key"), "hits")
     totals = (item_rows.groupBy("item_id", "item_part").agg(F.count_distinct("item_at").alias("windows"))
               .unionByName(item_rows.groupBy("item_id").agg(F.count_distinct("item_at").alias("windows"))

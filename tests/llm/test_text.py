@@ -170,6 +170,17 @@ def test_each_copy_is_judged_by_itself(spark, docs_of):
     assert {1, 2, 3} <= set(got) and got[1]["coverage"] == got[1]["consistency"] == 1.0 and 5 in got
 
 
+def test_short_and_literal_poor_items_leak(spark, docs_of):
+    names = "Then Alice Anna Berta Carla Dora Emma Frida Greta Hanna Ida met"
+    poor = "5 km 7 mi 9 kg 3 lb 12 m 8 ft 6 h 44 min 17 s 3.5 l"
+    bench = spark.createDataFrame([(1, "too short"), (2, names), (3, poor), (4, "Yes: 42!")], "item_id long, text string")
+    around = "here are a good many words that no item has, {} and more of them come after it"
+    rows = [(1, around.format("it is Too Short")), (2, around.format(names)), (3, around.format(poor)),
+            (4, around.format("yes 42")), (5, around.format("short too, 42 yes and 5 km 7 mi")), (6, "TOO SHORT")]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs_of(rows), bench).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3), (4, 4), (6, 1)}
+
+
 def test_case_of_accented_copies(spark, docs_of):
     item = "La règle était écrite à la main avant que les élèves ne parlent y compris à l'école"
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
