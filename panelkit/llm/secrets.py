@@ -119,10 +119,9 @@ def _plain(raw: bytes) -> str | None:
         seen.add(digest)
         raw = inner
     try:
-        text = raw.decode("utf-8")
+        return raw.decode("utf-8") or None
     except UnicodeDecodeError:
         return None
-    return text if len(text) >= 8 and all(c.isprintable() or c in "\t\n\r" for c in text) else None
 
 
 def _base64(text: str) -> list[Change]:

@@ -98,6 +98,14 @@ def test_unwrapping_ends_on_streams_that_do_not_inflate():
     assert secrets.find_secrets(base64.b64encode(b"\x1f\x8b" + b"\0" * 40).decode()) == ([], [])
 
 
+@pytest.mark.parametrize("mark", ["\u00a0", "\u202f", "\u200b", "\ufeff", "\x0c", "\x1b[31m", "\0"])
+def test_layers_with_unprintable_characters_are_scanned(mark):
+    inner = f"{mark}prix : 5{mark}\u20ac {SECRET}"
+    for raw in (inner.encode(), gzip.compress(inner.encode())):
+        text = f"x {base64.b64encode(raw).decode()} y"
+        assert secrets.redacted(text, secrets.find_secrets(text)[1]) == "x [SECRET] y"
+
+
 # --- HTML
 
 
