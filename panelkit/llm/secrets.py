@@ -8,13 +8,14 @@ back to the code points of the original text.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect
+from urllib.parse import unquote_to_bytes
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -35,6 +36,14 @@ URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)+")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{16,}+)*(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)?={0,2}")
+URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~/+!*'()-])+")
+URL_BYTE = re.compile(r"%..|.")
+MAGIC = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd", re.DOTALL)
+UTF8 = re.compile(
+    rb"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}"
+    rb"|\xf4[\x80-\x8f][\x80-\xbf]{2}){3,}+", re.DOTALL)
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -52,9 +61,29 @@ def scan_layer(text: str) -> list[Span]:
 Change = tuple[int, int, str, list[tuple[int, int]]]
 
 
-def _url(text: str) -> list[Change]:
+def _url_streams(text: str) -> list[Change]:
+    """Compressed data escaped byte by byte, where letters and digits stand for themselves."""
     out = []
-    for m in URL_RUN.finditer(text) if "%" in text else ():
+    for m in URL_BYTES.finditer(text):
+        if "%" not in m.group():
+            continue
+        raw = unquote_to_bytes(m.group())
+        found = _streams(raw) or (_streams(raw_plus) if (raw_plus := unquote_to_bytes(m.group().replace("+", " "))) != raw
+                                  else [])
+        if found:
+            own = [b.span() for b in URL_BYTE.finditer(text, m.start(), m.end())]
+            out += [(own[i][0], own[j - 1][1], new, [(own[i][0], own[j - 1][1])] * len(new)) for i, j, new in found]
+    return out
+
+
+def _url(text: str) -> list[Change]:
+    if "%" not in text:
+        return []
+    out = _url_streams(text)
+    streams = [(c[0], c[1]) for c in out]
+    for m in URL_RUN.finditer(text):
+        if any(m.start() < end and start < m.end() for start, end in streams):
+            continue
         try:
             new = bytes.fromhex(m.group().replace("%", "")).decode("utf-8")
         except UnicodeDecodeError:
@@ -65,7 +94,7 @@ def _url(text: str) -> list[Change]:
             places.append((at, at + width))
             at += width
         out.append((m.start(), m.end(), new, places))
-    return out
+    return sorted(out, key=lambda c: c[0])
 
 
 def _unicode(text: str) -> list[Change]:
@@ -86,29 +115,57 @@ def _unicode(text: str) -> list[Change]:
     return out
 
 
-def inflate(raw: bytes) -> bytes | None:
-    """What a gzip, zlib, bzip2, xz or zstandard stream holds; None for other bytes."""
+def _zstandard(raw: memoryview, room: int) -> tuple[bytes, int] | None:
+    """As :func:`_member`, fed in small pieces so that a frame that grows beyond ``room`` is left early."""
+    d = zstandard.ZstdDecompressor(max_window_size=MAX_INFLATED).decompressobj()
+    parts, held, step = [], 0, 1 << 10
+    for at in range(0, len(raw), step):
+        parts.append(d.decompress(raw[at:at + step]))
+        held += len(parts[-1])
+        if held > room:
+            return None
+        if d.eof:
+            return b"".join(parts), min(at + step, len(raw)) - len(d.unused_data)
+    return b"".join(parts), len(raw)
+
+
+def _member(raw: memoryview, room: int) -> tuple[bytes, int] | None:
+    """What one compressed stream at the start of ``raw`` holds and how many bytes it takes; None for other bytes."""
     try:
         if raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] == 0x78 and (raw[0] * 256 + raw[1]) % 31 == 0):
             d = zlib.decompressobj(wbits=47)
-            out = d.decompress(raw, MAX_INFLATED)
-            return None if d.unconsumed_tail else out
+            out = d.decompress(raw, room)
+            return None if d.unconsumed_tail else (out, len(raw) - len(d.unused_data))
         if raw[:3] == b"BZh":
             d = bz2.BZ2Decompressor()
         elif raw[:6] == b"\xfd7zXZ\x00":
             d = lzma.LZMADecompressor(memlimit=MAX_INFLATED)
         elif raw[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor(max_window_size=MAX_INFLATED).stream_reader(raw) as r:
-                out = r.read(MAX_INFLATED)
-                return None if r.read(1) else out
+            return _zstandard(raw, room)
         else:
             return None
-        out = d.decompress(raw, MAX_INFLATED)
-        return out if d.eof or d.needs_input else None
+        out = d.decompress(raw, room)
+        return (out, len(raw) - len(d.unused_data)) if d.eof or d.needs_input else None
     except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
         return None
 
 
+def _members(raw: bytes | memoryview) -> tuple[bytes, int] | None:
+    """What the compressed streams at the start of ``raw`` hold, one after another, and the bytes they take."""
+    raw, parts, held, used = memoryview(raw), [], 0, 0
+    while used < len(raw) and (got := _member(raw[used:], MAX_INFLATED - held)) is not None and got[1]:
+        parts.append(got[0])
+        held += len(got[0])
+        used += got[1]
+    return (b"".join(parts), used) if parts else None
+
+
+def inflate(raw: bytes) -> bytes | None:
+    """What gzip, zlib, bzip2, xz or zstandard streams hold; None for other bytes."""
+    got = _members(raw)
+    return got and got[0]
+
+
 def _plain(raw: bytes) -> str | None:
     """The text that bytes hold, after unwrapping compressed layers; None if they hold none."""
     seen = set()
@@ -124,18 +181,79 @@ def _plain(raw: bytes) -> str | None:
         return None
 
 
+def _streams(raw: bytes) -> list[tuple[int, int, str]]:
+    """(start, end, text) of the compressed streams anywhere in ``raw``."""
+    out, at = [], 0
+    while m := MAGIC.search(raw, at):
+        at = m.start() + 1
+        got = _members(memoryview(raw)[m.start():])
+        if got is not None and (text := _plain(got[0])) is not None:
+            at = m.start() + got[1]
+            out.append((m.start(), at, text))
+    return out
+
+
+# A decoded piece of a run: start and end in the run, text, and its own span for every character (None: the piece's).
+Piece = tuple[int, int, str, list[tuple[int, int]] | None]
+
+
+def _pieces(run: str) -> list[Piece]:
+    """What a base64 run without padding holds, from its first character or from any other.
+
+    A run that decodes as a whole is one piece. Else the compressed streams
+    and the UTF-8 parts of at least 12 bytes are taken at all four alignments,
+    the longest first, so that what stands before or after a payload (a path,
+    a name) does not hide it.
+    """
+    run = run.translate({45: 43, 95: 47})
+    found: list[Piece] = []
+    for shift in range(4):
+        n = len(run) - shift
+        n -= n % 4 == 1
+        raw = binascii.a2b_base64(run[shift:shift + n] + "=" * (-n % 4))
+
+        def place(i: int, j: int) -> tuple[int, int]:
+            return shift + i * 4 // 3, min(shift - (-j * 4 // 3), len(run))
+
+        found += [(*place(i, j), text, None) for i, j, text in _streams(raw)]
+        for m in UTF8.finditer(raw):
+            if m.end() - m.start() >= 12:
+                text, spans, i = m.group().decode("utf-8"), [], m.start()
+                for ch in text:
+                    j = i + (1 if ch < "\x80" else len(ch.encode("utf-8")))
+                    spans.append(place(i, j))
+                    i = j
+                found.append((*place(m.start(), m.end()), text, spans))
+        if any(start == 0 and end >= len(run) - 1 for start, end, _, _ in found):
+            break
+    chosen: list[Piece] = []
+    for piece in sorted(found, key=lambda p: (p[0] - p[1], p[3] is not None, p[0])):
+        k = bisect(chosen, piece[0], key=lambda p: p[0])
+        if (not k or chosen[k - 1][1] <= piece[0]) and (k == len(chosen) or piece[1] <= chosen[k][0]):
+            chosen.insert(k, piece)
+    return chosen
+
+
 def _base64(text: str) -> list[Change]:
     out = []
     for m in BASE64_RUN.finditer(text):
-        run = m.group().rstrip("=").translate({45: 43, 95: 47})
-        if len(run) % 4 == 1:
-            continue
-        try:
-            new = _plain(base64.b64decode(run + "=" * (-len(run) % 4)))
-        except binascii.Error:
-            continue
-        if new is not None:
-            out.append((m.start(), m.end(), new, [m.span()] * len(new)))
+        run = m.group().rstrip("=")
+        for start, end, new, _ in _pieces(run):
+            at = m.start() + start, m.end() if end >= len(run) - 1 else m.start() + end
+            out.append((*at, new, [at] * len(new)))
+    return out
+
+
+def _wrapped(text: str) -> list[Change]:
+    """Base64 over several lines (MIME, PEM), joined."""
+    out = []
+    for m in WRAPPED_RUN.finditer(text) if "\n" in text else ():
+        own = [k for k in range(m.start(), m.end()) if text[k] not in " \t\r\n="]
+        for start, end, new, spans in _pieces("".join(text[k] for k in own)):
+            at = own[start], m.end() if end >= len(own) - 1 else own[end - 1] + 1
+            if text.find("\n", *at) >= 0:  # else _base64 has it
+                places = [at] * len(new) if spans is None else [(own[i], own[j - 1] + 1) for i, j in spans]
+                out.append((*at, new, places))
     return out
 
 
@@ -159,7 +277,7 @@ def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
     spans, seen, work = set(base), {text}, [(text, None)]
     while work:
         layer, places = work.pop()
-        for decode in (_url, _unicode, _base64):
+        for decode in (_url, _unicode, _base64, _wrapped):
             if changes := decode(layer):
                 child, mapped = _apply(layer, places, changes)
                 if child not in seen:

@@ -1,13 +1,16 @@
 """PII, secrets, HTML and decontamination."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import urllib.parse
 import zlib
 
 import pytest
+import zstandard
 
 from panelkit.llm import decontaminate, html_text, pii, queries, secrets
 
@@ -106,6 +109,28 @@ def test_layers_with_unprintable_characters_are_scanned(mark):
         assert secrets.redacted(text, secrets.find_secrets(text)[1]) == "x [SECRET] y"
 
 
+@pytest.mark.parametrize("before", ["https://h/cfg/", "session-", "x_", "ab/c", "id", "q"])
+@pytest.mark.parametrize("pack", [lambda b: b, gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_payloads_glued_to_other_words_are_found(before, pack):
+    code = base64.b64encode(pack(f"{SECRET} or more".encode())).decode().rstrip("=")
+    for text in (f"see {before}{code} now", f"see {before}{code}/raw now"):
+        out = secrets.redacted(text, secrets.find_secrets(text)[1])
+        assert "[SECRET]" in out and code not in out, text
+
+
+def test_wrapped_concatenated_and_url_escaped_streams():
+    noise = hashlib.sha512(b"1").digest() * 3 + bytes(range(256))
+    long = f"{noise.hex('-')} {SECRET}".encode()
+    for text in (base64.encodebytes(gzip.compress(long)).decode(),
+                 "-----BEGIN X-----\n" + base64.encodebytes(b"some words before it, " * 2 + SECRET.encode()).decode(),
+                 *(base64.b64encode(pack(b"first") + pack(SECRET.encode())).decode()
+                   for pack in (gzip.compress, bz2.compress, lzma.compress, zstandard.compress)),
+                 *(quote(pack(SECRET.encode())) for quote in (urllib.parse.quote, urllib.parse.quote_plus)
+                   for pack in (gzip.compress, zlib.compress, bz2.compress)),
+                 "".join(f"%{b:02X}" for b in gzip.compress(SECRET.encode()))):
+        assert any(kind == 0 for _, kind, _ in secrets.find_secrets(f"x {text}\ny")[1]), text
+
+
 # --- HTML
 
 
