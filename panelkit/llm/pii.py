@@ -16,15 +16,27 @@ MARK = "\u0001"     # separates found values from other text while a text is tak
 CHUNK = 20          # characters of a mail name permuted together
 CYCLE_START, CYCLE_DAYS = "1800-01-01", 146_097  # dates are permuted within one 400-year cycle = 189 * 773 days
 
-# Fixed patterns; every value must stand alone (no letter, digit or point of a longer token beside it).
+# Fixed patterns; a neighbour is refused only where it continues the same token: a digit, or a digit behind the value's
+# own separator. Commas, line ends and other marks stand between values, also in records without spaces.
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-PHONE = r"\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\) ?\d{3}-\d{4}"
-DATE = r"\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}"
+ISO_DATE, SLASH_DATE, POINT_DATE = r"\d{4}-\d{2}-\d{2}", r"\d{2}/\d{2}/\d{4}", r"\d{2}\.\d{2}\.\d{4}"
+DATE = f"{ISO_DATE}|{SLASH_DATE}|{POINT_DATE}"
 SSN = r"\d{3}-\d{2}-\d{4}"
 IP = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 CARD = r"\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5}"
-FOUND = (rf"(?<![\w.%+@-])(?:{EMAIL})(?![\w@])|(?<![\w+])(?:{PHONE})(?!\d)"
-         rf"|(?<![\w.,/-])(?:{IP}|{DATE}|{SSN}|{CARD})(?![\w/]|[.,-]\d)")
+TEN = r"\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}"
+# Any E.164 grouping of 7 to 15 digits; another value behind a space is not part of it.
+E164 = rf"\+[1-9](?:(?! (?:{IP}|{DATE}|{SSN}|{CARD})(?!\d))(?:[ ./-]|[ .-]?\(|\)[ .-]?)?\d){{6,14}}"
+# National groupings: 3-3-4; French pairs; German and British area codes; Spanish 3-3-3 and 3-2-2-2.
+NATIONAL = (r"(?:1[ .-])?\d{3}-\d{3}-\d{4}|(?:1[ .-])?\d{3}\.\d{3}\.\d{4}|(?:1[ .-])?\d{3} \d{3} \d{4}"
+            r"|0\d(?: \d{2}){4}|0\d(?:\.\d{2}){4}|0\d(?:-\d{2}){4}|0\d{9}"
+            r"|0\d{1,4}[ /-]\d{3,4}[ -]\d{3,4}|0\d{1,4}[ /-]\d{5,8}|\(0\d{1,4}\) ?\d{3,4}[ -]?\d{3,4}"
+            r"|[679]\d{2} \d{3} \d{3}|[679]\d{2} \d{2} \d{2} \d{2}")
+PHONE = f"{TEN}|{E164}|{NATIONAL}"
+FOUND = (rf"(?<![\w.%+@-])(?:{EMAIL})(?![\w@])|(?<![\w+])(?:{TEN}|{E164})(?!\d)"
+         rf"|(?<!\d)(?<!\d\.)(?:{IP})(?!\d|\.\d)|(?<!\d)(?<!\d-)(?:{ISO_DATE}|{SSN})(?!\d|-\d)"
+         rf"|(?<!\d)(?<!\d/)(?:{SLASH_DATE})(?!\d|/\d)|(?<!\d)(?<!\d\.)(?:{POINT_DATE})(?!\d|\.\d)"
+         rf"|(?<!\w)(?<!\d[.-])(?:{CARD})(?!\w|[.-]\d)|(?<![\w+])(?<!\d[ ./-])(?:{NATIONAL})(?!\w|[./-]\d)")
 KINDS = ("email", "phone", "ip", "date", "ssn", "card")
 
 
@@ -132,10 +144,13 @@ def _email(x: Column, key: str) -> Column:
 
 
 def _phone(x: Column, key: str) -> Column:
-    """The last ten digits permuted; the country code stays."""
+    """The last ten digits permuted, or all but the country code or the leading 0; these stay."""
     digits = _digits(x)
-    new = F.concat(F.expr("''"), F.substring(digits, F.lit(1), F.length(digits) - 10),
-                   feistel(F.substring(digits, F.length(digits) - 9, F.lit(10)), 10, key, "phone"))
+    n = F.length(digits)
+    code = F.when(~x.startswith("+"), digits.startswith("0").cast("int")).when(digits.rlike("^[17]"), 1).otherwise(2)
+    width = F.when(x.rlike(f"^(?:{TEN})$"), 10).otherwise(F.least(F.lit(10), n - code))
+    new = F.concat(F.substring(digits, F.lit(1), n - width),
+                   feistel(F.substring(digits, n - width + 1, width), 10, key, "phone"))
     return _once(new, lambda s: _refill(x, s, "0-9"))
 
 
@@ -179,8 +194,8 @@ _MAKE = {"email": _email, "phone": _phone, "ip": _ip, "date": _date, "ssn": _ssn
 def pseudonymise(docs: DataFrame, keep: list[str], key: str, text_col: str = "text") -> DataFrame:
     """``keep`` columns, the pseudonymised text and n_email, n_phone, n_ip, n_date, n_ssn, n_card.
 
-    Mail addresses keep their domain and punctuation, phones the country code,
-    all values their length and separators. Numbers that do not validate
+    Mail addresses keep their domain and punctuation, phones the country code
+    or the leading 0, all values their length and separators. Numbers that do not validate
     (Luhn, octets, calendar, number ranges) and all other text stay as they
     are. The pseudonym depends on key and value only. A null text stays null
     with zero counts; the empty text stays empty; very long texts are

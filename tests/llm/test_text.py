@@ -48,6 +48,28 @@ def test_pseudonyms_keep_formats_and_links(docs_of):
     assert got[6]["text"] == rows[5][1]
 
 
+def test_values_in_records_and_timestamps(docs_of):
+    values = ["4111111111111111", "1990-02-03", "123-45-6789", "10.20.30.44", "ann@x.org", "31/12/1999", "555-123-4567"]
+    phones = ["555-123-4567", "+49 30 1234567", "+33 1 23 45 67 89", "01 23 45 67 89", "030 1234567", "612 345 678",
+              "(030) 1234 567", "555.123.4567", "+34 612 345 678", "+44 20 7946 0958", "1-555-123-4567"]
+    rows = [(k, sep.join(["Ann", *values, "5"])) for k, sep in enumerate([",", ";", "\t", "|", ", "])]
+    rows += [(10, "at 1990-02-03T10:00:00Z, DOB1990-02-03 http://10.20.30.44/x 10.20.30.44/24"),
+             (11, "\n".join(phones)), (12, ",".join(phones)),
+             (13, "+49 30 1234567 1990-02-03 4111111111111111"),
+             (14, "1.2.3.4.5 12-1990-02-03 3.4111111111111111 a4111111111111111 123-45-6789-1 10 000 000 1990")]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(docs_of(rows), ["doc_id"], "k").collect()}
+    for k in range(5):
+        assert [got[k][f"n_{kind}"] for kind in pii.KINDS] == [1, 1, 1, 2, 1, 1], rows[k]
+        assert not [v for v in values if v in got[k]["text"]] and len(got[k]["text"]) >= len(rows[k][1]) - 8
+    assert got[10]["n_date"] == 2 and got[10]["n_ip"] == 2 and "T10:00:00Z" in got[10]["text"]
+    for k in (11, 12):
+        assert got[k]["n_phone"] == len(phones) and len(got[k]["text"]) == len(rows[5 + k - 10][1])
+        assert not [p for p in phones if p in got[k]["text"]]
+        assert "+49 " in got[k]["text"] and "+33 " in got[k]["text"] and "+44 " in got[k]["text"]
+    assert [got[13][f"n_{kind}"] for kind in ("phone", "date", "card")] == [1, 1, 1]
+    assert got[14]["text"] == rows[-1][1]
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
 
