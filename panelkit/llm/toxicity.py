@@ -3,7 +3,7 @@
 A logistic model over the distinct words of a text and their beginnings, of
 which those that stand out in either class are chosen. While it is fitted,
 identity terms in the labelled texts are swapped for others (a text without
-one gets one), and changes of the score under a swap are penalised, so that a
+one gets one), word and beginning, and changes of the score under a swap are penalised, so that a
 neutral mention of a group does not move the score.
 """
 
@@ -29,7 +29,7 @@ STANDOUT = 3.0           # standard deviations by which a feature's toxic texts
 PREFIX = 5               # characters of a word's beginning
 VOCABULARY = 50000       # features of the model, at most: those that stand out most
 
-# Words that name groups of people.
+# Words that name groups of people, with their inflected forms.
 IDENTITY_TERMS = """
 women woman men man girl boy gay lesbian bisexual transgender straight queer black white asian latino
 african american european arab indian mexican chinese muslim jewish christian hindu buddhist catholic
@@ -37,6 +37,15 @@ atheist immigrant refugee foreigner disabled deaf blind elderly
 frauen frau männer mann schwule lesbische schwarze weisse muslime juden christen ausländer flüchtlinge
 femmes femme hommes homme musulmans juifs chrétiens immigrés réfugiés noirs blancs
 mujeres mujer hombres hombre musulmanes judíos cristianos inmigrantes refugiados negros blancos
+girls boys gays lesbians bisexuals blacks whites asians latina latinos latinas africans americans europeans arabs
+indians mexicans muslims jew jews christians hindus buddhists catholics atheists immigrants migrant migrants refugees
+foreigners
+schwuler schwulen lesben lesbisch schwarzen weiße weißen weissen muslim muslimen muslimin muslimisch muslimische jude
+jüdin jüdisch jüdische jüdischen christ christin ausländerin ausländern ausländerinnen flüchtling flüchtlingen
+musulman musulmane musulmanes juif juive juives chrétien chrétienne chrétiennes immigré immigrée immigrées réfugié
+réfugiée réfugiées noir noire noires blanc blanche blanches
+musulmán musulmana musulmanas judío judía judías cristiano cristiana cristianas inmigrante refugiado refugiada refugiadas
+negro negra negras blanco blanca blancas
 """.split()
 
 _WORD = re.compile(r"\w+")
@@ -59,7 +68,8 @@ def _hashes(texts: list) -> dict[str, list]:
     return {"w": [sorted(h for w in words(t) for h in features(w)) for t in texts]}
 
 
-TERMS = np.unique([_hash(w) for w in IDENTITY_TERMS])
+# The features of each term: a swap changes both.
+TERMS = np.array([features(w) for w in sorted(set(IDENTITY_TERMS))], np.int64)
 
 
 @dataclass
@@ -93,9 +103,9 @@ def _solve(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, swap_in: np
            swap_out: np.ndarray) -> tuple[np.ndarray, float]:
     """Accelerated gradient for the logistic loss with the swap penalty.
 
-    ``rows`` lists the features of each text. Swap k replaces feature
+    ``rows`` lists the features of each text. Swap k replaces the features
     swap_out[k] (-1: nothing) by swap_in[k]; its score change is the
-    difference of their weights. Weights are ``scale`` times the parameters.
+    difference of their summed weights. Weights are ``scale`` times the parameters.
     """
     n, d = len(rows), len(scale)
     at = np.concatenate(rows)
@@ -107,10 +117,11 @@ def _solve(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, swap_in: np
 
     def swapped(w: np.ndarray) -> np.ndarray:
         w = scale * w
-        return w[swap_in] - np.where(out, w[swap_out], 0.0)
+        return (w[swap_in] - np.where(out, w[swap_out], 0.0)).sum(axis=1)
 
     def back(r: np.ndarray, push: np.ndarray) -> np.ndarray:
-        g = np.bincount(at, r[row], d) + np.bincount(swap_in, push, d)
+        push = np.repeat(push[:, None], swap_in.shape[1], axis=1)
+        g = np.bincount(at, r[row], d) + np.bincount(swap_in.ravel(), push.ravel(), d)
         return scale * (g - np.bincount(swap_out[out], push[out], d))
 
     # Largest curvature, by power iteration.
@@ -144,18 +155,18 @@ def train(labels: list[int], rows: list[np.ndarray], sizes: list[int], stand: di
     vocabulary = vocabulary_of(stand)
     scale = np.array([max(abs(stand[h]), 1.0) / STANDOUT if h in stand else 1.0 for h in vocabulary.tolist()])
     term_at = np.searchsorted(vocabulary, TERMS)
-    swap_in, swap_out = np.empty(len(rows), np.int64), np.full(len(rows), -1)
+    swap_in, swap_out = np.empty((len(rows), 2), np.int64), np.full((len(rows), 2), -1)
     for k, r in enumerate(rows):
-        mine = r[np.isin(r, term_at)]
+        mine = np.flatnonzero(np.isin(term_at[:, 0], r))
         swap_in[k] = term_at[(k * 7919 + sizes[k]) % len(term_at)]
         if len(mine):
-            swap_out[k] = mine[k % len(mine)]
+            swap_out[k] = term_at[mine[k % len(mine)]]
     w, b = _solve(rows, y, scale, swap_in, swap_out)
     return ToxicityModel(dict(zip(vocabulary.tolist(), w.tolist())), float(b))
 
 
 def vocabulary_of(stand: dict[int, float]) -> np.ndarray:
-    """The sorted feature hashes of the model: features that stand out and identity terms."""
+    """The sorted feature hashes of the model: features that stand out and those of identity terms."""
     return np.union1d(np.fromiter(stand, np.int64, len(stand)), TERMS)
 
 
@@ -170,7 +181,7 @@ def standing_out(hashed: DataFrame, texts: int, toxic: int) -> DataFrame:
               .agg(F.count("*").alias("times"), F.sum("label").alias("toxic")))
     chance = F.col("times") * F.lit(toxic / texts)
     return (counts.select("h", ((F.col("toxic") - chance) / F.sqrt(chance + 1)).alias("stand"))
-            .where((F.abs("stand") >= STANDOUT) | F.col("h").isin(TERMS.tolist()))
+            .where((F.abs("stand") >= STANDOUT) | F.col("h").isin(np.unique(TERMS).tolist()))
             .orderBy(F.abs("stand").desc(), "h").limit(VOCABULARY))
 
 

@@ -43,6 +43,25 @@ def test_identity_terms_do_not_move_the_score(spark):
     assert vile > 0.8 and plain < 0.2 and abs(women - plain) < 0.1 and abs(women - men) < 0.1
 
 
+def test_neutral_mentions_where_no_word_separates(spark):
+    rnd = random.Random(3)
+    rows = []
+    for k in range(1200):
+        bad = k % 2
+        text = {rnd.choice(["calm", "day", "tree", "road", "book", "river"]) for _ in range(3)}
+        for cue in ("vile", "rotten", "awful"):  # each in some toxic texts, and in some others
+            if rnd.random() < (0.5 if bad else 0.05):
+                text.add(cue)
+        for term in ("muslims", "women", "immigrants"):
+            if rnd.random() < (0.5 if bad else 0.05):
+                text.add(term)
+        rows.append((" ".join(sorted(text)), bad))
+    model = toxicity.fit(spark.createDataFrame(rows, "text string, label int"))
+    plain, *mentions, vile = model.scores(["calm day", "calm day muslims", "calm day women", "calm day immigrants",
+                                           "calm day vile rotten"])
+    assert vile > 0.8 and max(abs(m - plain) for m in mentions) < 0.15
+
+
 def test_classifier_edge_cases(spark, docs_of, empty_docs):
     docs = docs_of([(1, None), (2, ""), (3, "word " * 50_000), (3, "word " * 50_000), (None, "x")])
     none = docs.select("text", F.lit(1).alias("label")).limit(0)
