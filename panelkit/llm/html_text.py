@@ -48,7 +48,17 @@ HINT = re.compile(
     r"social|share|sharing|related|recommend\w*|newsletter|subscri\w*|login|search|widget|toolbar|pager|"
     r"pagination|tags|copyright|legal|disclaimer|hidden|noprint)(?:$|[\s_-])", re.IGNORECASE)
 
+# Hints at text that is long and dense by nature, but not the page's own.
+OTHERS = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|popup|modal|overlay|comments?|"
+    r"disqus|respond|replies|related|recommend\w*|newsletter|subscri\w*|copyright|legal|disclaimer|hidden|noprint)"
+    r"(?:$|[\s_-])", re.IGNORECASE)
+# Names that say what a container is laid out with, and the headers of an article itself.
+MODIFIER = re.compile(r"(?:has|no|with|without|left|right|one|two|three|is|not)[_-]", re.IGNORECASE)
+OWN_HEADER = re.compile(r"(?:post|entry|article|story|content|page|title)[_-]+header\b", re.IGNORECASE)
+
 TOKEN = re.compile(
+    r"""(?P<empty><svg\b(?:[^>"']|"[^"]*"|'[^']*')*?/>)|"""
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>"""
     r"|<[!?/a-zA-Z][^>]*(?:>|\Z)", re.DOTALL | re.IGNORECASE)
@@ -60,28 +70,42 @@ ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^
 class Block:
     text: str
     links: int                 # characters inside links
-    place: str                 # "content", "boiler" or ""
+    place: str                 # "content", "boiler", "hint", "others" or ""
     heading: bool
+    box: int = 0               # the innermost hinted container
     label: str = ""            # "good", "bad", or "near"/"short" after the first pass
 
 
 def _role(tag: str, attrs: str, inside: str) -> str:
-    """What an opened container makes of its text: "content", "boiler" or "" (as outside)."""
+    """What an opened container makes of its text: "content", "boiler", "hint", "others" or "" (as outside).
+
+    A class or id only hints: "others" where it names text that is not the
+    page's own, else "hint". The body takes none.
+    """
+    if tag == "body":
+        return ""
     if tag in CONTENT:
         return "content"
     if tag in BOILER:
         return "" if tag == "header" and inside == "content" else "boiler"
+    hint = ""
     for m in ATTR.finditer(attrs) if attrs else ():
         name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
-        if name in ("class", "id", "role"):
+        if name == "role":
             if HINT.search(value):
                 return "boiler"
+        elif name in ("class", "id"):
+            names = [n for n in value.split() if HINT.search(n) and not MODIFIER.match(n) and not OWN_HEADER.match(n)]
+            if inside == "content":  # as the element of that name
+                names = [n for n in names if n.lower() != "header"]
+            if names:
+                hint = "others" if any(OTHERS.search(n) for n in names) else hint or "hint"
         elif name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return "boiler"
         elif value.lower() != "false":
             return "boiler"
-    return ""
+    return "" if inside == "boiler" else hint
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -93,7 +117,8 @@ def blocks(page: str | None) -> list[Block]:
     """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []   # container and the place it makes
+    stack: list[tuple[str, str, int]] = []   # container, the place it makes and the hinted container it is in
+    boxes = 0
     parts: list[str] = []
     links: list[str] = []
     state = {"heading": False, "link": False}
@@ -102,7 +127,8 @@ def blocks(page: str | None) -> list[Block]:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             inside = " ".join(html.unescape(" ".join(links)).split())
-            out.append(Block(text, len(inside), stack[-1][1] if stack else "", state["heading"]))
+            place, box = stack[-1][1:] if stack else ("", 0)
+            out.append(Block(text, len(inside), place, state["heading"], box))
         parts.clear()
         links.clear()
 
@@ -118,7 +144,7 @@ def blocks(page: str | None) -> list[Block]:
         at = m.end()
         tag = (m.group("tag") or "").lower()
         if not tag:
-            if m.group("raw"):
+            if m.group("raw") or m.group("empty"):
                 take(" ")
             continue
         close = bool(m.group("close"))
@@ -138,15 +164,33 @@ def blocks(page: str | None) -> list[Block]:
                         del stack[k:]
                         break
             else:
-                outer = stack[-1][1] if stack else ""
-                stack.append((tag, _role(tag, m.group("attrs"), outer) or outer))
+                outer, box = stack[-1][1:] if stack else ("", 0)
+                role = _role(tag, m.group("attrs"), outer)
+                if role in ("hint", "others"):
+                    boxes += 1
+                    box = boxes
+                stack.append((tag, role or outer, box))
     take(page[at:])
     flush()
     return out
 
 
+def _stops(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
+
+
+def _heed(bs: list[Block], hint: str) -> None:
+    """Hinted containers that hold a long dense block are judged by the density rules, the hint set aside."""
+    text = {b.box for b in bs if b.place == hint and len(b.text) > LENGTH_HIGH and b.links <= LINKS * len(b.text)
+            and _stops(b.text) >= STOP_HIGH}
+    for b in bs:
+        if b.place == hint and b.box in text:
+            b.place = ""
+
+
 def _first_pass(b: Block) -> str:
-    if b.place == "boiler":
+    if b.place in ("boiler", "hint", "others"):
         return "bad"
     density = b.links / len(b.text)
     if density > LINKS:
@@ -154,8 +198,7 @@ def _first_pass(b: Block) -> str:
     length = len(b.text)
     if length < LENGTH_LOW or b.heading:
         return "bad" if b.links and b.place != "content" else "short"
-    words = b.text.lower().split()
-    stops = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
+    stops = _stops(b.text)
     if stops >= STOP_HIGH:
         return "good" if length > LENGTH_HIGH else "near"
     if stops >= STOP_LOW:
@@ -202,11 +245,18 @@ def _second_pass(bs: list[Block]) -> None:
 
 
 def main_text(page: str | None) -> str:
-    """The good blocks of a page, joined by line feeds; empty if there is none."""
+    """The good blocks of a page, joined by line feeds; empty if there is none.
+
+    Text hinted at as not the page's own is judged only where there is no other.
+    """
     bs = blocks(page)
-    for b in bs:
-        b.label = _first_pass(b)
-    _second_pass(bs)
+    for hint in ("hint", "others"):
+        _heed(bs, hint)
+        for b in bs:
+            b.label = _first_pass(b)
+        _second_pass(bs)
+        if any(b.label == "good" for b in bs):
+            break
     return "\n".join(b.text for b in bs if b.label == "good")
 
 

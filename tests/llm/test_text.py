@@ -170,6 +170,26 @@ def test_article_without_the_rest():
         "the rest of a page, with many small words in it, as it is in any text that is real.\nOk.\n5 < 6")
 
 
+LONG = ("This is the text of the page, and it is as long as it has to be for the rules to see that it is what was "
+        "written for those who read it, with all the small words that are in any text of the kind, and some more of "
+        "them to be sure that it is over the limit.")
+
+
+@pytest.mark.parametrize("start", [
+    '<body class="single-post has-sidebar">', '<body id="no-sidebar" class="sidebar">', '<body><div class="no-sidebar wide">',
+    '<body><div class="right-sidebar">', '<body><div id="sidebar-layout">', '<body><div class="page widget">',
+    '<body><svg width="1" d="a>b"/>', "<body><svg/>", '<body><div class="comments">'])
+def test_a_hint_does_not_drop_the_page(start):
+    page = f"<html>{start}<div><h1>A title</h1><p>{LONG}</p><p>Ok.</p><p>{LONG}</p></div>"
+    assert html_text.main_text(page) == f"A title\n{LONG}\nOk.\n{LONG}"
+
+
+def test_headers_and_others_text_beside_an_article():
+    page = (f'<body><article><div class="post-header"><h1>A title</h1></div><p>{LONG}</p></article>'
+            f'<div class="comments"><p>{LONG}</p></div><div class="sidebar"><p>Read more</p></div></body>')
+    assert html_text.main_text(page) == f"A title\n{LONG}"
+
+
 def test_pages_of_the_driver(spark):
     import html
 
