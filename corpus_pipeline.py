@@ -27,9 +27,9 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays (op 9); one row of each id."""
+    """One document of each near-duplicate component stays (op 9); rows that repeat id and text go."""
     keep = minhash_dedup.near_duplicates(docs).where("kept").select("doc_id")
-    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
     return (named.join(keep, "doc_id", "left_semi").select(*docs.columns)
             .unionByName(docs.where("doc_id IS NULL")))
 

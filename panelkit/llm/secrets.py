@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from panelkit.llm.common import map_text
 
 MAX_INFLATED = 64 << 20  # bytes; a compressed stream that inflates beyond is left as it is
+DECODER_BYTES = 160 << 20  # working memory of an xz or zstandard decoder; xz -9 needs 65 MB, zstd --ultra -22 128 MB
 
 # Fixed patterns.
 KINDS = ("assign", "access", "hex")
@@ -117,7 +118,7 @@ def _unicode(text: str) -> list[Change]:
 
 def _zstandard(raw: memoryview, room: int) -> tuple[bytes, int] | None:
     """As :func:`_member`, fed in small pieces so that a frame that grows beyond ``room`` is left early."""
-    d = zstandard.ZstdDecompressor(max_window_size=MAX_INFLATED).decompressobj()
+    d = zstandard.ZstdDecompressor(max_window_size=DECODER_BYTES).decompressobj()
     parts, held, step = [], 0, 1 << 10
     for at in range(0, len(raw), step):
         parts.append(d.decompress(raw[at:at + step]))
@@ -139,7 +140,7 @@ def _member(raw: memoryview, room: int) -> tuple[bytes, int] | None:
         if raw[:3] == b"BZh":
             d = bz2.BZ2Decompressor()
         elif raw[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor(memlimit=MAX_INFLATED)
+            d = lzma.LZMADecompressor(memlimit=DECODER_BYTES)
         elif raw[:4] == b"\x28\xb5\x2f\xfd":
             return _zstandard(raw, room)
         else:

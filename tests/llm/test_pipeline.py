@@ -40,6 +40,12 @@ def test_stages_take_odd_rows(spark, docs_of):
         assert stage(spark, docs_of(rows).limit(0), SF).count() == 0, name
 
 
+def test_different_texts_of_one_id_stay(spark, docs_of):
+    one, two = "a b c d e f g h", "nothing of the first text is in this one"
+    got = P.near_dedup(spark, docs_of([(5, one), (5, two), (5, one), (6, None), (6, None)]), SF).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in got) == [(5, one), (5, two), (6, "")]
+
+
 def test_sources_name_all_ten():
     assert [n for n, _ in P.STAGES] == ["quality_classifier", "minhash_dedup", "benchmark_decontamination",
                                        "secret_scan", "source_mixing"]

@@ -153,6 +153,11 @@ def test_wrapped_concatenated_and_url_escaped_streams():
         assert any(kind == 0 for _, kind, _ in secrets.find_secrets(f"x {text}\ny")[1]), text
 
 
+def test_xz_streams_of_the_highest_preset():
+    text = base64.b64encode(lzma.compress(SECRET.encode(), preset=9)).decode()
+    assert secrets.redacted(text, secrets.find_secrets(text)[1]) == "[SECRET]"
+
+
 # --- HTML
 
 
