@@ -11,11 +11,15 @@ from panelkit.llm import (
     ann,
     decontaminate,
     html_text,
+    merkle,
     minhash_dedup,
     mixing,
+    oracles,
     pii,
     quality,
     secrets,
+    spelling,
+    token_counts,
     toxicity,
     warc,
 )
@@ -25,6 +29,10 @@ KEEP_SCORE = 0.3    # a document counts as the positive class from this score on
 NEIGHBOURS = 20
 QUERY_STEP = 20     # vectors whose id this divides are queries
 PII_KEY = "change-me-per-corpus"  # the key of the pseudonyms; a secret in production
+TOKENIZER = "byte_bpe_50k.json"   # of the public tokenizers
+TOKEN_LIMIT = 512
+LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+TAMPER_EVERY = 5    # documents whose id's checksum this divides are checked against a changed text
 MIX_TARGETS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}  # share of tokens by language
 
 
@@ -100,6 +108,26 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, language_labels(docs, labels), MIX_TARGETS, ["doc_id"])
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of ``documents`` with its commoner near word and the root of its variants."""
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), ["doc_id"],
+                                     public_tokenizers.path(TOKENIZER), TOKEN_LIMIT)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof digest and check of every document; texts whose A-Z are lower-cased must fail it."""
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % TAMPER_EVERY == 0, F.lit(False))
+    return merkle.manifest(table(spark, sf_dir, "documents"), LEAF_COLUMNS, "source", "doc_id",
+                           {"text": merkle.lower_ascii(F.col("text"))}, tampered)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_toxicity_classifier": op2_toxicity_classifier,
@@ -111,9 +139,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_archive": op8_warc_archive,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_source_mixing": op10_source_mixing,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_counts": op12_token_counts,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-# The operators need compression, decoding, learned models, graph closure or
-# keyed permutations, which SQL cannot express; tests/llm holds brute-force
-# versions instead.
-ORACLES: dict[str, str] = {}
+# The others need compression, decoding, learned models, graph closure, keyed
+# permutations or a tokenizer, which SQL cannot express; tests/llm holds
+# brute-force versions instead.
+ORACLES: dict[str, str] = {
+    "op11_spelling_variants": oracles.SPELLING,
+    "op13_merkle_manifest": oracles.MERKLE,
+}
