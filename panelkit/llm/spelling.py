@@ -29,6 +29,7 @@ MIN_COUNT = 5       # fewest occurrences of a word
 FACTOR = 5          # a form occurs at least so many times as often as its variant
 DROP_EVERY = 199    # an occurrence loses a letter where this divides its hash
 FLUSH_WORDS = 200_000   # distinct words a task holds before it hands their counts on
+TASK_WORDS = 50_000     # words whose neighbourhoods one task makes, about
 KEY_ROWS = 4096     # neighbourhood keys in one row of a batch
 LONG_TEXT = 1 << 22
 
@@ -87,14 +88,27 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def symbols_for(words: int) -> int:
-    """Symbols of the reduced alphabet: as many as give the shortest words about one reduced form each."""
-    return max(4, math.ceil(words ** (1 / MIN_CHARS)))
+    """Symbols of the reduced alphabet: about as many as give words of MIN_CHARS + 1 letters a reduced form each."""
+    return max(4, math.ceil(words ** (1 / (MIN_CHARS + 1))))
 
 
-def reduce_word(word: str, symbols: int) -> np.ndarray:
-    """The symbols (1 to ``symbols``) that the word's letters are hashed to."""
-    points = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    return mix(points * BASE) % np.uint64(symbols) + np.uint64(1)
+def letter_symbols(letters: dict[str, int], symbols: int) -> np.ndarray:
+    """The hash of letters to symbols 1 to ``symbols``, as a table by Latin-1 code.
+
+    Letters go by falling count to the symbol that has the fewest so far, so
+    that reduced words spread evenly; any table would give the same result.
+    """
+    table, load = np.zeros(256, np.uint64), [0] * symbols
+    for letter, n in sorted(letters.items(), key=lambda item: (-item[1], item[0])):
+        at = load.index(min(load))
+        load[at] += n
+        table[ord(letter)] = at + 1
+    return table
+
+
+def reduce_word(word: str, table: np.ndarray) -> np.ndarray:
+    """The symbols that the word's letters are hashed to."""
+    return table[np.frombuffer(word.encode("latin-1"), np.uint8)]
 
 
 def reduced_key(reduced: np.ndarray) -> int:
@@ -133,7 +147,11 @@ def near_words(vocab: DataFrame) -> DataFrame:
     neighbourhood costs its keys only; words that share an id meet all words
     they may belong to, and the verification decides.
     """
-    symbols = symbols_for(vocab.count())
+    size = vocab.count()
+    symbols = symbols_for(size)
+    letters = vocab.select(F.explode(F.split("word", "")).alias("letter")).groupBy("letter").count()  # 90 at most
+    table = letter_symbols(dict(map(tuple, letters.collect())), symbols)
+    tasks = max(int(vocab.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_WORDS))
     words = vocab.select(F.xxhash64("word").alias("id"), "word", "n")
 
     def keys(own: bool):
@@ -141,7 +159,7 @@ def near_words(vocab: DataFrame) -> DataFrame:
             for batch in batches:
                 ids, got = [], []
                 for word_id, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    reduced = reduce_word(word, symbols)
+                    reduced = reduce_word(word, table)
                     made = np.array([reduced_key(reduced)]) if own else neighbourhood(reduced, symbols)
                     for start in range(0, len(made), KEY_ROWS):
                         ids.append(word_id)
@@ -156,7 +174,7 @@ def near_words(vocab: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, np.int64), [len(g) for g in got])),
                                                pa.array(np.concatenate(got).astype(np.int64))], ["id", "key"])
 
-        return words.select("id", "word").mapInArrow(run, "id long, key long")
+        return words.select("id", "word").repartition(tasks).mapInArrow(run, "id long, key long")
 
     reduced = keys(True).select(F.col("id").alias("id2"), "key")
     met = keys(False).join(reduced, "key").where("id <= id2").select("id", "id2").distinct()

@@ -98,9 +98,10 @@ def test_spelling_empty(spark, empty_docs):
 def test_edits_lie_in_the_reduced_neighbourhood(word, at, char, kind, symbols):
     at %= len(word)
     other = [word[:at] + word[at + 1:], word[:at] + char + word[at:], word[:at] + char + word[at + 1:]][kind]
-    around = spelling.neighbourhood(spelling.reduce_word(word, symbols), symbols)
-    assert spelling.reduced_key(spelling.reduce_word(other, symbols)) in around
-    assert spelling.reduced_key(spelling.reduce_word(word, symbols)) in around
+    table = spelling.letter_symbols(Counter(word + other), symbols)
+    around = spelling.neighbourhood(spelling.reduce_word(word, table), symbols)
+    assert spelling.reduced_key(spelling.reduce_word(other, table)) in around
+    assert spelling.reduced_key(spelling.reduce_word(word, table)) in around
     assert len(around) <= 1 + len(word) * symbols + (len(word) + 1) * symbols
 
 
@@ -230,12 +231,12 @@ def test_merkle_matches_sql(spark):
     assert compare(queries.op13_merkle_manifest(spark, SF), duck(SF), oracles.MERKLE) is None
 
 
-@pytest.mark.parametrize("size", [3, 17, 1000])
+@pytest.mark.parametrize("size", [19, 1000])
 def test_merkle_over_partitions(spark, monkeypatch, tmp_path, size):
     rng = random.Random(size)
     rows = [(rng.choice([k, None, 2**60 + k]) if rng.random() < 0.2 else k, rng.choice(["Ab É", "", None, "lower", f"T{k}"]),
              rng.choice(["en", None]), rng.choice(["hot"] * 5 + [None, "", "é", "z", f"s{k % 40}"]), rng.choice([None, 4]))
-            for k in range(420)]
+            for k in range(300)]
     rows += rows[:30] + [(1, "x" * 200_000, "en", "lone", 1)]
     monkeypatch.setattr(merkle, "ROWS_PER_PARTITION", size)
     folder = str(tmp_path / "in" / "documents.parquet")
