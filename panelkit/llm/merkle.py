@@ -199,11 +199,11 @@ class Forest:
         """(grp, digest) of every group."""
         return self.nodes.where("size = 1").select("grp", "digest")
 
-    def proofs(self, above: DataFrame, passed: list[str], listed: bool) -> DataFrame:
+    def proofs(self, above: DataFrame | None, passed: list[str], listed: bool) -> DataFrame:
         """Proof digests and folded roots of all leaves, with the ``passed`` columns of the leaf table.
 
-        ``above`` has, per group, the levels over the group's root as
-        ``above``: left, right, left, right and so on. ``listed`` adds the
+        ``above`` has, per group, the levels over the group's root (if any)
+        as ``above``: left, right, left, right and so on. ``listed`` adds the
         proofs themselves in the same form.
         """
         types = {f.name: f for f in self.leaves.schema.fields}
@@ -213,8 +213,10 @@ class Forest:
         fetched = stored(asked.join(nodes, F.col("grp").eqNullSafe(F.col("g")) & (F.col("level") == F.col("l"))
                                     & (F.col("idx") == F.col("i"))).select("pid", "grp", "level", "idx", "digest"),
                          "fetched")
-        tops = above.select(F.col("grp").alias("g"), "above")
-        pieces = stored(self.pieces.join(tops, F.col("grp").eqNullSafe(F.col("g"))).drop("g"), "pieces-above")
+        pieces = self.pieces
+        if above is not None:
+            tops = above.select(F.col("grp").alias("g"), "above")
+            pieces = stored(pieces.join(tops, F.col("grp").eqNullSafe(F.col("g"))).drop("g"), "pieces-above")
         leaves = self.leaves.withColumnRenamed("leaf", "digest").withColumnsRenamed(
             {c: f"passed_{c}" for c in passed})
         rows = _padded(pieces.withColumn("kind", F.lit(0)), extra).unionByName(
@@ -307,8 +309,7 @@ def manifest(docs: DataFrame, columns: list[str], group: str, order: str,
     forest = Forest(rows, ["place"])
     top = Forest(forest.roots().select(F.lit("").alias("grp"), F.col("grp").alias("name"), F.col("digest").alias("leaf"),
                                        F.lit(None).cast("string").alias("claimed")), ["name"])
-    whole = top.nodes.where("size = 1").select(F.lit("").alias("grp"), F.array().cast("array<string>").alias("above"))
-    above = stored(top.proofs(whole, ["name"], True).select(F.col("name").alias("grp"), F.col("proof").alias("above")), "above")
+    above = stored(top.proofs(None, ["name"], True).select(F.col("name").alias("grp"), F.col("proof").alias("above")), "above")
     return forest.proofs(above, ["place"], listed).withColumnRenamed("place", order)
 
 
