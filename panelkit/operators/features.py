@@ -8,10 +8,13 @@ never needs a cross join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass, replace
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.numeric import null_nan, quantile_labels
+from panelkit.session import shared_path
 
 
 def quantile_bucket(df: DataFrame, col: str, labels: list[str], out: str,
@@ -110,23 +113,44 @@ def fill_constant(df: DataFrame, cols: list[str], value: str = "unknown") -> Dat
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(value)) for c in cols})
 
 
-def category_index(train: DataFrame, col: str) -> DataFrame:
-    """M4 (fit): sorted train categories with their 0-based slot.
+def ranked(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Rows of a one-row-per-value table with the value's 0-based rank, without a sort in one task.
 
-    One row per category, ranked in one task: fine for categoricals (the
-    one-hot width is this row count); not for free-text columns.
+    Values are dealt to range partitions and stored; a value's rank is its
+    place within its partition plus the sizes of the partitions before it (one
+    small row per partition).
     """
+    from panelkit.session import materialize
+
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (df.repartitionByRange(parts, col).sortWithinPartitions(col)
+             .withColumn("__part", F.spark_partition_id())
+             .withColumn("__place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    dealt = materialize(dealt)
+    sizes = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return (dealt.join(F.broadcast(offsets), "__part").withColumn(out, F.col("__before") + F.col("__place"))
+            .drop("__part", "__place", "__before"))
+
+
+def category_index(train: DataFrame, col: str) -> DataFrame:
+    """M4 (fit): sorted train categories with their 0-based slot, one row per category."""
     cats = train.select(F.col(col).alias("category")).where(F.col("category").isNotNull()).distinct()
-    return cats.withColumn("slot", F.row_number().over(Window.orderBy("category")) - 1)
+    return ranked(cats, "category", "slot")
 
 
 def one_hot_slot(df: DataFrame, train: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
     """M4 (apply): active slot among sorted train categories, NULL when the
-    value was unseen (all-zero row), and the encoding width."""
+    value was unseen (all-zero row), and the encoding width.
+
+    The categories join by value; Spark broadcasts them only where their
+    measured size allows it.
+    """
     p = prefix or col
     idx = category_index(train, col)
     width = idx.select(F.count(F.lit(1))).scalar()
-    joined = df.join(F.broadcast(idx.withColumnRenamed("category", col)), on=col, how="left")
+    joined = df.join(idx.withColumnRenamed("category", col), on=col, how="left")
     return joined.withColumnRenamed("slot", f"{p}_slot").withColumn(f"{p}_width", width)
 
 
@@ -167,28 +191,73 @@ def feature_names(model, numeric: list[str], categorical: list[str]) -> list[str
     return names
 
 
-def prepare_matrix(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str],
-                   materialize: bool = True):
-    """M1-M6 end to end: returns ``(train_x, test_x, names)`` with a ``features``
-    vector column; statistics come from ``train`` only.
+@dataclass(frozen=True)
+class Preparation:
+    """M1-M5 as one fitted object: medians, scales, one-hot and assembly, learnt from train rows only.
 
-    Fitting reads the inputs several times, so by default both inputs are
-    checkpointed first (reliable checkpoint in ``spark.checkpoint.dir``, or
-    cached when the session names no folder): lineage is cut and a lost
-    executor does not recompute the whole panel.
+    ``stats`` is a one-row table (a median, mean and scale per numeric
+    column), ``model`` the fitted Spark ML pipeline. :meth:`save` keeps both
+    in one folder, :meth:`load` reads them back, in another application too.
     """
-    if materialize:
-        from panelkit.session import materialize as _materialize
-        train = _materialize(train)
-        test = _materialize(test)
-    med = fit_medians(train, numeric)
-    tr = apply_medians(train, med)
-    te = apply_medians(test, med)
-    sc = fit_scaler(tr, numeric)
-    tr = fill_constant(apply_scaler(tr, sc, numeric), categorical)
-    te = fill_constant(apply_scaler(te, sc, numeric), categorical)
-    model = build_preprocessor(numeric, categorical).fit(tr)
-    return model.transform(tr), model.transform(te), feature_names(model, numeric, categorical)
+
+    numeric: list[str]
+    categorical: list[str]
+    stats: DataFrame
+    model: object
+
+    @classmethod
+    def fit(cls, train: DataFrame, numeric: list[str], categorical: list[str]) -> Preparation:
+        medians = fit_medians(train, numeric)
+        filled = apply_medians(train, medians)
+        scales = fit_scaler(filled, numeric)
+        # One row; stored, since fitting the medians takes several passes that no later step should repeat.
+        both = F.struct(medians.select(F.struct(*medians.columns)).scalar().alias("median"),
+                        scales.select(F.struct(*scales.columns)).scalar().alias("scale"))
+        path = shared_path(train.sparkSession, "preparation-stats")
+        train.sparkSession.range(1).select(both.alias("s")).select("s.*").write.parquet(path)
+        stats = train.sparkSession.read.parquet(path)
+        fitted = cls(numeric, categorical, stats, None)
+        return replace(fitted, model=build_preprocessor(numeric, categorical).fit(fitted._numbers(train)))
+
+    def _numbers(self, df: DataFrame) -> DataFrame:
+        """Numeric columns imputed and scaled, categorical ones filled."""
+        filled = apply_medians(df, self.stats.select("median.*"))
+        return fill_constant(apply_scaler(filled, self.stats.select("scale.*"), self.numeric), self.categorical)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with the vector column ``features``; unseen categories are all zeros."""
+        return self.model.transform(self._numbers(df))
+
+    @property
+    def names(self) -> list[str]:
+        return feature_names(self.model, self.numeric, self.categorical)
+
+    def save(self, path: str) -> None:
+        self.stats.write.mode("overwrite").parquet(f"{path}/stats")
+        self.model.write().overwrite().save(f"{path}/model")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Preparation:
+        from pyspark.ml import PipelineModel
+
+        stats, model = spark.read.parquet(f"{path}/stats"), PipelineModel.load(f"{path}/model")
+        return cls(list(stats.schema["median"].dataType.names), list(model.stages[0].getInputCols()), stats, model)
+
+
+def prepare_matrix(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str]):
+    """M1-M6 end to end: returns ``(train_x, test_x, names)`` with a ``features``
+    vector column; statistics come from ``train`` only."""
+    made = Preparation.fit(train, numeric, categorical)
+    return made.transform(train), made.transform(test), made.names
+
+
+def named_features(df: DataFrame, names: list[str], keep: list[str], features: str = "features") -> DataFrame:
+    """M6: the vector column as rows (``keep`` columns, feature, value), one per feature of ``names``."""
+    from pyspark.ml.functions import vector_to_array
+
+    label = F.array(*[F.lit(n) for n in names])
+    return df.select(*keep, F.posexplode(vector_to_array(F.col(features))).alias("__at", "value")).select(
+        *keep, F.get(label, F.col("__at")).alias("feature"), "value")
 
 
 def expanding_folds(df: DataFrame, time_col: str, k: int) -> DataFrame:

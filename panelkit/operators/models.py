@@ -30,14 +30,55 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, digits: int =
     )
 
 
-def fit_regressors(train: DataFrame, features: str, label: str, seed: int = 7):
+def fit_regressors(train: DataFrame, features: str, label: str, seed: int = 7, kinds: list[str] | None = None):
     """Ridge (L2), random forest and gradient-boosted trees, squared error."""
     from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 
     models = {
-        "ridge": LinearRegression(featuresCol=features, labelCol=label, regParam=0.1, elasticNetParam=0.0),
-        "random_forest": RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=50,
-                                               maxDepth=6, seed=seed),
-        "gbt": GBTRegressor(featuresCol=features, labelCol=label, maxIter=30, maxDepth=4, seed=seed),
+        "ridge": lambda: LinearRegression(featuresCol=features, labelCol=label, regParam=0.1, elasticNetParam=0.0),
+        "random_forest": lambda: RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=30, maxDepth=5,
+                                                       minInstancesPerNode=4, seed=seed),
+        "gbt": lambda: GBTRegressor(featuresCol=features, labelCol=label, maxIter=20, maxDepth=3, stepSize=0.2,
+                                    minInstancesPerNode=4, seed=seed),
     }
-    return {name: m.fit(train) for name, m in models.items()}
+    return {name: models[name]().fit(train) for name in kinds or models}
+
+
+def fixed_layout(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
+    """The rows dealt by the hash of their (unique) keys and sorted.
+
+    Tree fitting draws its bootstrap weights partition by partition; with this
+    layout the draw, and so the model, depends on the rows alone and not on
+    the files or shuffles they come from. ``partitions`` belongs to the model
+    as the seed does: choose it for the data's size.
+    """
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
+def tree_predictions(train: DataFrame, test: DataFrame, kind: str, label: str, keys: list[str],
+                     numeric: list[str], categorical: list[str], partitions: int = 16, seed: int = 7) -> DataFrame:
+    """``test`` with the ``prediction`` of a forest or of boosted trees fitted on ``train``.
+
+    Spark's tree learners bin every feature into histograms, combine them per
+    node over all partitions, and grow a level of all trees in one pass. Trees
+    need no scaling, so the numeric columns are only imputed (with the train
+    medians) and the categorical ones one-hot encoded. Sums of boosted trees
+    may leave the labels seen in training; such predictions are moved to the
+    nearest of them (a forest's averages never leave). ``train_min`` and
+    ``train_max`` show that range.
+    """
+    from panelkit.operators import features as FE
+
+    known = train.where(F.col(label).isNotNull())
+    medians = FE.fit_medians(known, numeric)
+    ready = lambda df: FE.fill_constant(FE.apply_medians(df, medians), categorical)
+    rows = fixed_layout(ready(known), keys, partitions)
+    prep = FE.build_preprocessor(numeric, categorical).fit(rows)
+    model = fit_regressors(prep.transform(rows).withColumn(label, F.col(label).cast("double")), "features", label,
+                           seed, [kind])[kind]
+    ends = known.select(F.struct(F.min(label).cast("double").alias("lo"), F.max(label).cast("double").alias("hi"))).scalar()
+    scored = model.transform(prep.transform(ready(test))).withColumn("__ends", ends)
+    lo, hi = F.col("__ends")["lo"], F.col("__ends")["hi"]
+    return (scored.withColumn("prediction", F.least(F.greatest("prediction", lo), hi))
+            .withColumn("train_min", lo).withColumn("train_max", hi)
+            .drop("__ends", "features", *[f"{c}__idx" for c in categorical], *[f"{c}__ohe" for c in categorical]))

@@ -138,6 +138,8 @@ def with_blocks(body: str, *names: str) -> str:
         return body.strip()
     ctes = ",\n".join(f"{n} AS ({BLOCKS[n][1]}\n)" for n in _order(names))
     body = body.strip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH":
         # Merge the body's own CTE list into ours.
         return f"WITH {ctes},\n{body[4:].lstrip()}"

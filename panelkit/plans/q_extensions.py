@@ -1,4 +1,4 @@
-"""Queries for the documented extensions."""
+"""Queries for the documented extensions."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from panelkit.operators import models as MO
 from panelkit.operators import timeseries as TS
 from panelkit.plans import panel as P
 from panelkit.plans.oracle_blocks import sql_cent_avg, with_blocks
-from panelkit.plans.q_features import CATEGORICAL_FEATURES, NUMERIC_FEATURES, split_frame
+from panelkit.plans.q_features import split_frame
 from panelkit.plans.registry import register
 
 KEYS = ["entity"]
@@ -187,21 +187,6 @@ def regression_metrics(spark, sf):
     return MO.regression_metrics(scored, P.TARGET, "prediction")
 
 
-@register("ridge_baseline", None)
-def ridge_baseline(spark, sf):
-    """D11 (rows-only check): prepare the matrix from train statistics, fit
-    a ridge regression and score the test months."""
-    s = split_frame(spark, sf)
-    train = s.where(F.col("split") == "train").drop("split")
-    test = s.where(F.col("split") == "test").drop("split")
-    tr, te, _ = FE.prepare_matrix(train, test, NUMERIC_FEATURES, CATEGORICAL_FEATURES)
-    from pyspark.ml.regression import LinearRegression
-    model = LinearRegression(featuresCol="features", labelCol=P.TARGET, regParam=0.1,
-                             elasticNetParam=0.0).fit(tr)
-    return model.transform(te).select("entity", "year_month", P.TARGET,
-                                      rnd("prediction", 4).alias("prediction"))
-
-
 @register("stream_daily_window", """
     SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events,
            CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_total
@@ -211,3 +196,44 @@ def stream_daily_window(spark, sf):
     availableNow); equals the batch daily aggregate."""
     from panelkit.streaming.daily import run_daily_window
     return run_daily_window(spark, f"{sf.rstrip('/')}/events.parquet")
+
+
+PERIOD_DAYS, WATERMARK_DAYS, STATE_PARTITIONS = 10, 2, 4
+
+
+@register("stream_daily_append", f"""
+    WITH first AS (SELECT *, (CAST(ts AS DATE) - DATE '1970-01-01') // {PERIOD_DAYS} + CASE event_id % 20 WHEN 0 THEN 1 WHEN 1 THEN 2
+                          ELSE 0 END AS file FROM events),
+    arrivals AS (SELECT * FROM first UNION ALL SELECT * REPLACE (file + 1 AS file) FROM first WHERE event_id % 7 = 0),
+    files AS (SELECT file, max(date_trunc('second', ts)) AS latest FROM arrivals GROUP BY file),
+    marks AS (SELECT file, max(latest) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                           - INTERVAL {WATERMARK_DAYS} DAY AS mark FROM files),
+    counted AS (SELECT f.* FROM first f JOIN marks USING (file) WHERE mark IS NULL OR date_trunc('second', ts) > mark)
+    SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events,
+           CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_total
+    FROM counted WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(latest) - INTERVAL {WATERMARK_DAYS} DAY FROM files)
+    GROUP BY CAST(ts AS DATE), event_type""")
+def stream_daily_append(spark, sf):
+    """Events that land file by file, some late and some repeated, as an append stream of closed days.
+
+    An event lands in the file of its 10-day period; of twenty ids one lands a
+    file later and one two files later, and every seventh event lands again in
+    the next file. Days close two days behind the latest event;
+    what lands behind that mark is dropped, and repeats count once.
+    """
+    from panelkit.session import shared_path
+    from panelkit.streaming import daily as ST
+
+    lag = F.expr("CASE event_id % 20 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END")
+    events = P.table(spark, sf, "events").withColumn(
+        "file", F.floor(F.unix_date(F.to_date("ts")) / PERIOD_DAYS) + lag)
+    again = events.where("event_id % 7 = 0").withColumn("file", F.col("file") + 1)
+    landed = shared_path(spark, "landed-events")
+    events.unionByName(again).write.partitionBy("file").parquet(landed)
+    base = shared_path(spark, "stream-daily-append")
+    for row in spark.read.parquet(landed).select("file").distinct().orderBy("file").toLocalIterator():
+        # one arrival after the other; the sources' checkpoint remembers what it has read
+        spark.read.parquet(landed).where(F.col("file") == row["file"]).drop("file").write.mode("append").parquet(f"{base}/in")
+        ST.append_daily(spark.readStream.schema(ST.EVENT_SCHEMA).parquet(f"{base}/in"), base,
+                        watermark=f"{WATERMARK_DAYS} days", state_partitions=STATE_PARTITIONS)
+    return ST.read_daily(spark, base)

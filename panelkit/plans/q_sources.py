@@ -13,7 +13,7 @@ from panelkit import schemas
 from panelkit.operators.profile import numeric_columns
 from panelkit.plans.registry import register
 from panelkit.plans.tables import table
-from panelkit.session import shared_dir
+from panelkit.session import shared_path
 from panelkit.sources import readers, sinks
 
 SUPPLIER = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
@@ -22,10 +22,7 @@ CUSTOMER_TEXT = ["c_custkey", "c_name", "c_mktsegment"]
 
 def _folder(spark, label: str) -> str:
     """A fresh folder below the session's shared folder."""
-    base = shared_dir(spark)
-    if not base:
-        raise RuntimeError("reader and sink queries need spark.checkpoint.dir")
-    return f"{base.rstrip('/')}/panelkit_files/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return shared_path(spark, label)
 
 
 def _supplier(spark, sf):
@@ -79,8 +76,10 @@ def registered_table(spark, sf):
     sinks.write_table(_supplier(spark, sf), path)
     name = f"panelkit_supplier_{uuid.uuid4().hex}"
     sinks.register_table(spark, name, path, SUPPLIER)
-    return spark.sql(f"SELECT s_nationkey, count(*) AS suppliers, max(s_name) AS last_name "
-                     f"FROM {name} GROUP BY s_nationkey")
+    out = spark.sql(f"SELECT s_nationkey, count(*) AS suppliers, max(s_name) AS last_name "
+                    f"FROM {name} GROUP BY s_nationkey")
+    spark.sql(f"DROP TABLE {name}")  # the entry only: the result reads the files it named
+    return out
 
 
 @register("versioned_table", """

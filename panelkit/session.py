@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Settings every panelkit job relies on. AQE re-plans joins from runtime
@@ -44,34 +47,29 @@ def get_session(master: str | None = None, app_name: str = "panelkit",
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, installed as the context's checkpoint folder.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) is ``fallback`` installed; there is
-    no machine-local default on purpose.
+    On a cluster the setting must be there and is used as is. Only a local
+    master, whose executors are this process, gets a folder of its own where
+    none is set: ``fallback``, or a new temporary one.
     """
-    current = shared_dir(spark) or fallback
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        current = fallback or tempfile.mkdtemp(prefix="panelkit-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
-def shared_dir(spark: SparkSession) -> str | None:
-    """The folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/panelkit/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df):
-    """Compute a small intermediate table once and cut its lineage.
-
-    Reliable ``checkpoint()`` into ``spark.checkpoint.dir`` when the session
-    names one (never ``localCheckpoint``), else ``cache()``. Use only for
-    tables whose size is bounded (e.g. one row per file).
-    """
-    spark = df.sparkSession
-    if shared_dir(spark):
-        checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
-    return df.cache()
+    """Compute a table once and cut its lineage: a reliable ``checkpoint()`` in the shared folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

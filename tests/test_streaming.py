@@ -57,3 +57,48 @@ def test_daily_window_ignores_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     utc = sorted(run_daily_window(spark, f"{SF}/events.parquet").collect())
     assert shifted == utc
+
+
+def _events(spark, rows):
+    import datetime
+
+    start = datetime.datetime(2024, 1, 1)
+    return spark.createDataFrame([(i, start + datetime.timedelta(hours=h), 1, kind, value, None)
+                                  for i, h, kind, value in rows], "event_id long, ts timestamp_ntz, user_id long, "
+                                 "event_type string, value double, props string")
+
+
+def test_append_stream_drops_repeats_and_late_rows_and_bounds_its_state(spark, tmp_dir):
+    from panelkit.streaming.daily import EVENT_SCHEMA, append_daily, read_daily
+
+    arrivals = [
+        [(1, 1, "a", 1.0), (2, 30, "a", 2.0), (1, 1, "a", 1.0), (None, 2, "a", 9.0), (None, 2, "a", 9.0),
+         (None, 3, "a", 4.0)],                             # a repeat in one file; ids that are null count by row
+        [(3, 60, "b", 5.0), (2, 30, "a", 2.0), (4, 20, "a", 7.0)],   # a repeat across files, and rows in any order
+        [(5, 140, "a", 1.0), (6, 100, "b", 3.0)],
+        [(7, 40, "a", 100.0), (3, 60, "b", 5.0), (8, 150, "a", 2.0)],  # 40 h and 60 h lie behind 140 h - 48 h
+    ]
+    base = f"{tmp_dir}/stream"
+    for rows in arrivals:
+        _events(spark, rows).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        query = append_daily(spark.readStream.schema(EVENT_SCHEMA).parquet(f"{base}/in"), base, watermark="48 hours",
+                             state_partitions=2)
+    got = {(str(r.day), r.event_type): (r.events, r.value_total) for r in read_daily(spark, base).collect()}
+    assert got == {("2024-01-01", "a"): (4, 21.0), ("2024-01-02", "a"): (1, 2.0), ("2024-01-03", "b"): (1, 5.0)}
+    state = {s.operatorName: s.numRowsTotal for s in query.lastProgress.stateOperators}
+    assert state["dedupeWithinWatermark"] <= 4 and state["stateStoreSave"] <= 3   # nothing of the closed days
+
+
+def test_a_batch_written_again_replaces_itself(spark, tmp_dir):
+    import shutil
+
+    from panelkit.streaming.daily import EVENT_SCHEMA, append_daily, read_daily
+
+    base = f"{tmp_dir}/stream"
+    _events(spark, [(1, 1, "a", 1.0), (2, 100, "a", 2.0)]).write.parquet(f"{base}/in")
+    source = lambda: spark.readStream.schema(EVENT_SCHEMA).parquet(f"{base}/in")
+    append_daily(source(), base, state_partitions=2)
+    once = read_daily(spark, base).collect()
+    shutil.rmtree(f"{base}/checkpoint/commits")   # as after a failure between writing and committing
+    append_daily(source(), base, state_partitions=2)
+    assert once and read_daily(spark, base).collect() == once
