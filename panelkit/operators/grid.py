@@ -81,7 +81,7 @@ def pair_blocks(cells: DataFrame, titles: DataFrame, expected: int = 3, metrics:
     norm = normalize_text("value")
     head = head.select("source_file", "sheet_index", "title_row", "col",
                        norm.contains(NAME_HEADER).alias("is_name"), (norm == TOTAL_HEADER).alias("is_total"))
-    head = next_match(head, FILE, "col", F.col("is_total"), "total_col")
+    head = next_match(head, FILE, "col", F.col("is_total"), "total_col", hot_rows=None)  # one header row
     names = head.where("is_name")
     counts = head.groupBy("source_file").agg(F.count_if("is_name").alias("n_names"),
                                               F.count_if("is_total").alias("n_totals"))

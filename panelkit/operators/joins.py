@@ -98,36 +98,62 @@ def keep_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return df.join(keys.select(*on).distinct(), on=on, how="left_semi")
 
 
+HOT_KEY_ROWS = 1_000_000
+
+
 def next_match(df: DataFrame, keys: list[str], order_col: str, is_match: Column, out: str,
-               bucket_width: int | None = None) -> DataFrame:
+               hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """For each row, the smallest ``order_col`` of a *matching* row of
     the same key that is strictly greater than its own (forward as-of match).
 
     ``order_col`` must be integral (e.g. ``unix_micros`` of a timestamp): the
-    "strictly greater" frame is ``rangeBetween(1, unbounded)``. With
-    ``bucket_width`` the search is split
-    in two exact levels so a hot key never lands in one window task: inside
-    a ``(key, bucket)`` window first, then over one summary row per
-    ``(key, bucket)`` for rows whose match lies in a later bucket.
+    "strictly greater" frame is ``rangeBetween(1, unbounded)``. One window per
+    key does it while no key has more than ``hot_rows`` rows (one counting
+    aggregate tells); beyond that, :func:`_next_match_spread` cuts keys into
+    range partitions. ``hot_rows=None`` is for keys that are bounded by
+    construction and skips the count.
     """
     kind = dict(df.dtypes).get(order_col)
     if kind not in ("tinyint", "smallint", "int", "bigint"):
         raise ValueError(f"next_match needs an integral order column, got {order_col}: {kind}")
     o = F.col(order_col)
-    m = F.when(is_match, o)
-    following = lambda *parts: (Window.partitionBy(*parts).orderBy(o)
-                                .rangeBetween(1, Window.unboundedFollowing))
-    if bucket_width is None:
-        return df.withColumn(out, F.min(m).over(following(*keys)))
-    b = "__nm_bucket"
-    staged = df.withColumn(b, F.floor(o / F.lit(bucket_width)))
-    staged = staged.withColumn("__nm_local", F.min(m).over(following(*keys, b)))
-    per_bucket = staged.groupBy(*keys, b).agg(F.min(m).alias("__nm_first"))
-    wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(1, Window.unboundedFollowing)
-    per_bucket = per_bucket.withColumn("__nm_later", F.min("__nm_first").over(wb)).drop("__nm_first")
-    return (staged.join(per_bucket, on=[*keys, b], how="left")
-                  .withColumn(out, F.coalesce("__nm_local", "__nm_later"))
-                  .drop(b, "__nm_local", "__nm_later"))
+    if hot_rows is not None:
+        most = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if most > hot_rows:
+            return _next_match_spread(df, keys, order_col, is_match, out)
+    w = Window.partitionBy(*keys).orderBy(o).rangeBetween(1, Window.unboundedFollowing)
+    return df.withColumn(out, F.min(F.when(is_match, o)).over(w))
+
+
+def _next_match_spread(df: DataFrame, keys: list[str], order_col: str, is_match: Column, out: str) -> DataFrame:
+    """:func:`next_match` with every key cut by ``(key, order)`` ranges of about equal rows.
+
+    The answer depends on key and order value alone, so distinct pairs are
+    dealt to range partitions (stored, so that their bounds are data). A
+    window inside each (partition, key) finds the near matches; matches in
+    later partitions come from one row per (partition, key): the first match
+    there, carried backwards. The answers join the rows by (key, order).
+    """
+    from panelkit.session import materialize
+
+    staged = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    names = [f"__k{i}" for i in range(len(keys))]
+    pairs = (df.select(*staged, F.col(order_col).alias("__o"), F.coalesce(is_match, F.lit(False)).alias("__m"))
+             .groupBy(*names, "__o").agg(F.bool_or("__m").alias("__m")))
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = materialize(pairs.repartitionByRange(parts, *names, "__o").withColumn("__part", F.spark_partition_id()))
+    match = F.when(F.col("__m"), F.col("__o"))
+    inside = Window.partitionBy("__part", *names).orderBy("__o").rangeBetween(1, Window.unboundedFollowing)
+    firsts = dealt.groupBy("__part", *names).agg(F.min(match).alias("__first"))
+    after = Window.partitionBy(*names).orderBy("__part").rowsBetween(1, Window.unboundedFollowing)
+    later = firsts.withColumn("__later", F.min("__first").over(after)).drop("__first")
+    near = dealt.withColumn("__near", F.min(match).over(inside))
+    same = lambda a, b: [F.col(f"{a}.{n}").eqNullSafe(F.col(f"{b}.{n}")) for n in names]
+    found = (near.alias("n").join(later.alias("l"), [F.col("n.__part") == F.col("l.__part"), *same("n", "l")])
+             .select(*[F.col(f"n.{n}").alias(n) for n in names], F.col("n.__o").alias("__o"),
+                     F.coalesce("n.__near", "l.__later").alias("__answer")))
+    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)] + [F.col(order_col).eqNullSafe(F.col("__o"))]
+    return df.join(found, on, "left").withColumn(out, F.col("__answer")).drop(*names, "__o", "__answer")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:

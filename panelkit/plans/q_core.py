@@ -230,9 +230,6 @@ def union_all_sources(spark, sf):
     return U.union_all([c, s])
 
 
-MICROS_PER_DAY = 86_400_000_000
-
-
 @register("next_match_window", """
     SELECT v.event_id, v.user_id, v.ts, min(p.ts) AS next_purchase_ts
     FROM events v
@@ -242,8 +239,7 @@ MICROS_PER_DAY = 86_400_000_000
 def next_match_window(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
     e = e.withColumn("__t", F.unix_micros(F.col("ts").cast("timestamp")))
-    m = J.next_match(e, ["user_id"], "__t", F.col("event_type") == "purchase", "__next",
-                     bucket_width=MICROS_PER_DAY)
+    m = J.next_match(e, ["user_id"], "__t", F.col("event_type") == "purchase", "__next")
     return m.where(F.col("event_type") == "view").select(
         "event_id", "user_id", "ts",
         F.timestamp_micros("__next").cast("timestamp_ntz").alias("next_purchase_ts"))

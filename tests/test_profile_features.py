@@ -173,8 +173,43 @@ def test_exact_quantiles_equal_percentile(spark):
             for g in ("a", "b", "c") for _ in range(rnd.randint(2, 300))] + [("solo", 3.5)]
     df = spark.createDataFrame(rows, "g string, v double")
     ps = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
-    mine = {(r.g, r.p): r.q for r in exact_quantiles(df, "g", "v", ps, partitions=5).collect()}
+    mine = {(r.g, r.p): r.q for r in exact_quantiles(df, "g", "v", ps, cuts=5000).collect()}
     ref = df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in ps])).alias("q")).collect()
     for r in ref:
         for i, p in enumerate(ps):
             assert mine[(r.g, p)] == r.q[i], (r.g, p)
+
+
+def test_exact_quantiles_of_every_magnitude(spark):
+    import struct
+
+    from panelkit.operators.quantiles import exact_quantiles, magnitude
+
+    near = lambda v, k: struct.unpack("<d", struct.pack("<q", struct.unpack("<q", struct.pack("<d", v))[0] + k))[0]
+    values = {0.0, 5e-324, 1.7976931348623157e308, 1e-310, *(near(0.1, k) for k in range(-40, 40, 3))}
+    for e in range(-1073, 1023):   # powers of two and their neighbours
+        values |= {near(2.0 ** e, k) for k in (-1, 0, 1)}
+    rows = sorted(values | {-v for v in values})
+    df = spark.createDataFrame([(v,) for v in rows + [float("inf")]], "v double").orderBy("v")
+    steps = [r.m for r in df.select(magnitude(F.col("v")).alias("m")).collect()]
+    assert steps == sorted(steps)
+    long = spark.createDataFrame([("g", v) for v in rows] + [("g", None), ("g", float("nan")), ("i", float("inf"))],
+                                 "g string, v double")
+    ps = [k / 997 for k in range(0, 998, 7)] + [1.0]
+    want = []
+    for p in ps:
+        pos = (len(rows) - 1) * p
+        lo, hi = rows[int(pos // 1)], rows[int(-(-pos // 1))]
+        want.append(lo if lo == hi else (-(-pos // 1) - pos) * lo + (pos - pos // 1) * hi)
+    got = {(r.g, r.p): r.q for r in exact_quantiles(long, "g", "v", ps).collect()}
+    assert [got["g", p] for p in ps] == want and got["i", 1.0] == float("inf")
+
+
+def test_quantile_plans_run_nothing_and_stay_small(spark):
+    from panelkit.operators.quantiles import exact_quantiles
+
+    long = spark.range(1000).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup())
+    exact_quantiles(long, "g", "v", [0.5])
+    assert len(jobs.getJobIdsForGroup()) == before

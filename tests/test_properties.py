@@ -38,7 +38,7 @@ def test_hot_key_operators_match_brute_force(spark):
         exp = [t for _, t in sorted(((-v, t) for kk, t, _, v in rows if kk == k))[:3]]
         assert sorted(top[k]) == sorted(exp)
     # forward as-of match, two-level bucketed form
-    got = {(r.k, r.t): r.nx for r in J.next_match(df, ["k"], "t", F.col("m"), "nx", bucket_width=97).collect()}
+    got = {(r.k, r.t): r.nx for r in J.next_match(df, ["k"], "t", F.col("m"), "nx", hot_rows=0).collect()}
     for k, t, _, _ in rows[:300]:
         later = [tt for kk, tt, mm, _ in rows if kk == k and mm and tt > t]
         assert got[(k, t)] == (min(later) if later else None)

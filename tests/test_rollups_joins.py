@@ -97,7 +97,7 @@ def test_next_match_bucketed_equals_plain(spark):
     rows = [(u, t, t % 3 == 0) for u in range(3) for t in range(0, 50, 1)]
     df = spark.createDataFrame(rows, "u long, t long, m boolean")
     plain = J.next_match(df, ["u"], "t", F.col("m"), "nx")
-    bucketed = J.next_match(df, ["u"], "t", F.col("m"), "nx", bucket_width=7)
+    bucketed = J.next_match(df, ["u"], "t", F.col("m"), "nx", hot_rows=0)
     assert sorted(plain.collect()) == sorted(bucketed.select(*plain.columns).collect())
     got = {(r.u, r.t): r.nx for r in plain.collect()}
     assert got[(0, 0)] == 3 and got[(0, 3)] == 6 and got[(0, 49)] is None
@@ -159,3 +159,19 @@ def test_next_match_rejects_fractional_order(spark):
     df = spark.createDataFrame([(1, 0.5, True)], "u long, t double, m boolean")
     with pytest.raises(ValueError):
         J.next_match(df, ["u"], "t", F.col("m"), "nx")
+
+
+def test_next_match_spreads_a_hot_key(spark):
+    import random
+
+    rnd = random.Random(4)
+    rows = [("hot" if rnd.random() < 0.5 else rnd.choice(["a", "b", None]), rnd.choice([None, rnd.randint(0, 900)]),
+             rnd.random() < 0.02, k) for k in range(3000)]
+    df = spark.createDataFrame(rows, "u string, t long, m boolean, id int")
+    plain = J.next_match(df, ["u"], "t", F.col("m"), "nx", hot_rows=None)
+    spread = J.next_match(df, ["u"], "t", F.col("m"), "nx", hot_rows=500)
+    assert spread.columns == plain.columns
+    key = lambda r: r.id
+    assert sorted(spread.collect(), key=key) == sorted(plain.collect(), key=key)
+    text = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert "__part" in text   # windows are per range partition and key
