@@ -50,31 +50,49 @@ def table_summary(df: DataFrame, key: str, time_col: str, target: str) -> DataFr
     )
 
 
+def _comparable(c: str, kind: str) -> Column:
+    """A short string that is equal exactly where the column's values are; long values by their SHA-256."""
+    x = F.col(c)
+    if kind in ("float", "double"):
+        x = x + F.lit(0.0)    # -0.0 is 0.0
+    if kind.startswith(("array", "struct", "map", "variant")):
+        x = F.when(x.isNotNull(), F.to_json(F.struct(x)))
+    elif kind == "binary":
+        x = F.hex(x)
+    text = x.cast("string")
+    return F.when(F.octet_length(text) > 64, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(F.concat(F.lit("="), text))
+
+
 def column_profile(df: DataFrame, digits: int = 2, approx_distinct: bool = False) -> DataFrame:
     """Per column dtype, non-null, nulls, null % and distinct non-null count.
 
-    One aggregate computes every column's counts; the dtype comes from the
-    schema (metadata, no data read). Exact distinct counts expand each row
-    once per column; ``approx_distinct`` uses HyperLogLog sketches instead
-    (constant memory per column) for very wide or very large tables.
+    Every row gives its (column position, value) pairs, which are counted
+    map-side and meet in one shuffle by that pair, so wide tables, long texts
+    and frequent values cost one row per task and distinct value. The dtype
+    comes from the schema. ``approx_distinct`` uses HyperLogLog sketches
+    instead (constant memory per column) for very large tables.
     """
-    cols = df.columns
-    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, c in enumerate(cols):
-        aggs.append(F.count(F.col(c)).alias(f"nn{i}"))
-        aggs.append(distinct(F.col(c)).alias(f"nd{i}"))
-    wide = df.agg(*aggs)
-    dtypes = dict(df.dtypes)
-    stack = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
-                               F.lit(dtypes[c]).alias("dtype"),
-                               F.col(f"nn{i}").alias("non_null"), F.col(f"nd{i}").alias("unique"))
-                      for i, c in enumerate(cols)])
-    long = wide.select("__rows", F.inline(stack))
-    return long.select(
-        "pos", "column", "dtype", "non_null",
-        (F.col("__rows") - F.col("non_null")).alias("nulls"),
-        rnd(F.try_divide((F.col("__rows") - F.col("non_null")) * 100.0, F.col("__rows")), digits).alias("null_pct"),
+    cols, dtypes = df.columns, dict(df.dtypes)
+    about = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype")) for c in cols])
+    if approx_distinct:
+        wide = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(c)).alias(f"nn{i}") for i, c in enumerate(cols)],
+                      *[F.approx_count_distinct(F.col(c)).alias(f"nd{i}") for i, c in enumerate(cols)])
+        per = wide.select("rows", F.inline(F.array(*[F.struct(
+            F.lit(i).alias("pos"), F.col(f"nn{i}").alias("non_null"), F.col(f"nd{i}").alias("unique"))
+            for i in range(len(cols))])))
+    else:
+        pairs = df.select(F.posexplode(F.array(*[_comparable(c, dtypes[c]) for c in cols])).alias("pos", "value"))
+        counts = pairs.groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n"))
+        per = counts.groupBy("pos").agg(
+            F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
+            F.count("value").alias("unique"))
+        # an empty table has no pairs; its columns are listed all the same
+        every = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("pos"))
+        per = every.join(per, "pos", "left").select("pos", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                                                            for c in ("rows", "non_null", "unique")])
+    return per.select("*", F.get(about, F.col("pos")).alias("a")).select(
+        "pos", "a.column", "a.dtype", "non_null", (F.col("rows") - F.col("non_null")).alias("nulls"),
+        rnd(F.try_divide((F.col("rows") - F.col("non_null")) * 100.0, F.col("rows")), digits).alias("null_pct"),
         "unique")
 
 

@@ -22,6 +22,7 @@ MONTH_PATTERN = r"^(\d{2})[._]"
 YEAR_PATTERN = r"(20\d{2})"
 LOCATION_PATTERN = r"^(.+?)_\d{8}_\d{8}"
 CSV_SNIFF_BYTES = 2048
+CSV_HEADER_WORDS = ["AÑO", "MES"]
 ASCII_WS = "[ \\t\\n\\r\\x0b\\x0c]"
 
 
@@ -81,6 +82,28 @@ def file_inventory(spark: SparkSession, path: str, exclude_suffix: str = ".metad
     return out.where(~F.col("file_name").endswith(exclude_suffix))
 
 
+def reconcile_manifests(inventory: DataFrame, manifests: DataFrame, key: str) -> DataFrame:
+    """Landed files against their manifests, by ``key`` (a column of both).
+
+    ``inventory`` has bytes and suffix, ``manifests`` bytes_written and
+    detected_format. Full outer join; ``status`` is ``missing_file``,
+    ``missing_manifest``, ``size_differs``, ``suffix_differs`` or ``ok``, the
+    first that holds. A null key matches nothing; repeated manifests of one
+    key are compared one by one.
+    """
+    files = inventory.select(F.col(key).alias("__file"), "bytes", "suffix")
+    told = manifests.select(F.col(key).alias("__told"), F.col("bytes_written").alias("declared_bytes"),
+                            F.lower("detected_format").alias("declared_suffix"))
+    both = files.join(told, F.col("__file") == F.col("__told"), "full_outer")
+    status = (F.when(F.col("__file").isNull() & F.col("bytes").isNull(), F.lit("missing_file"))
+              .when(F.col("__told").isNull(), F.lit("missing_manifest"))
+              .when(~F.col("bytes").eqNullSafe(F.col("declared_bytes")), F.lit("size_differs"))
+              .when(~F.col("suffix").eqNullSafe(F.col("declared_suffix")), F.lit("suffix_differs"))
+              .otherwise(F.lit("ok")))
+    return both.select(F.coalesce("__file", "__told").alias(key), "bytes", "declared_bytes", "suffix",
+                       "declared_suffix", status.alias("status"))
+
+
 def inventory_summary(df: DataFrame, source_col: str, size_col: str, name_col: str, k: int = 3) -> DataFrame:
     """Per source: file count, size in MB (2 dp), first ``k`` names.
 
@@ -106,12 +129,40 @@ def url_suffix(url) -> Column:
     return F.regexp_extract(name, r"^.+(\.[^.]+)$", 1)
 
 
-def sniff_payload(url, content_type, content) -> Column:
+def decoded_head(content, size: int = CSV_SNIFF_BYTES) -> Column:
+    """The first ``size`` bytes of a binary column as text: UTF-8 where they are valid UTF-8, else Latin-1."""
+    head = F.substring(_col(content), 1, size)
+    return F.when(F.is_valid_utf8(head.cast("string")), head.cast("string")).otherwise(F.decode(head, "ISO-8859-1"))
+
+
+def looks_like_semicolon_csv(text) -> Column:
+    """Whether a decoded text's first line is a semicolon header that names one of :data:`CSV_HEADER_WORDS`."""
+    first = F.regexp_extract(_col(text), r"^([^\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]*)", 1)
+    named = F.lit(False)
+    for word in CSV_HEADER_WORDS:
+        named = named | first.contains(word)
+    return F.coalesce(first.contains(";") & named, F.lit(False))
+
+
+def sniff_payload(url, content_type, content, strict: bool = False) -> Column:
     """Extension first, then content type, then magic bytes:
     ``{`` -> .json, ``PK`` -> .xlsx, ``;`` in the first 2 KiB -> .csv, else .bin.
-    (The 2 KiB window is measured in characters of the decoded text.)"""
+    (The 2 KiB window is measured in characters of the decoded text.)
+
+    ``strict`` is the downloader's variant: ``content`` is binary, only the
+    extension (as it is written) and the content type tell .xlsx and .json,
+    and a payload without either is .csv only with a semicolon header
+    (:func:`looks_like_semicolon_csv`).
+    """
     suffix = url_suffix(url)
-    ct = F.lower(F.coalesce(_col(content_type), F.lit("application/octet-stream")))
+    ct = F.coalesce(_col(content_type), F.lit("application/octet-stream"))
+    if strict:
+        return (F.when(suffix != "", suffix)
+                 .when(ct.contains("spreadsheet") | ct.contains("excel"), F.lit(".xlsx"))
+                 .when(ct.contains("json"), F.lit(".json"))
+                 .when(ct.contains("csv") | looks_like_semicolon_csv(decoded_head(content)), F.lit(".csv"))
+                 .otherwise(F.lit(".bin")))
+    ct = F.lower(ct)
     body = F.coalesce(_col(content).cast("string"), F.lit(""))
     stripped = F.regexp_replace(body, "^" + ASCII_WS + "+", "")
     return (F.when(suffix != "", suffix)

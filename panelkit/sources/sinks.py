@@ -24,15 +24,30 @@ def conform(df: DataFrame, ddl: str, strict: bool = True) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None, header: bool = True,
-                compression: str | None = "snappy") -> None:
-    """Write a table. CSV carries a header; Parquet is
-    Snappy-compressed; ``partition_by`` gives a partitioned layout (e.g.
-    ``year, month`` or ``run_date``) that later reads prune."""
+                compression: str | None = "snappy", rows_per_file: int | None = None) -> None:
+    """Write a table.
+
+    CSV carries a header and quotes values where needed, doubling quotes, so
+    that text with separators, quotes and line breaks comes back as it was; a
+    NULL is an empty field, an empty text a quoted empty one. Parquet is Snappy-compressed.
+
+    ``partition_by`` gives a partitioned layout (e.g. ``year, month`` or
+    ``run_date``) that later reads prune. Rows are rebalanced by the partition
+    columns first: a partition value comes to one task and so to one file,
+    small values share tasks, and AQE cuts a hot value into as many tasks as
+    its size asks for. ``rows_per_file`` bounds the rows of any file.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", str(header).lower())
+        w = (w.option("header", str(header).lower()).option("escape", '"').option("nullValue", "")
+            .option("emptyValue", '""')
+             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
     if compression and fmt == "parquet":
         w = w.option("compression", compression)
+    if rows_per_file:
+        w = w.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelkit import schemas
@@ -112,3 +113,92 @@ def test_catalog_schemas_gold_has_31_columns():
 def test_coerce_numeric_all_null_column_becomes_numeric(spark):
     df = spark.createDataFrame([("1", None), ("2", None)], "a string, b string")
     assert dict(S.coerce_numeric(df).dtypes) == {"a": "double", "b": "double"}
+
+
+def _landed(tmp_dir, files):
+    for name, body in files.items():
+        with open(os.path.join(tmp_dir, name), "wb") as out:
+            out.write(body)
+
+
+@pytest.mark.parametrize("url, content_type, body, suffix", [
+    ("https://x/a.XLS?y=1", "text/csv", b"PK", ".XLS"),
+    ("https://x/a", "application/vnd.ms-excel", b"", ".xlsx"),
+    ("https://x/a", "application/json", b"PK", ".json"),
+    ("https://x/a", "text/csv", b"", ".csv"),
+    ("https://x/a", None, "AÑO;MES\n1;2".encode(), ".csv"),
+    ("https://x/a", None, "AÑO;N\n1;2".encode("latin-1"), ".csv"),
+    ("https://x/a", None, b"MES;N\r\n1;2", ".csv"),
+    ("https://x/a", None, b"YEAR;N\nMES;2", ".bin"),           # named in the second line only
+    ("https://x/a", None, b"MES,N\n1;2", ".bin"),              # no semicolon in the header
+    ("https://x/a", None, b"{\"a\": 1}", ".bin"),              # magic bytes do not count here
+    ("https://x/a", None, b"PK\x03\x04", ".bin"),
+    ("https://x/a", None, b"MES" + b" " * 2100 + b";", ".bin"),  # beyond the first 2048 bytes
+    ("https://x/a", None, b"", ".bin"),
+    ("https://x/a", None, None, ".bin"),
+])
+def test_strict_sniffing(spark, url, content_type, body, suffix):
+    df = spark.createDataFrame([(url, content_type, bytearray(body) if body is not None else None)],
+                               "u string, ct string, b binary")
+    assert df.select(S.sniff_payload("u", "ct", "b", strict=True)).first()[0] == suffix
+
+
+def test_headers_are_grouped_or_refused(spark, tmp_dir):
+    _landed(tmp_dir, {"a.csv": "AÑO;MES\n1;é\n".encode(), "b.csv": "AÑO;MES\n2;é\n".encode("latin-1"),
+                      "c.csv": "MES;AÑO\r\nx;3\r\n".encode(), "d.csv": b"a;b\n1;2\n", "e.txt": b"plain\n", "f.csv": b""})
+    groups = RD.read_csv_by_header(spark, tmp_dir)
+    got = {h: sorted((r["AÑO"], r["MES"], r["source_file"]) for r in df.collect()) for h, df in groups.items()}
+    assert got == {"AÑO;MES": [("1", "é", "a.csv"), ("2", "é", "b.csv")], "MES;AÑO": [("3", "x", "c.csv")]}
+    with pytest.raises(ValueError, match="different headers"):
+        RD.read_csv_utf8_or_latin1(spark, tmp_dir)
+
+
+def test_manifests_are_reconciled_with_files(spark):
+    files = spark.createDataFrame([("a", 10, ".csv"), ("b", 20, ".csv"), ("c", 30, ".csv"), ("d", 40, ".csv"),
+                                   (None, 1, ".csv")], "name string, bytes long, suffix string")
+    told = spark.createDataFrame([("a", 10, ".CSV"), ("b", 21, ".csv"), ("c", 30, ".json"), ("e", 5, ".csv"),
+                                  ("a", 11, ".csv")], "name string, bytes_written long, detected_format string")
+    got = sorted((r.name or "", r.bytes or 0, r.declared_bytes or 0, r.status)
+                 for r in S.reconcile_manifests(files, told, "name").collect())
+    assert got == [("", 1, 0, "missing_manifest"), ("a", 10, 10, "ok"), ("a", 10, 11, "size_differs"),
+                   ("b", 20, 21, "size_differs"), ("c", 30, 30, "suffix_differs"), ("d", 40, 0, "missing_manifest"),
+                   ("e", 0, 5, "missing_file")]
+
+
+def test_csv_keeps_empty_and_missing_text(spark, tmp_dir):
+    from panelkit.sources import sinks
+
+    rows = [("1", "", None), ("2", None, ""), ("3", 'q"x,\n"', " a "), ("4", '""', "\\N"), ("", ",", "#")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    sinks.write_table(df, f"{tmp_dir}/csv", fmt="csv")
+    back = RD.read_csv_strings(spark, f"{tmp_dir}/csv").drop("source_file")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_partitioned_sink_bounds_files_and_prunes(spark, tmp_dir):
+    from panelkit.sources import sinks
+
+    df = spark.range(20_000).selectExpr("id", "CAST(IF(id % 3 = 0, 0, id % 7) AS INT) AS part").repartition(13)
+    sinks.write_table(df, f"{tmp_dir}/t", partition_by=["part"], rows_per_file=5_000)
+    counts = {r.part: (r.files, r.rows) for r in spark.read.parquet(f"{tmp_dir}/t").groupBy("part").agg(
+        F.count_distinct("_metadata.file_path").alias("files"), F.count("*").alias("rows")).collect()}
+    assert set(counts) == set(range(7)) and sum(n for _, n in counts.values()) == 20_000
+    assert all(files <= -(-n // 5_000) for files, n in counts.values())      # not one file per task and value
+    plan = spark.read.parquet(f"{tmp_dir}/t").where("part = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+
+
+def test_column_profile_counts_without_expanding(spark):
+    import math
+
+    from panelkit.operators.profile import column_profile
+
+    rows = [(1, 0.0, "a" * 70, [1], b"x"), (2, -0.0, "a" * 70, [1], b"x"), (2, math.nan, "b" * 70, None, None),
+            (None, 5.0, "", [2], b""), (3, math.nan, None, [], b"y")]
+    df = spark.createDataFrame(rows, "i int, d double, s string, l array<int>, b binary")
+    prof = column_profile(df)
+    assert "Expand" not in prof._jdf.queryExecution().executedPlan().toString()
+    got = {r.column: (r.non_null, r.nulls, r.unique) for r in prof.collect()}
+    assert got == {"i": (4, 1, 3), "d": (5, 0, 3), "s": (4, 1, 3), "l": (4, 1, 3), "b": (4, 1, 3)}
+    empty = column_profile(df.limit(0)).orderBy("pos").collect()
+    assert [r.column for r in empty] == df.columns and all((r.non_null, r.nulls, r.unique) == (0, 0, 0) for r in empty)
