@@ -64,8 +64,9 @@ def fold_tables() -> tuple[str, str, dict[str, str]]:
 
 
 def fold_ascii(c) -> Column:
-    """NFKD + drop non-ASCII, for text that is already case-mapped."""
+    """NFKD + drop non-ASCII, for text that is already case-mapped. Plain ASCII rows pass through untouched."""
     src, dst, multi = fold_tables()
+    plain = F.octet_length(_col(c)) == F.length(_col(c))
     s = F.translate(_col(c), src, dst)
     keys = sorted(multi)
     mapping = F.create_map(*[F.lit(x) for k in keys for x in (k, multi[k])])
@@ -77,8 +78,8 @@ def fold_ascii(c) -> Column:
     # Detect them with a hash-based translate (deleting them shortens the
     # text); a regex class of several hundred characters is tested linearly.
     has_multi = F.length(F.translate(s, "".join(keys), "")) != F.length(s)
-    s = F.when(has_multi, expanded).otherwise(s)
-    return F.regexp_replace(s, NON_ASCII, "")
+    folded = F.regexp_replace(F.when(has_multi, expanded).otherwise(s), NON_ASCII, "")
+    return F.when(plain, _col(c)).otherwise(folded)
 
 
 def strip_ws(c) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.text import entity_key, normalize_text
 from panelkit.operators.joins import bounded_broadcast, next_match
+from panelkit.session import stored
 
 # Fixed values of the airport-statistics layout.
 TITLE_TERMS = ["PASAJEROS", "OPERACIONES", "MERCANCIA"]
@@ -41,15 +42,28 @@ def row_texts(cells: DataFrame, max_row: int) -> DataFrame:
                                  lambda x: x["norm"]), " ").alias("text"))
 
 
+def sheet_heads(cells: DataFrame, max_rows: int = 20) -> DataFrame:
+    """Per sheet its number of rows and its cells in rows ``0..max_rows``: all that finding the layout reads."""
+    head = F.when(F.col("row") <= max_rows, F.struct("row", "col", "value"))
+    return cells.groupBy("source_file", "sheet_name", "sheet_index").agg(
+        (F.max("row") + 1).alias("n_rows"), F.collect_list(head).alias("head"))
+
+
+def head_cells(heads: DataFrame) -> DataFrame:
+    """The cell rows of :func:`sheet_heads`."""
+    return heads.select("source_file", "sheet_name", "sheet_index", F.inline("head"))
+
+
 def find_title_rows(cells: DataFrame, title_terms: list[str] = TITLE_TERMS,
                     header_terms: list[str] = HEADER_TERMS, max_rows: int = 20,
-                    strict: bool = True) -> DataFrame:
+                    strict: bool = True, heads: DataFrame | None = None) -> DataFrame:
     """G1: per file, the first sheet (by ``sheet_index``) and first row whose
     text contains every title term while the next row contains every header
     term, searching rows ``< min(max_rows, n_rows - 2)``. A file without such
-    a row fails the job when ``strict``, and has no title row otherwise."""
-    texts = row_texts(cells, max_rows)
-    n_rows = cells.groupBy("source_file", "sheet_index").agg((F.max("row") + 1).alias("n_rows"))
+    a row fails the job when ``strict``, and has no title row otherwise.
+    ``heads`` (:func:`sheet_heads`, with at least ``max_rows``) spares the scan of the cells."""
+    heads = sheet_heads(cells, max_rows) if heads is None else heads
+    texts = row_texts(head_cells(heads), max_rows)
     nxt = texts.select("source_file", "sheet_index", (F.col("row") - 1).alias("row"),
                        F.col("text").alias("next_text"))
     cond = F.col("row") < F.least(F.lit(max_rows), F.col("n_rows") - 2)
@@ -58,13 +72,13 @@ def find_title_rows(cells: DataFrame, title_terms: list[str] = TITLE_TERMS,
     for t in header_terms:
         cond = cond & F.col("next_text").contains(t)
     cand = (texts.join(nxt, ["source_file", "sheet_index", "row"])
-                 .join(n_rows, ["source_file", "sheet_index"]).where(cond))
+                 .join(heads.select("source_file", "sheet_index", "n_rows"), ["source_file", "sheet_index"]).where(cond))
     first = cand.groupBy("source_file").agg(
         F.min(F.struct("sheet_index", "row", "sheet_name")).alias("t"))
     titles = first.select("source_file", F.col("t.sheet_name").alias("sheet_name"),
                           F.col("t.sheet_index").alias("sheet_index"), F.col("t.row").alias("title_row"))
     if strict:
-        missing = cells.select("source_file").distinct().join(titles, "source_file", "left_anti")
+        missing = heads.select("source_file").distinct().join(titles, "source_file", "left_anti")
         _fail_if_any(missing, "no data table found in")
     return titles
 
@@ -99,15 +113,13 @@ def pair_blocks(cells: DataFrame, titles: DataFrame, expected: int = 3, metrics:
                         F.col("col").alias("name_col"), "total_col")
 
 
-def extract_blocks(cells: DataFrame, pairs: DataFrame, strict: bool = True) -> DataFrame:
-    """Rows ``title+3`` up to the first row whose name starts with TOTAL;
-    blank names skipped; value NULL -> 0, truncated to bigint; a repeated
-    name keeps its last row. Blocks without a TOTAL row fail when ``strict``
-    and are dropped otherwise.
+def block_rows(cells: DataFrame, pairs: DataFrame, strict: bool = True) -> DataFrame:
+    """The named rows of every block: (source_file, metric, row, entity_name, value).
 
     Only the cells of name and total columns are kept, by an equi-join with
     the block layout (two rows per block; broadcast after a check of its size,
-    shuffled beyond it), before the two cells of a row and block are paired.
+    shuffled beyond it), and the two cells of a row and block are paired. The
+    paired rows are stored, since the blocks' ends come from them first.
     """
     wanted = pairs.select("source_file", "sheet_index", "title_row", "block", "metric", F.inline(F.array(
         F.struct(F.col("name_col").alias("col"), F.lit(True).alias("is_name")),
@@ -118,19 +130,25 @@ def extract_blocks(cells: DataFrame, pairs: DataFrame, strict: bool = True) -> D
                    .agg(F.max(F.when(F.col("is_name"), F.col("value"))).alias("name"),
                         F.max(F.when(~F.col("is_name"), F.col("value"))).alias("raw"))
                    .withColumn("__norm", normalize_text("name")))
+    staged = stored(staged, "block-rows")
     ends = (staged.where(F.col("__norm").startswith("TOTAL"))
                   .groupBy("source_file", "block").agg(F.min("row").alias("end_row")))
     if strict:
-        from panelkit.session import materialize
-
-        ends = materialize(ends)  # one row per block
         _fail_if_any(pairs.join(ends, ["source_file", "block"], "left_anti"), "no total row in block")
     value = F.coalesce(F.nanvl(F.col("raw").cast("double"), F.lit(None).cast("double")), F.lit(0.0)).cast("bigint")
-    data = (staged.join(ends, ["source_file", "block"]).where(F.col("row") < F.col("end_row"))
+    return (staged.join(ends, ["source_file", "block"]).where(F.col("row") < F.col("end_row"))
                   .select("source_file", "metric", "row", entity_key("__norm").alias("entity_name"),
                           value.alias("value"))
                   .where(F.col("entity_name") != ""))
-    return data.groupBy("source_file", "metric", "entity_name").agg(F.max_by("value", "row").alias("value"))
+
+
+def extract_blocks(cells: DataFrame, pairs: DataFrame, strict: bool = True) -> DataFrame:
+    """Rows ``title+3`` up to the first row whose name starts with TOTAL;
+    blank names skipped; value NULL -> 0, truncated to bigint; a repeated
+    name keeps its last row. Blocks without a TOTAL row fail when ``strict``
+    and are dropped otherwise."""
+    return block_rows(cells, pairs, strict).groupBy("source_file", "metric", "entity_name").agg(
+        F.max_by("value", "row").alias("value"))
 
 
 def pivot_blocks(blocks: DataFrame, metrics: list[str] = METRICS, fill: int = 0) -> DataFrame:
@@ -141,19 +159,17 @@ def pivot_blocks(blocks: DataFrame, metrics: list[str] = METRICS, fill: int = 0)
                        *[F.coalesce(F.col(m), F.lit(fill)).cast("bigint").alias(m) for m in metrics])
 
 
-def tidy_table(cells: DataFrame, strict: bool = True, materialize_layout: bool = True) -> DataFrame:
-    """G1-G4 end to end.
+def tidy_table(cells: DataFrame, strict: bool = True) -> DataFrame:
+    """G1-G4 end to end, in two passes over the cells.
 
-    The title rows and block pairs (a few rows per file) feed several
-    branches of the extraction; they are materialized once so the cell
-    table is not re-scanned for each branch.
+    The first keeps the sheets' head rows, from which titles and blocks are
+    found; these tables have a few rows per file and are stored, since the
+    layout checks and the extraction read them again. The blocks' last values
+    meet in one grouping by file and name, an absent metric being 0.
     """
-    from panelkit.session import materialize
-
-    titles = find_title_rows(cells, strict=strict)
-    if materialize_layout:
-        titles = materialize(titles)
-    pairs = pair_blocks(cells, titles, strict=strict)
-    if materialize_layout:
-        pairs = materialize(pairs)
-    return pivot_blocks(extract_blocks(cells, pairs, strict=strict))
+    heads = stored(sheet_heads(cells), "sheet-heads")
+    titles = stored(find_title_rows(cells, strict=strict, heads=heads), "titles")
+    pairs = stored(pair_blocks(head_cells(heads), titles, strict=strict), "pairs")
+    of = lambda m, c: F.when(F.col("metric") == m, F.col(c))
+    return block_rows(cells, pairs, strict).groupBy("source_file", "entity_name").agg(
+        *[F.coalesce(F.max_by(of(m, "value"), of(m, "row")), F.lit(0)).cast("bigint").alias(m) for m in METRICS])

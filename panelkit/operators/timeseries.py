@@ -52,9 +52,14 @@ def year_over_year(df: DataFrame, keys: list[str], idx: str, cols: list[str],
         for c in cols})
 
 
-def conditional_counts(df: DataFrame, keys: list[str], conditions: dict[str, object]) -> DataFrame:
-    """Per-key counts of rows meeting each condition (``count_if``)."""
-    return df.groupBy(*keys).agg(*[F.count_if(c).alias(name) for name, c in conditions.items()])
+def conditional_counts(df: DataFrame, keys: list[str], conditions: dict[str, object],
+                       distinct: dict[str, tuple] | None = None) -> DataFrame:
+    """Per-key counts of rows meeting each condition (``count_if``) and,
+    for ``distinct`` (name -> (column, condition)), of the different values
+    among such rows; one pass and one grouping for all."""
+    return df.groupBy(*keys).agg(
+        *[F.count_if(c).alias(name) for name, c in conditions.items()],
+        *[F.count_distinct(F.when(c, F.col(col))).alias(name) for name, (col, c) in (distinct or {}).items()])
 
 
 def bridge_days(calendar: DataFrame, date_col: str = "date") -> DataFrame:

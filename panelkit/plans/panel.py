@@ -67,14 +67,14 @@ def monthly(daily_df: DataFrame) -> DataFrame:
                           decimal_scale=2)
 
 
-def calendar(daily_df: DataFrame) -> DataFrame:
-    """Event calendar: scope and scope key per order."""
+def calendar(daily_df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Event calendar: scope and scope key per order, with the daily columns ``keep``."""
     scope = (F.when(F.col("priority") == "1-URGENT", F.lit("national"))
               .when(F.col("priority") == "2-HIGH", F.lit("regional"))
               .otherwise(F.lit("local")))
     key = F.when(F.col("priority") == "1-URGENT", F.lit(GLOBAL_SCOPE_KEY)).otherwise(F.col("region"))
     return daily_df.select("day", "year_month", "order_key", "priority",
-                           scope.alias("scope"), key.alias("region_code"))
+                           scope.alias("scope"), key.alias("region_code"), *keep)
 
 
 def calendar_counts(daily_df: DataFrame) -> DataFrame:

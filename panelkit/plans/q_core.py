@@ -151,8 +151,7 @@ def alias_resolution(spark, sf):
       SELECT 1 FROM calendar c2 JOIN daily d2 ON c2.order_key = d2.order_key
       WHERE c2.scope = 'national' AND c2.day = r.day AND d2.status = r.label)""", "calendar"))
 def anti_join_dedupe(spark, sf):
-    d = P.daily(spark, sf)
-    cal = P.calendar(d).join(d.select("order_key", F.col("status").alias("label")), "order_key")
+    cal = P.calendar(P.daily(spark, sf), ("status",)).withColumnRenamed("status", "label")
     national = cal.where(F.col("scope") == "national").select("day", "label")
     regional = cal.where(F.col("scope") == "regional").select("day", "region_code", "label")
     return J.drop_known(regional, national, ["day", "label"]).dropDuplicates()

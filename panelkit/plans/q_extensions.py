@@ -88,14 +88,10 @@ def season_week(spark, sf):
            count(DISTINCT day) FILTER (WHERE price > 300000) AS high_value_days
     FROM daily GROUP BY entity, year_month""", "daily"))
 def conditional_day_count(spark, sf):
-    d = P.daily(spark, sf)
-    out = TS.conditional_counts(d, ["entity", "year_month"], {
-        "high_value_orders": F.col("price") > 300000,
-        "pending_orders": F.col("price_n").isNull()})
-    days = (d.where(F.col("price") > 300000).groupBy("entity", "year_month")
-             .agg(F.count_distinct("day").alias("high_value_days")))
-    return (out.join(days, ["entity", "year_month"], "left")
-               .withColumn("high_value_days", F.coalesce("high_value_days", F.lit(0))))
+    high = F.col("price") > 300000
+    return TS.conditional_counts(P.daily(spark, sf), ["entity", "year_month"], {
+        "high_value_orders": high, "pending_orders": F.col("price_n").isNull()},
+        distinct={"high_value_days": ("day", high)})
 
 
 @register("weekly_mean", with_blocks("""

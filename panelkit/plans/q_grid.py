@@ -31,9 +31,10 @@ DATA_SHEET_HEAD = [
 
 
 # Block 2 lists suppliers in descending key order from this row down; the
-# TOTAL row sits below every data row. Keys must stay below REVERSE_BASE.
-REVERSE_BASE = 1_000_000_000
-TOTAL_ROW = 2_000_000_000
+# TOTAL row sits below every data row. Row numbers are 64-bit: any key from 0
+# to 2^61 lies between the header and the TOTAL row in every block.
+REVERSE_BASE = 2 ** 61 + 4
+TOTAL_ROW = 2 ** 62
 
 
 def render_cells(spark, sf):
@@ -48,8 +49,8 @@ def _render_cells(spark, sf):
     data = (sm.join(s, "supplier_key")
               .withColumn("source_file", F.concat(F.lit("traffic_"), "year_month", F.lit(".xlsx"))))
     digits = F.element_at(F.split("s_name", "#"), -1)
-    key = F.col("supplier_key").cast("int")
-    cell = lambda r, c, v: F.struct(r.alias("row"), F.lit(c).alias("col"), v.cast("string").alias("value"))
+    key = F.col("supplier_key").cast("bigint")
+    cell = lambda r, c, v: F.struct(r.cast("bigint").alias("row"), F.lit(c).alias("col"), v.cast("string").alias("value"))
     body = data.select("source_file", F.inline(F.array(
         cell(F.lit(4) + key, 0, F.concat(F.lit("Supplier - "), digits)),
         cell(F.lit(4) + key, 1, F.col("ship_qty")),
@@ -74,7 +75,7 @@ def _render_cells(spark, sf):
         *[cell(F.lit(r), c, F.lit(t)) for r, c, t in NOTES_SHEET])))
     notes = notes.withColumns({"sheet_name": F.lit("Notas"), "sheet_index": F.lit(0)})
     return data_sheet.unionByName(notes).select(
-        "source_file", "sheet_name", F.col("sheet_index").cast("int"), F.col("row").cast("int"),
+        "source_file", "sheet_name", F.col("sheet_index").cast("int"), F.col("row").cast("bigint"),
         F.col("col").cast("int"), "value")
 
 
@@ -85,7 +86,7 @@ def _sql_cells() -> str:
                 f"v.t AS value FROM files f, (VALUES {vals}) v(r, c, t)")
     return f"""
     WITH sm AS (SELECT m.*, s.s_name, 'traffic_' || m.year_month || '.xlsx' AS source_file,
-                       CAST(m.supplier_key AS INTEGER) AS k, split_part(s.s_name, '#', -1) AS digits
+                       CAST(m.supplier_key AS BIGINT) AS k, split_part(s.s_name, '#', -1) AS digits
                 FROM sup_month m JOIN supplier s ON m.supplier_key = s.s_suppkey),
     files AS (SELECT DISTINCT source_file FROM sm),
     body AS (
@@ -101,7 +102,7 @@ def _sql_cells() -> str:
       UNION ALL SELECT source_file, {TOTAL_ROW}, 4, CAST(sum(ship_lines) AS VARCHAR) FROM sm GROUP BY source_file
       UNION ALL SELECT source_file, {TOTAL_ROW}, 6, 'Total' FROM sm GROUP BY source_file
       UNION ALL SELECT source_file, {TOTAL_ROW}, 8, CAST(sum(ship_value) AS VARCHAR) FROM sm GROUP BY source_file)
-    SELECT source_file, 'Datos' AS sheet_name, 1 AS sheet_index, CAST(row AS INTEGER) AS row,
+    SELECT source_file, 'Datos' AS sheet_name, 1 AS sheet_index, CAST(row AS BIGINT) AS row,
            CAST(col AS INTEGER) AS col, value FROM body
     UNION ALL {lit(DATA_SHEET_HEAD, 'Datos', 1)}
     UNION ALL {lit(NOTES_SHEET, 'Notas', 0)}"""

@@ -18,10 +18,10 @@ from panelkit.sources import files as S
 
 
 def _sql_entity_name(expr: str) -> str:
-    s = sql_normalize(expr)
-    for pattern, replacement in X.ENTITY_NAME_RULES:
-        s = f"regexp_replace({s}, '{pattern}', '{replacement}', 'g')"
-    return f"trim(regexp_replace({s}, '[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f ]+', ' ', 'g'))"
+    """The entity-name rules, written out: no trailing (*) mark, / is -, no blanks around -, one - for several."""
+    return f"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({sql_normalize(expr)},
+        '\\s*\\(\\*+\\)\\s*$', ''), '[ \\t\\r\\n]*/[ \\t\\r\\n]*', '-', 'g'), ' *- *', '-', 'g'),
+        '--+', '-', 'g'), ' +', ' ', 'g'))"""
 
 
 @register("normalize_text", f"SELECT doc_id, {sql_normalize('text')} AS normalized FROM documents")

@@ -73,3 +73,10 @@ def materialize(df):
     """Compute a table once and cut its lineage: a reliable ``checkpoint()`` in the shared folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df, label: str):
+    """Write a table as Parquet into the shared folder and read it back: computed once, lineage cut."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
