@@ -18,13 +18,15 @@ BATCH_BYTES = 16 << 20  # text bytes handed to one Python step at a time
 def work_dir(spark: SparkSession) -> str:
     """Folder for stored intermediate tables, under ``spark.checkpoint.dir``.
 
-    The folder is read from the session. Only where it is unset (tests, one
-    machine) a temporary folder is made and kept for the application.
+    The folder is read from the session. Only a local master, whose executors
+    are this process, gets a temporary folder of its own where none is set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         sc = spark.sparkContext
         if sc.getCheckpointDir() is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="panelkit-llm-"))
         base = sc.getCheckpointDir()
     return f"{base.rstrip('/')}/panelkit_llm/{spark.sparkContext.applicationId}"
@@ -98,9 +100,13 @@ def sampled_texts(docs: DataFrame, marks: DataFrame, rows: int) -> DataFrame:
 
     ``marks`` has doc_id and further columns. The sample is drawn from the
     marks before any text is read, so its broadcast is bounded and no text is
-    shuffled; repeated and null ids of the marks count once and not at all.
+    shuffled. Repeated ids count once where their marks agree and not at all
+    where they differ; null ids do not count.
     """
-    marks = marks.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    names = [c for c in marks.columns if c != "doc_id"]
+    both = marks.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(F.struct(*names)).alias("a"), F.max(F.struct(*names)).alias("b"))
+    marks = both.where(F.col("a").eqNullSafe(F.col("b"))).select("doc_id", "a.*")
     chosen = F.broadcast(bounded_sample(marks, F.col("doc_id"), rows))
     return stored(docs.select("doc_id", "text").join(chosen, "doc_id").drop("doc_id"), "labelled")
 

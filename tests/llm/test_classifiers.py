@@ -115,3 +115,23 @@ def test_mixing_edge_cases(spark, docs_of, empty_docs):
 def test_mixing_runs_no_python(spark):
     plan = queries.op10_source_mixing(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_conflicting_labels_do_not_count(spark, docs_of):
+    from panelkit.llm.common import sampled_texts
+
+    docs = docs_of([(k, f"text {k}") for k in range(5)])
+    rows = [(0, 1), (1, 0), (1, 1), (2, 0), (2, 0), (None, 1), (3, None)]
+    for order in (rows, rows[::-1]):
+        marks = spark.createDataFrame(order, "doc_id long, mark int").repartition(3)
+        got = sorted((r["text"], r["mark"]) for r in sampled_texts(docs, marks, 100).collect())
+        assert got == [("text 0", 1), ("text 2", 0), ("text 3", None)]
+
+
+def test_small_posteriors_keep_their_mass(spark):
+    rows = [(1000, [0.9996, 0.0004])] * 50 + [(10, [0.0, 1.0])]
+    members = spark.createDataFrame(rows, "mix_tokens long, mix_posterior array<double>")
+    steps = mixing.fit_rates(members, [0.5, 0.5])
+    got = members.select("mix_tokens", "mix_posterior", mixing._rate("mix_posterior", steps).alias("r")).collect()
+    first, second = (sum(r[0] * r[1][i] * r[2] for r in got) for i in (0, 1))
+    assert first > 0 and second > 0
