@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,8 +60,7 @@ def fit_domains(labelled: DataFrame, text_col: str = "text", domain_col: str = "
 def posteriors(docs: DataFrame, model: dict, keep: list[str], text_col: str = "text") -> DataFrame:
     """``keep`` columns, mix_tokens (words) and mix_posterior (a probability per domain).
 
-    Posteriors are kept to three decimals. A null or empty text has no words
-    and gets the prior.
+    A null or empty text has no words and gets the prior.
     """
     names = [f"s{k}" for k in range(len(model["domains"]))]
     weights = [F.from_json(F.lit(json.dumps(w)), "array<double>") for w in model["weights"]]
@@ -76,7 +76,7 @@ def posteriors(docs: DataFrame, model: dict, keep: list[str], text_col: str = "t
             .select(*keep, "mix_tokens", F.transform("mix_logs", lambda x: F.exp(
                 x - F.array_max("mix_logs"))).alias("mix_odds"))
             .select(*keep, "mix_tokens", F.expr(
-                "transform(mix_odds, x -> round(x / aggregate(mix_odds, 0D, (a, y) -> a + y), 3))")
+                "transform(mix_odds, x -> x / aggregate(mix_odds, 0D, (a, y) -> a + y))")
                 .alias("mix_posterior")))
 
 
@@ -95,13 +95,20 @@ def fit_rates(members: DataFrame, targets: list[float]) -> list[list[float]]:
     Minimises the sum over domains of (expected tokens - target)^2 / (tokens
     of the domain at rate 1) over rates >= 0, the gradient taken per token.
     Documents of equal posteriors have equal rates throughout, so the steps
-    run over a table of posteriors with their tokens. With this scaling the
+    run over a table of posteriors with their tokens: documents whose
+    posteriors agree to three decimals share a row, which has their mean
+    posterior by tokens, so that no domain's mass is lost. With this scaling the
     largest curvature is 1 and a full step cannot overshoot. A domain without
-    tokens has no part in the fit.
+    tokens has no part in the fit. A fit that has not converged after STEPS
+    steps warns with its residual.
     """
     k = len(targets)
-    cells = stored(members.groupBy("mix_posterior").agg(F.sum("mix_tokens").alias("tokens"))
-                   .where("tokens > 0"), "cells")
+    cell = F.transform("mix_posterior", lambda x: F.round(x, 3)).alias("cell")
+    sums = members.where("mix_tokens > 0").groupBy(cell).agg(
+        F.sum("mix_tokens").alias("tokens"),
+        *[F.sum(F.col("mix_tokens") * F.col("mix_posterior")[i]).alias(f"w{i}") for i in range(k)])
+    cells = stored(sums.select("tokens", F.array(*[F.col(f"w{i}") / F.col("tokens") for i in range(k)])
+                               .alias("mix_posterior")), "cells")
     part = [F.col("mix_posterior")[i] for i in range(k)]
     mass = cells.agg(*[F.sum(F.col("tokens") * part[i]).alias(f"m{i}") for i in range(k)],
                      F.sum("tokens").alias("all")).first()
@@ -119,6 +126,9 @@ def fit_rates(members: DataFrame, targets: list[float]) -> list[list[float]]:
         if max(abs(x) for x in miss) <= TOLERANCE * mass["all"]:
             break
         steps.append([miss[i] / mass[f"m{i}"] if mass[f"m{i}"] else 0.0 for i in range(k)])
+    else:
+        warnings.warn(f"rates not converged after {STEPS} steps: the worst domain is off by "
+                      f"{max(abs(x) for x in miss) / mass['all']:.2g} of all tokens", stacklevel=2)
     return steps
 
 
