@@ -101,13 +101,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     coded. Queries and candidates meet in blocks of at most about
     QUERY_BLOCK x CANDIDATE_BLOCK rows. Left out: rows with a null id, null,
     zero or empty vectors, vectors with null or non-finite components, and
-    vectors whose dimension is not the table's most frequent one. Repeated
-    rows of one id count once. Equal scores go to the smaller id. Fewer than k
+    vectors whose dimension is not the table's most frequent one. Of several
+    vectors of one id the least (compared component by component) counts. Equal scores go to the smaller id. Fewer than k
     candidates give fewer rows; an empty table gives an empty result.
     """
     rows = (vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                            F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("is_query"))
-            .where(F.col("vec_id").isNotNull() & _finite(F.col("v"))).dropDuplicates(["vec_id"]))
+            .where(F.col("vec_id").isNotNull() & _finite(F.col("v")))
+            .groupBy("vec_id").agg(F.min("v").alias("v"), F.max("is_query").alias("is_query")))
     rows = stored(rows, "vectors")
     sizes = (rows.groupBy(F.size("v").alias("dim"))
              .agg(F.count("*").alias("n"), F.sum(F.col("is_query").cast("long")).alias("q"))
