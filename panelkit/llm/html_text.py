@@ -44,15 +44,19 @@ figure blockquote details body td
 """.split())
 HINT = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|side-?bar|menu|nav\w*|breadcrumbs?|cookies?|"
-    r"consent|notices?|alert|popup|modal|overlay|comments?|disqus|respond|replies|footer|header|masthead|"
+    r"consent|notices?|alert|popup|modal|overlay|comments?(?:-?list)?|disqus|respond|replies|footer|header|masthead|"
     r"social|share|sharing|related|recommend\w*|newsletter|subscri\w*|login|search|widget|toolbar|pager|"
     r"pagination|tags|copyright|legal|disclaimer|hidden|noprint)(?:$|[\s_-])", re.IGNORECASE)
 
 # Hints at text that is long and dense by nature, but not the page's own.
 OTHERS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|popup|modal|overlay|comments?|"
-    r"disqus|respond|replies|related|recommend\w*|newsletter|subscri\w*|copyright|legal|disclaimer|hidden|noprint)"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|popup|modal|overlay|"
+    r"comments?(?:-?list)?|disqus|respond|replies|related|recommend\w*|newsletter|subscri\w*|copyright|legal|disclaimer|hidden|noprint)"
     r"(?:$|[\s_-])", re.IGNORECASE)
+# Readers' text, wherever it stands, and closing notices of a page.
+READERS = re.compile(r"(?:^|[\s_-])(?:comments?(?:-?list)?|disqus|respond|replies)(?:$|[\s_-])", re.IGNORECASE)
+NOTICE = re.compile(r"^\W*(?:©|\(c\)|copyright\b)|\b(?:all rights reserved|alle rechte vorbehalten|"
+                    r"tous droits réservés|todos los derechos reservados)\b", re.IGNORECASE)
 # Names that say what a container is laid out with, and the headers of an article itself.
 MODIFIER = re.compile(r"(?:has|no|with|without|left|right|one|two|three|is|not)[_-]", re.IGNORECASE)
 OWN_HEADER = re.compile(r"(?:post|entry|article|story|content|page|title)[_-]+header\b", re.IGNORECASE)
@@ -84,6 +88,11 @@ def _role(tag: str, attrs: str, inside: str) -> str:
     """
     if tag == "body":
         return ""
+    if tag in CONTENT or inside == "content":
+        for m in ATTR.finditer(attrs) if attrs else ():
+            if m.group(1).lower() in ("class", "id") and any(
+                    READERS.search(n) and not MODIFIER.match(n) for n in (m.group(2) or "").strip("\"'").split()):
+                return "boiler"
     if tag in CONTENT:
         return "content"
     if tag in BOILER:
@@ -180,24 +189,34 @@ def _stops(text: str) -> float:
     return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
 
 
-def _heed(bs: list[Block], hint: str) -> None:
+def _heed(bs: list[Block], hint: str, known: bool) -> None:
     """Hinted containers that hold a long dense block are judged by the density rules, the hint set aside."""
     text = {b.box for b in bs if b.place == hint and len(b.text) > LENGTH_HIGH and b.links <= LINKS * len(b.text)
-            and _stops(b.text) >= STOP_HIGH}
+            and (not known or _stops(b.text) >= STOP_HIGH)}
     for b in bs:
         if b.place == hint and b.box in text:
             b.place = ""
 
 
-def _first_pass(b: Block) -> str:
+def _known(bs: list[Block]) -> bool:
+    """Whether the page's longest text has stop words of a listed language; without, they tell nothing of it."""
+    longest = max((b for b in bs if b.links <= LINKS * len(b.text)), key=lambda b: len(b.text), default=None)
+    return longest is None or len(longest.text) <= LENGTH_HIGH or _stops(longest.text) > 0
+
+
+def _first_pass(b: Block, known: bool = True) -> str:
     if b.place in ("boiler", "hint", "others"):
         return "bad"
     density = b.links / len(b.text)
     if density > LINKS:
         return "bad"
     length = len(b.text)
+    if b.place != "content" and length <= LENGTH_HIGH and NOTICE.search(b.text):
+        return "bad"
     if length < LENGTH_LOW or b.heading:
         return "bad" if b.links and b.place != "content" else "short"
+    if not known:   # a language without a list: length and links alone
+        return "good" if length > LENGTH_HIGH else "near"
     stops = _stops(b.text)
     if stops >= STOP_HIGH:
         return "good" if length > LENGTH_HIGH else "near"
@@ -247,15 +266,18 @@ def _second_pass(bs: list[Block]) -> None:
 def main_text(page: str | None) -> str:
     """The good blocks of a page, joined by line feeds; empty if there is none.
 
-    Text hinted at as not the page's own is judged only where there is no other.
+    Text under a hinted container is judged only where the page has no other,
+    first that hinted at as layout, then that hinted at as not the page's own.
     """
     bs = blocks(page)
-    for hint in ("hint", "others"):
-        _heed(bs, hint)
+    known = _known(bs)
+    for hint in ("", "hint", "others"):
+        if hint:
+            _heed(bs, hint, known)
         for b in bs:
-            b.label = _first_pass(b)
+            b.label = _first_pass(b, known)
         _second_pass(bs)
-        if any(b.label == "good" for b in bs):
+        if any(b.label == "good" and len(b.text) >= LENGTH_LOW for b in bs):
             break
     return "\n".join(b.text for b in bs if b.label == "good")
 

@@ -301,3 +301,32 @@ def test_planted_items_are_found(spark):
     planted = {(d, i) for d, text in docs.items() for i, item in items.items() if item in text}
     got = {(r["doc_id"], r["item_id"]) for r in queries.op6_benchmark_decontamination(spark, sf).collect()}
     assert planted <= got and len(got) <= 1.2 * len(planted) + 2
+
+
+PROSE = "The river runs through the town and it is known to all who live there, for the old bridge that they built. " * 3
+RUSSIAN = "Река протекает через город, и каждый житель знает старый мост, который построили много лет назад. " * 4
+ASIDE = "This is the news of the week that you may have missed, and it was read by all of the people in the town. " * 3
+
+PAGES = [
+    # page, text
+    (f"<body><div><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p></div></body>", f"Title|{PROSE}|{PROSE}"),
+    (f"<body><div><p>{RUSSIAN}</p></div></body>", RUSSIAN),
+    (f"<body><div class='menu'><a href=a>{RUSSIAN}</a></div><div><p>{RUSSIAN}</p></div></body>", RUSSIAN),
+    (f"<main><p>{PROSE}</p><ol class='commentlist'><li>{ASIDE}</li></ol></main>", PROSE),
+    (f"<main><p>{PROSE}</p><article class='comment'><p>{ASIDE}</p></article></main>", PROSE),
+    (f"<main><p>{PROSE}</p><section id='comments'><p>{ASIDE}</p></section><p>{PROSE}</p></main>", f"{PROSE}|{PROSE}"),
+    (f"<body><div class='sidebar'><p>{ASIDE}</p></div><article><p>{PROSE}</p></article></body>", PROSE),
+    (f"<body><div class='sidebar'><p>{ASIDE}</p></div><div><p>{PROSE}</p></div></body>", PROSE),
+    (f"<body><div class='page-with-sidebar'><p>{PROSE}</p></div></body>", PROSE),   # no other text
+    (f"<body><div><p>{PROSE}</p></div><div>Copyright 2020 All rights reserved</div></body>", PROSE),
+    (f"<body><div><p>{PROSE}</p></div><p>© 2021 The Town Paper</p></body>", PROSE),
+    (f"<article><p>{PROSE}</p><p>Copyright law is old.</p></article>", f"{PROSE}|Copyright law is old."),
+    (f"<body class='has-comments'><div class='no-comments'><p>{PROSE}</p></div></body>", PROSE),
+]
+
+
+@pytest.mark.parametrize("page, text", PAGES)
+def test_page_shapes(page, text):
+    from panelkit.llm.html_text import main_text
+
+    assert main_text(page) == "\n".join(" ".join(x.split()) for x in text.split("|"))
