@@ -165,8 +165,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, id_col: str = "doc
              .join(merged.select(F.col("doc_id").alias("c1"), F.col("component_id").alias("c2")),
                    "c1", "left")
              .select("set_hash", F.coalesce("c2", "c1").alias("c")))
-    whole = (signed.select("doc_id", "n_shingles", "set_hash").join(found, "set_hash", "left")
-             .select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("c"))
+    full = signed.where("set_hash IS NOT NULL").select("doc_id", "n_shingles", "set_hash").join(found, "set_hash")
+    bare = signed.where("set_hash IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("c"))
+    whole = (full.select("doc_id", "n_shingles", "c").unionByName(bare)  # empty sets meet nothing, so they join nothing
              .groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("c").alias("component_id"))
              .withColumn("kept", F.col("doc_id") == F.col("component_id")))
     nameless = map_text(texts.where("doc_id IS NULL"), ["doc_id"], "text", "n_shingles long",

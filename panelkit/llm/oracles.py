@@ -101,3 +101,37 @@ FROM f{len(named)}""")
 
 
 MERKLE = _merkle()
+
+
+# Captures of all pages: the smallest page id of a payload of 100 bytes or more is its response, others revisit it;
+# the rank is by URL key (host labels reversed, then port, path and query), time and id.
+ARCHIVE = """
+WITH hashed AS (SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+firsts AS (SELECT digest, min(page_id) AS first FROM hashed WHERE n >= 100 GROUP BY digest),
+cut AS (SELECT hashed.*, first, split_part(trim(coalesce(url, ''), chr(32) || chr(9) || chr(10) || chr(13)), '#', 1) AS u
+    FROM hashed LEFT JOIN firsts USING (digest)),
+bare AS (SELECT *, CASE WHEN contains(u, '://') THEN substr(u, instr(u, '://') + 3) ELSE u END AS rest FROM cut),
+parts AS (SELECT *, regexp_extract(rest, '^[^/?]*') AS site FROM bare),
+hosts AS (SELECT *, substr(rest, length(site) + 1) AS path, lower(regexp_extract(site, '([^@]*)$', 1)) AS host FROM parts),
+keyed AS (SELECT *, split_part(host, ':', 1) AS name, substr(host, length(split_part(host, ':', 1)) + 2) AS port FROM hosts),
+captures AS (SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+    CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to,
+    array_to_string(list_reverse(list_filter(string_split(name, '.'), lambda x: x <> '')), ',')
+        || CASE WHEN port IN ('', '80', '443') THEN '' ELSE ':' || port END || ')'
+        || CASE WHEN path = '' THEN '/' ELSE path END AS urlkey,
+    strftime(make_timestamp((1704067200 + page_id % 31536000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS ts FROM keyed)
+SELECT *, row_number() OVER (ORDER BY urlkey, ts, page_id) AS rank FROM captures"""
+
+# Sets of five-word shingles; documents link at 75 hundredths; components by following links to every document.
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE worded AS (SELECT doc_id,
+    regexp_extract_all({_lower("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM worded),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)"""

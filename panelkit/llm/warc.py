@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import new_path, stored
@@ -32,6 +32,14 @@ def _header(name: str, value: Column) -> Column:
                                F.lit(CRLF)), F.lit(""))
 
 
+def _utc(seconds: str) -> Column:
+    """A Unix time as ``yyyy-MM-ddTHH:mm:ssZ``, whatever the session's time zone."""
+    at = F.col(seconds)
+    part = lambda size, of: F.lpad((F.floor(F.pmod(at, F.lit(of)) / size)).cast("string"), 2, "0")
+    day = F.date_from_unix_date(F.floor(at / 86400).cast("int")).cast("string")
+    return F.concat(day, F.lit("T"), part(3600, 86400), F.lit(":"), part(60, 3600), F.lit(":"), part(1, 60), F.lit("Z"))
+
+
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write (page_id, url, html[, ts]) as gzipped WARC files below ``path``, RECORDS_PER_FILE records each.
 
@@ -46,11 +54,15 @@ def write_archives(pages: DataFrame, path: str) -> None:
                         F.coalesce("html", F.lit("")).alias("payload"), ts.alias("ts"))
     rows = rows.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256)) \
         .withColumn("bytes", F.octet_length("payload"))
-    firsts = (rows.where(F.col("bytes") >= REVISIT_BYTES).groupBy("digest")
-              .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-              .where("n > 1").select("digest", "first"))
-    rows = rows.join(firsts, "digest", "left")
-    again = F.coalesce(F.col("first") != F.coalesce("page_id", F.col("first") - 1), F.lit(False))
+    # Revisits are found among ids and digests; payloads then meet them by id, so a payload that is
+    # everywhere (an error page) is no hot key.
+    names = rows.where(F.col("bytes") >= REVISIT_BYTES).select("page_id", "digest")
+    firsts = names.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copies = (names.join(firsts.select("digest", "first"), "digest")
+              .where(F.coalesce(F.col("first") != F.col("page_id"), F.col("first").isNotNull()))
+              .select(F.col("page_id").alias("p"), F.col("digest").alias("d"), "first").distinct())
+    rows = rows.join(copies, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")), "left")
+    again = F.col("first").isNotNull()
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
                     F.col("bytes").cast("string"), F.lit(CRLF * 2))
     block = F.concat(http, F.when(again, F.lit("")).otherwise(F.col("payload")))
@@ -59,7 +71,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
     record = F.concat(
         F.lit(f"WARC/1.1{CRLF}"), _header("WARC-Type", kind),
         _header("WARC-Record-ID", F.coalesce(urn(F.col("page_id")), F.lit("<urn:page:none>"))),
-        _header("WARC-Date", F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        _header("WARC-Date", _utc("ts")),
         _header("WARC-Target-URI", F.col("url")),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         _header("WARC-Profile", F.when(again, F.lit(
@@ -236,10 +248,16 @@ def archive(pages: DataFrame, path: str | None = None) -> DataFrame:
 
     One row per page, with urlkey, ts, page_id, url, record_type, refers_to,
     payload_bytes and payload_digest (of the full payload), file, offset,
-    length, and the global order (key_range, position). Repeated rows give
+    length, and rank, its place (from 1) in the global order of captures by
+    URL key, timestamp and page id. Repeated rows give
     repeated records; an empty table gives an empty index.
     """
     spark = pages.sparkSession
     path = path or new_path(spark, "warc")
     write_archives(pages, path)
-    return merge_runs(stored(read_runs(spark, path), "runs")).drop("seq")
+    merged = stored(merge_runs(stored(read_runs(spark, path), "runs")).drop("seq"), "index")
+    sizes = merged.groupBy("key_range").agg(F.count("*").alias("n"))
+    before = Window.orderBy("key_range").rowsBetween(Window.unboundedPreceding, -1)   # one row per key range
+    starts = sizes.select("key_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return (merged.join(F.broadcast(starts), "key_range")
+            .withColumn("rank", F.col("start") + F.col("position") + 1).drop("key_range", "position", "start"))

@@ -6,7 +6,9 @@ import re
 import numpy as np
 
 from panelkit.llm import minhash_dedup as M
+from panelkit.llm import oracles, queries
 from panelkit.llm.components import connected_components
+from tests.oracle_compare import compare, duck
 
 WORDS = [f"w{k}" for k in range(400)]
 
@@ -91,3 +93,8 @@ def test_components_of_paths_and_hubs(spark):
            connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{k: 1 for k in range(1, 41)}, **{100 + k: 100 for k in range(30)}}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_duplicates_match_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert compare(queries.op9_minhash_dedup(spark, sf), duck(sf), oracles.NEAR_DUPLICATES) is None

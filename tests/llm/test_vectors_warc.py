@@ -6,7 +6,8 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from panelkit.llm import ann, queries, warc
+from panelkit.llm import ann, oracles, queries, warc
+from tests.oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.01"
 
@@ -72,7 +73,8 @@ def test_archives_round_trip(spark):
     kinds = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in got}
     assert kinds[1] == ("response", None) and kinds[2] == kinds[5] == kinds[None] == ("revisit", 1)
     assert all(kinds[k] == ("response", None) for k in (3, 4, 6, 7, 8))
-    in_order = sorted(got, key=lambda r: (r["key_range"], r["position"]))
+    in_order = sorted(got, key=lambda r: r["rank"])
+    assert [r["rank"] for r in in_order] == list(range(1, len(rows) + 1))
     keys = [(r["urlkey"], r["ts"], r["page_id"] or -1) for r in in_order]
     assert keys == sorted(keys) and warc.archive(pages.limit(0)).count() == 0
 
@@ -102,3 +104,33 @@ def test_loser_tree_merge():
 def test_url_keys():
     assert warc.url_key("HTTPS://user@M.Example.com:443/A?b#c") == "com,example,m)/A?b"
     assert warc.url_key("http://x.org:8080") == "org,x:8080)/" and warc.url_key(None) == ")/"
+
+
+def test_archive_matches_sql(spark):
+    assert compare(queries.op8_warc_archive(spark, SF), duck(SF), oracles.ARCHIVE) is None
+
+
+def test_capture_times_are_utc_in_any_session_time_zone(spark):
+    pages = spark.createDataFrame([(1, "u", "h", 1704067200), (2, "v", "h", -1)], "page_id long, url string, html string, ts long")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {r["page_id"]: r["ts"] for r in warc.archive(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {1: "2024-01-01T00:00:00Z", 2: "1969-12-31T23:59:59Z"}
+
+
+def test_one_payload_everywhere_is_no_hot_key(spark):
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("http://h/").alias("url"),
+                                    F.repeat(F.lit("x"), 200).alias("html"))
+    got = warc.archive(pages).collect()
+    assert sorted((r["page_id"], r["refers_to"]) for r in got) == [(0, None)] + [(k, 0) for k in range(1, 400)]
+
+
+def test_conflicting_vectors_of_one_id_have_one_answer(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.25, 0.0]), (1, [0.75, 0.0]), (2, [0.5, 0.0])]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<float>").repartition(3)
+        got = [(r["vec_id"], r["score"]) for r in ann.search(df, F.col("vec_id") == 0, 5).orderBy("rank").collect()]
+        assert got == [(2, 0.5), (1, 0.25)]
