@@ -87,3 +87,14 @@ def range_stem(start, end) -> Column:
     """F-D4: ``YYYYMMDD_YYYYMMDD`` from two dates."""
     return F.concat(F.date_format(_col(start), "yyyyMMdd"), F.lit("_"),
                     F.date_format(_col(end), "yyyyMMdd"))
+
+
+def output_stem(name, from_year=None, from_month=None, to_year=None, to_month=None) -> Column:
+    """S11/F-D4: file stem of a download: the slug of its name and ``_YYYYMM_YYYYMM``, or the bare slug where a
+    bound is unset (NULL)."""
+    from panelkit.functions.text import slugify
+
+    bounds = [F.lit(None).cast("int") if b is None else _col(b).cast("int") for b in (from_year, from_month, to_year, to_month)]
+    span = F.format_string("_%04d%02d_%04d%02d", *bounds)
+    known = bounds[0].isNotNull() & bounds[1].isNotNull() & bounds[2].isNotNull() & bounds[3].isNotNull()
+    return F.concat(slugify(name), F.when(known, span).otherwise(F.lit("")))

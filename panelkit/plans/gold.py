@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit import schemas
-from panelkit.functions.dates import calendar_columns, year_month
-from panelkit.functions.numeric import clean_number
+from panelkit.functions.dates import calendar_columns, date_parts, year_month
+from panelkit.functions.numeric import bucket, clean_number, log1p_clipped, sqrt_clipped
 from panelkit.functions.text import strip_ws, title_case
 from panelkit.operators import grid as G
 from panelkit.operators.joins import Side, drop_known, feature_panel, latest_per_key, lookup, resolve_alias, unmapped
 from panelkit.operators.rollups import monthly_rollup, parent_rollup, scoped_counts
-from panelkit.session import materialize
+from panelkit.session import stored
 from panelkit.sources.dims import DAILY_WEATHER_VARS, GOLD_FEATURE_SOURCE, NATIONAL_REGION_CODE, dimension
 from panelkit.sources.files import file_fields, read_daily_json
 from panelkit.sources.sinks import conform
@@ -104,8 +104,9 @@ def silver_holidays(calendar: DataFrame) -> DataFrame:
 def silver_air_traffic(spark: SparkSession, cells: DataFrame, strict: bool = True) -> DataFrame:
     """G1-G4 + S2 + J3: airport-month rows from workbook cells. Unparsable
     file names and unmapped airports fail the job when ``strict``."""
-    titles = materialize(G.find_title_rows(cells, strict=strict))
-    pairs = materialize(G.pair_blocks(cells, titles, strict=strict))
+    heads = stored(G.sheet_heads(cells), "sheet-heads")
+    titles = stored(G.find_title_rows(cells, strict=strict, heads=heads), "titles")
+    pairs = stored(G.pair_blocks(G.head_cells(heads), titles, strict=strict), "pairs")
     tidy = G.pivot_blocks(G.extract_blocks(cells, pairs, strict=strict))
     airports = dimension(spark, "airport_provinces")
     tidy = tidy.withColumnRenamed("entity_name", "airport_normalized")
@@ -169,3 +170,37 @@ def gold_monthly_features(spark: SparkSession, weather: DataFrame, holidays: Dat
         "feature_source": F.lit(GOLD_FEATURE_SOURCE),
     })
     return conform(panel, schemas.GOLD_MONTHLY_FEATURES, strict=False)
+
+
+# The modelling frame's features, targets and bucket edges.
+TARGET = "hotel_overnights"
+MODEL_NUMERIC = """temperature_2m_mean_avg temperature_2m_max_avg temperature_2m_min_avg precipitation_sum_total
+    rain_sum_total precipitation_hours_total wind_speed_10m_mean_avg wind_speed_10m_max_avg national_holiday_count
+    regional_holiday_count total_holiday_count aena_passengers aena_operations aena_cargo_kg aena_airport_count
+    month quarter is_high_season aena_passengers_log1p temperature_2m_mean_sq precipitation_sqrt""".split()
+MODEL_CATEGORICAL = ["province", "region_code", "temperature_bucket", "precipitation_bucket"]
+TEMPERATURE_BUCKETS = ([float("-inf"), 10.0, 18.0, 25.0, float("inf")], ["cold", "mild", "warm", "hot"])
+PRECIPITATION_BUCKETS = ([-0.001, 20.0, 80.0, float("inf")], ["dry", "normal", "rainy"])
+DEMAND_SEGMENTS = ["low", "medium", "high", "very_high"]
+
+
+def modelling_frame(gold: DataFrame, segments: bool = True) -> DataFrame:
+    """Gold rows with a target, calendar parts, transforms, buckets and (``segments``) demand quartiles."""
+    from panelkit.operators.features import quantile_bucket
+
+    out = date_parts(gold.dropna(subset=[TARGET]), "year_month")
+    out = out.withColumns({
+        "hotel_overnights_log1p": F.log1p(TARGET), "aena_passengers_log1p": log1p_clipped("aena_passengers"),
+        "precipitation_sqrt": sqrt_clipped("precipitation_sum_total"),
+        "temperature_2m_mean_sq": F.col("temperature_2m_mean_avg") * F.col("temperature_2m_mean_avg"),
+        "temperature_bucket": bucket("temperature_2m_mean_avg", *TEMPERATURE_BUCKETS),
+        "precipitation_bucket": bucket("precipitation_sum_total", *PRECIPITATION_BUCKETS)})
+    return quantile_bucket(out, TARGET, DEMAND_SEGMENTS, "demand_segment") if segments else out
+
+
+def prepare_model_data(gold: DataFrame, ratio: float = 0.8):
+    """(train, test, fitted preparation); whole months, statistics from the train months only."""
+    from panelkit.operators.features import Preparation, train_test
+
+    train, test = train_test(modelling_frame(gold, segments=False), "year_month", ratio)
+    return train, test, Preparation.fit(train, MODEL_NUMERIC, MODEL_CATEGORICAL)

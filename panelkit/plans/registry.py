@@ -26,5 +26,5 @@ def register(name: str, sql: str | None):
 
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # Importing the modules fills the registry.
-    from panelkit.plans import q_core, q_profile, q_text, q_features, q_extensions, q_grid, q_models, q_sources  # noqa: F401
+    from panelkit.plans import q_core, q_profile, q_text, q_features, q_extensions, q_grid, q_models, q_sources, lake  # noqa: F401
     return REGISTRY

@@ -129,3 +129,59 @@ def test_dimensions_sizes(spark):
              ["locations", "regions", "province_regions", "province_aliases", "airport_provinces"]}
     assert sizes == {"locations": 52, "regions": 19, "province_regions": 52, "province_aliases": 17,
                      "airport_provinces": 58}
+
+
+def test_modelling_frame_prepares_99_columns(spark):
+    from panelkit.operators.features import named_features
+
+    places = dims.dimension(spark, "province_regions").select("province", "region_code")
+    months = spark.range(20).select(F.date_format(F.add_months(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")),
+                                                  "yyyy-MM").alias("year_month"), F.col("id").alias("m"))
+    n = F.pmod(F.xxhash64("province", "m"), F.lit(97))
+    gold = places.crossJoin(months).withColumns({   # 52 provinces, 20 months: a bounded fixture
+        "temperature_2m_mean_avg": n * 0.35, "precipitation_sum_total": n * 1.1, "hotel_overnights": F.when(n > 2, n * 10.0),
+        "aena_passengers": n * 100, "month": F.lit(0)})
+    for c in GD.MODEL_NUMERIC:
+        if c not in gold.columns and c not in ("quarter", "is_high_season", "aena_passengers_log1p",
+                                               "temperature_2m_mean_sq", "precipitation_sqrt"):
+            gold = gold.withColumn(c, F.when(n != 5, n * 1.0))
+    frame = GD.modelling_frame(gold)
+    assert frame.where("hotel_overnights IS NULL").count() == 0
+    assert {r.demand_segment for r in frame.select("demand_segment").distinct().collect()} == set(GD.DEMAND_SEGMENTS)
+    train, test, prep = GD.prepare_model_data(gold)
+    assert len(prep.names) == 99 and len(GD.MODEL_NUMERIC) == 21 and prep.names[:21] == GD.MODEL_NUMERIC
+    assert train.select("year_month").distinct().count() == 16 and test.select("year_month").distinct().count() == 4
+    per_row = named_features(prep.transform(test), prep.names, ["year_month", "province"]) \
+        .groupBy("year_month", "province").agg(F.count("*").alias("n"), F.sum(F.expr(
+            "IF(feature LIKE 'province_%', value, 0)")).alias("p"))
+    assert {(r.n, r.p) for r in per_row.collect()} == {(99, 1.0)}
+
+
+def test_output_stems(spark):
+    from panelkit.functions.dates import output_stem
+
+    rows = [("Air traffic (2015)", 2015, 10, 2024, 12), ("Hotel-occupancy", 2015, None, 2024, 12), ("x", 2015, 1, 2015, 2)]
+    df = spark.createDataFrame(rows, "name string, y1 int, m1 int, y2 int, m2 int")
+    got = [r[0] for r in df.select(output_stem("name", "y1", "m1", "y2", "m2")).collect()]
+    assert got == ["air_traffic_2015_201510_202412", "hotel_occupancy", "x_201501_201502"]
+    assert df.select(output_stem("name")).first()[0] == "air_traffic_2015"
+
+
+def test_lake_layers_can_be_repeated(spark, tmp_dir):
+    from panelkit.plans import lake
+
+    sf = "/root/testdata/sf0.001"
+    names = lake.run_lake(spark, sf, tmp_dir, "repeat")
+    try:
+        first = sorted(map(str, spark.table("repeat_gold_panel").collect()))
+        lake.gold(spark, tmp_dir)    # from the silver layer alone
+        again = spark.read.parquet(f"{tmp_dir}/gold/panel")
+        assert sorted(map(str, again.collect())) == first
+        assert {n.split("_", 1)[1] for n in names} == {"gold_panel", *(f"silver_{n}" for n in lake.SILVER)}
+        twice = spark.read.parquet(f"{tmp_dir}/silver/target").limit(1)
+        twice.write.mode("append").parquet(f"{tmp_dir}/silver/target")
+        with pytest.raises(ValueError, match="repeats a key"):
+            lake.gold(spark, tmp_dir)
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE {n}")
