@@ -15,6 +15,9 @@ import lzma
 import re
 import zlib
 from bisect import bisect
+from collections.abc import Iterator
+from html.entities import html5
+from itertools import chain
 from urllib.parse import unquote_to_bytes
 
 import zstandard
@@ -22,7 +25,9 @@ from pyspark.sql import DataFrame
 
 from panelkit.llm.common import map_text
 
-MAX_INFLATED = 64 << 20  # bytes; a compressed stream that inflates beyond is left as it is
+MAX_INFLATED = 64 << 20  # bytes; what a compressed stream holds beyond is read window by window
+WINDOW_BYTES = 4 << 20   # of such a stream at a time
+OVERLAP_BYTES = 64 << 10  # that a window repeats of the one before, for secrets and runs across the cut
 DECODER_BYTES = 160 << 20  # working memory of an xz or zstandard decoder; xz -9 needs 65 MB, zstd --ultra -22 128 MB
 
 # Fixed patterns.
@@ -34,8 +39,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)+")
-UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+# Escapes of one character: \u0070 and %u0070, \x70, \u{70}, \U00000070, &#x70; and &#112; (also without the
+# semicolon), \160, &quot;
+_ESCAPE = (r"[\\%]u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})"
+           r"|&#[xX]([0-9A-Fa-f]{1,6});?|&#([0-9]{1,7});?|\\([0-3][0-7]{2})|&([A-Za-z][A-Za-z0-9]{1,31};)")
+UNICODE_ONE = re.compile(_ESCAPE)
+UNICODE_RUN = re.compile("(?:" + re.sub(r"(?<!\\)\((?!\?)", "(?:", _ESCAPE) + ")+")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{16,}+)*(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)?={0,2}")
 URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~/+!*'()-])+")
@@ -100,22 +109,46 @@ def _url(text: str) -> list[Change]:
 
 def _unicode(text: str) -> list[Change]:
     out = []
-    for m in UNICODE_RUN.finditer(text) if "\\" in text or "&#" in text else ():
+    for m in UNICODE_RUN.finditer(text) if "\\" in text or "&" in text or "%u" in text else ():
         new, places = [], []
         for one in UNICODE_ONE.finditer(text, m.start(), m.end()):
-            u, x, entity, decimal = one.groups()
-            code = int(decimal) if decimal else int(u or x or entity, 16)
+            u, x, braced, wide, entity, decimal, octal, name = one.groups()
+            if name:
+                chars = html5.get(name)
+                if chars is None:   # no entity: its characters stand for themselves
+                    new += one.group()
+                    places += [(k, k + 1) for k in range(*one.span())]
+                else:
+                    new += chars
+                    places += [one.span()] * len(chars)
+                continue
+            code = int(decimal) if decimal else int(octal, 8) if octal else int(u or x or braced or wide or entity, 16)
             if u and 0xDC00 <= code < 0xE000 and new and 0xD800 <= ord(new[-1]) < 0xDC00:
                 new[-1] = chr(0x10000 + ((ord(new[-1]) - 0xD800) << 10) + code - 0xDC00)
                 places[-1] = (places[-1][0], one.end())
             elif code <= 0x10FFFF:
                 new.append(chr(code))
                 places.append(one.span())
-        if new:
+        if new and "".join(new) != m.group():
             out.append((m.start(), m.end(), "".join(new), places))
     return out
 
 
+class TooLarge(Exception):
+    """A stream that inflates beyond MAX_INFLATED."""
+
+
+class Large(str):
+    """Stands (as an empty text) for what a stream beyond MAX_INFLATED holds; ``raw`` is the stream."""
+
+    raw: bytes
+
+    def __new__(cls, raw: bytes):
+        made = super().__new__(cls, "")
+        made.raw = raw
+        return made
+
+
 def _zstandard(raw: memoryview, room: int) -> tuple[bytes, int] | None:
     """As :func:`_member`, fed in small pieces so that a frame that grows beyond ``room`` is left early."""
     d = zstandard.ZstdDecompressor(max_window_size=DECODER_BYTES).decompressobj()
@@ -124,7 +157,7 @@ def _zstandard(raw: memoryview, room: int) -> tuple[bytes, int] | None:
         parts.append(d.decompress(raw[at:at + step]))
         held += len(parts[-1])
         if held > room:
-            return None
+            raise TooLarge
         if d.eof:
             return b"".join(parts), min(at + step, len(raw)) - len(d.unused_data)
     return b"".join(parts), len(raw)
@@ -136,7 +169,9 @@ def _member(raw: memoryview, room: int) -> tuple[bytes, int] | None:
         if raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] == 0x78 and (raw[0] * 256 + raw[1]) % 31 == 0):
             d = zlib.decompressobj(wbits=47)
             out = d.decompress(raw, room)
-            return None if d.unconsumed_tail else (out, len(raw) - len(d.unused_data))
+            if d.unconsumed_tail:
+                raise TooLarge
+            return out, len(raw) - len(d.unused_data)
         if raw[:3] == b"BZh":
             d = bz2.BZ2Decompressor()
         elif raw[:6] == b"\xfd7zXZ\x00":
@@ -146,7 +181,9 @@ def _member(raw: memoryview, room: int) -> tuple[bytes, int] | None:
         else:
             return None
         out = d.decompress(raw, room)
-        return (out, len(raw) - len(d.unused_data)) if d.eof or d.needs_input else None
+        if not (d.eof or d.needs_input):
+            raise TooLarge
+        return out, len(raw) - len(d.unused_data)
     except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
         return None
 
@@ -154,7 +191,7 @@ def _member(raw: memoryview, room: int) -> tuple[bytes, int] | None:
 def _members(raw: bytes | memoryview) -> tuple[bytes, int] | None:
     """What the compressed streams at the start of ``raw`` hold, one after another, and the bytes they take."""
     raw, parts, held, used = memoryview(raw), [], 0, 0
-    while used < len(raw) and (got := _member(raw[used:], MAX_INFLATED - held)) is not None and got[1]:
+    while used < len(raw) and (got := _member(raw[used:], max(1, MAX_INFLATED - held))) is not None and got[1]:
         parts.append(got[0])
         held += len(got[0])
         used += got[1]
@@ -167,27 +204,145 @@ def inflate(raw: bytes) -> bytes | None:
     return got and got[0]
 
 
+class _Feed:
+    """A decoder of one stream that takes and gives a bounded number of bytes at a time."""
+
+    def __init__(self, head: bytes) -> None:
+        self.step, self.tail, self.wants = 1 << 16, b"", True
+        if head[:2] == b"\x1f\x8b" or (len(head) > 2 and head[0] == 0x78 and (head[0] * 256 + head[1]) % 31 == 0):
+            self.kind, self.d = "zlib", zlib.decompressobj(wbits=47)
+        elif head[:3] == b"BZh":
+            self.kind, self.d = "bounded", bz2.BZ2Decompressor()
+        elif head[:6] == b"\xfd7zXZ\x00":
+            self.kind, self.d = "bounded", lzma.LZMADecompressor(memlimit=DECODER_BYTES)
+        elif head[:4] == b"\x28\xb5\x2f\xfd":
+            self.kind, self.step = "frame", 1 << 10
+            self.d = zstandard.ZstdDecompressor(max_window_size=DECODER_BYTES).decompressobj()
+        else:
+            raise ValueError("no compressed stream")
+
+    def feed(self, data: bytes) -> bytes:
+        if self.kind == "zlib":
+            out = self.d.decompress(self.tail + data, WINDOW_BYTES)
+            self.tail = self.d.unconsumed_tail
+            self.wants = not self.tail
+        elif self.kind == "bounded":
+            out = self.d.decompress(data, WINDOW_BYTES)
+            self.wants = self.d.eof or self.d.needs_input
+        else:
+            out = self.d.decompress(data)
+        return out
+
+
+def _inflated(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """What the streams in ``pieces`` hold, one after another, up to the first bytes that are none."""
+    held = b""
+
+    def take(size: int) -> bytes:
+        nonlocal held
+        while len(held) < size and (more := next(pieces, None)) is not None:
+            held += more
+        out, held = held[:size], held[size:]
+        return out
+
+    try:
+        while head := take(8):
+            held = head + held
+            d = _Feed(head)
+            while not d.d.eof:
+                data = take(d.step) if d.wants else b""
+                if d.wants and not data:
+                    return
+                if out := d.feed(data):
+                    yield out
+            held = d.d.unused_data + held
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+        return
+
+
+def _windows(raw: bytes) -> Iterator[str]:
+    """The text in a large stream, in overlapping windows; compressed layers directly inside it are unwrapped, too.
+
+    A window that is no UTF-8 (but for characters cut at its ends) is passed over.
+    """
+    pieces, met = _inflated(iter((raw,))), set()
+    while True:
+        first = next(pieces, b"")
+        inner = chain((first,), pieces)
+        digest = hashlib.sha256(first).digest()
+        if not MAGIC.match(first) or digest in met:
+            pieces = inner
+            break
+        met.add(digest)
+        pieces = _inflated(inner)
+    held = b""
+    for piece in pieces:
+        held += piece
+        while len(held) >= WINDOW_BYTES:
+            if text := _cut_text(held[:WINDOW_BYTES]):
+                yield text
+            held = held[WINDOW_BYTES - OVERLAP_BYTES:]
+    if text := _cut_text(held):
+        yield text
+
+
+def _cut_text(window: bytes) -> str | None:
+    start = next((k for k in range(min(4, len(window))) if window[k] & 0xC0 != 0x80), 0)
+    for end in range(len(window), max(start, len(window) - 4), -1):
+        try:
+            return window[start:end].decode("utf-8")
+        except UnicodeDecodeError:
+            continue
+    return None
+
+
 def _plain(raw: bytes) -> str | None:
     """The text that bytes hold, after unwrapping compressed layers; None if they hold none."""
     seen = set()
-    while (inner := inflate(raw)) is not None:
-        digest = hashlib.sha256(inner).digest()
-        if digest in seen:  # a stream that unwraps to itself
-            return None
-        seen.add(digest)
-        raw = inner
+    try:
+        while (inner := inflate(raw)) is not None:
+            digest = hashlib.sha256(inner).digest()
+            if digest in seen:  # a stream that unwraps to itself
+                return None
+            seen.add(digest)
+            raw = inner
+    except TooLarge:
+        return Large(raw)
+    if (wide := _wide(raw)) is not None:
+        return wide
     try:
         return raw.decode("utf-8") or None
     except UnicodeDecodeError:
         return None
 
 
+def _wide(raw: bytes) -> str | None:
+    """UTF-16 text with a byte order mark, or with a zero in every second byte; None for other bytes."""
+    even = raw[:len(raw) - len(raw) % 2]
+    if even[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        kind = "utf-16"
+    elif len(even) >= 24 and not any(even[1:128:2]) and all(even[:128:2]):
+        kind = "utf-16-le"
+    elif len(even) >= 24 and not any(even[:128:2]) and all(even[1:128:2]):
+        kind = "utf-16-be"
+    else:
+        return None
+    try:
+        return even.decode(kind) or None
+    except UnicodeDecodeError:
+        return None
+
+
 def _streams(raw: bytes) -> list[tuple[int, int, str]]:
     """(start, end, text) of the compressed streams anywhere in ``raw``."""
     out, at = [], 0
     while m := MAGIC.search(raw, at):
         at = m.start() + 1
-        got = _members(memoryview(raw)[m.start():])
+        try:
+            got = _members(memoryview(raw)[m.start():])
+        except TooLarge:   # its end is not known before it is read
+            out.append((m.start(), len(raw), Large(bytes(raw[m.start():]))))
+            break
         if got is not None and (text := _plain(got[0])) is not None:
             at = m.start() + got[1]
             out.append((m.start(), at, text))
@@ -217,6 +372,8 @@ def _pieces(run: str) -> list[Piece]:
             return shift + i * 4 // 3, min(shift - (-j * 4 // 3), len(run))
 
         found += [(*place(i, j), text, None) for i, j, text in _streams(raw)]
+        if (wide := _wide(raw)) is not None:
+            found.append((*place(0, len(raw)), wide, None))
         for m in UTF8.finditer(raw):
             if m.end() - m.start() >= 12:
                 text, spans, i = m.group().decode("utf-8"), [], m.start()
@@ -258,8 +415,21 @@ def _wrapped(text: str) -> list[Change]:
     return out
 
 
-def _apply(text: str, places: list[tuple[int, int]] | None, changes: list[Change]) -> tuple[str, list]:
+class _Same:
+    """The places of a window: every character stands for the whole stream's span."""
+
+    def __init__(self, place: tuple[int, int]) -> None:
+        self.place = place
+
+    def __getitem__(self, at: int) -> tuple[int, int]:
+        return self.place
+
+
+def _apply(text: str, places: list[tuple[int, int]] | _Same | None, changes: list[Change]) -> tuple[str, list | _Same]:
     """The next layer: changed text and, for each character, its span in the original text."""
+    if isinstance(places, _Same):
+        ends = [0, *(c[1] for c in changes)]
+        return "".join([x for at, c in zip(ends, changes) for x in (text[at:c[0]], c[2])] + [text[ends[-1]:]]), places
     own = places if places is not None else [(k, k + 1) for k in range(len(text))]
     parts, mapped, at = [], [], 0
     for start, end, new, inner in changes:
@@ -275,16 +445,37 @@ def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), each sorted by start, kind and end."""
     text = text or ""
     base = scan_layer(text)
-    spans, seen, work = set(base), {text}, [(text, None)]
-    while work:
-        layer, places = work.pop()
-        for decode in (_url, _unicode, _base64, _wrapped):
-            if changes := decode(layer):
+    spans, seen = set(base), set()
+
+    def fresh(layer: bytes) -> bool:
+        """Whether a layer comes for the first time; layers are known by their digests."""
+        digest = hashlib.sha256(layer).digest()
+        new = digest not in seen
+        seen.add(digest)
+        return new
+
+    def explore(top: str, top_places: _Same | None) -> None:
+        work = [(top, top_places)]
+        while work:
+            layer, places = work.pop()
+            for decode in (_url, _unicode, _base64, _wrapped):
+                changes = decode(layer)
+                if not changes:
+                    continue
+                if not seen:
+                    fresh(text.encode("utf-8", "surrogatepass"))
                 child, mapped = _apply(layer, places, changes)
-                if child not in seen:
-                    seen.add(child)
+                if fresh(child.encode("utf-8", "surrogatepass")):
                     work.append((child, mapped))
-                    spans |= {(mapped[s][0], kind, mapped[e - 1][1]) for s, kind, e in scan_layer(child)}
+                    spans.update((mapped[s][0], kind, mapped[e - 1][1]) for s, kind, e in scan_layer(child))
+                for start, end, new, _ in changes:
+                    if isinstance(new, Large) and fresh(new.raw):
+                        place = (start, end) if places is None else (places[start][0], places[end - 1][1])
+                        for window in _windows(new.raw):
+                            spans.update((place[0], kind, place[1]) for _, kind, _ in scan_layer(window))
+                            explore(window, _Same(place))
+
+    explore(text, None)
     return sorted(base), sorted(spans)
 
 

@@ -330,3 +330,49 @@ def test_page_shapes(page, text):
     from panelkit.llm.html_text import main_text
 
     assert main_text(page) == "\n".join(" ".join(x.split()) for x in text.split("|"))
+
+
+SECRET = "password = hunter2hunter2xyz"
+ESCAPED = [
+    "".join(f"%u{ord(c):04x}" for c in SECRET), "".join(f"\\U{ord(c):08x}" for c in SECRET),
+    "".join(f"\\u{{{ord(c):x}}}" for c in SECRET), "".join(f"&#X{ord(c):X};" for c in SECRET),
+    "".join(f"\\{ord(c):03o}" for c in SECRET), "password&equals;&quot;hunter2hunter2xyz&quot;",
+    "password &colon; &nosuchname; password&#61hunter2hunter2xyz",
+    base64.b64encode(SECRET.encode("utf-16")).decode(), base64.b64encode(SECRET.encode("utf-16-le")).decode(),
+    base64.b64encode(SECRET.encode("utf-16-be")).decode(), base64.b64encode(gzip.compress(SECRET.encode("utf-16"))).decode(),
+]
+
+
+@pytest.mark.parametrize("form", ESCAPED)
+def test_more_escapes_are_unwrapped(form):
+    base, spans = secrets.find_secrets(f"see ( {form} ) here")
+    assert not base and len(spans) == 1
+    start, kind, end = spans[0]
+    assert kind == 0 and 0 < start < end <= len(f"see ( {form}")
+
+
+def test_large_streams_are_read_in_windows(monkeypatch):
+    import zstandard
+
+    monkeypatch.setattr(secrets, "MAX_INFLATED", 1 << 16)
+    monkeypatch.setattr(secrets, "WINDOW_BYTES", 1 << 15)
+    monkeypatch.setattr(secrets, "OVERLAP_BYTES", 1 << 10)
+    fill = "lorem ipsum é " * 20_000
+    nested = base64.b64encode(b"token: abcdefghijklmnop").decode()
+    for body in (fill + SECRET, SECRET + fill, fill[:32_758] + SECRET + fill, fill + nested + " " + fill):
+        raw = body.encode()
+        for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress,
+                     lambda x: gzip.compress(x[:70_000]) + gzip.compress(x[70_000:]), lambda x: gzip.compress(zlib.compress(x))):
+            run = base64.b64encode(pack(raw)).decode()
+            base, spans = secrets.find_secrets(f"cfg ( {run} ) end")
+            assert [s for s in spans if s not in base] and all(5 < a < b <= len(run) + 6 for a, _, b in spans)
+            assert "[SECRET]" in secrets.redacted(f"cfg ( {run} ) end", spans)
+    assert not secrets.find_secrets("cfg ( " + base64.b64encode(gzip.compress(fill.encode())).decode() + " )")[1]
+    looped = gzip.compress(gzip.compress(bytes(200_000)))
+    assert secrets.find_secrets(base64.b64encode(looped).decode())[1] == []
+
+
+def test_a_stream_beyond_the_bound_is_scanned():
+    body = b"a b c d " * (9 << 20) + SECRET.encode()     # 72 MB
+    run = base64.b64encode(gzip.compress(body, 1)).decode()
+    assert len(secrets.find_secrets(f"x ( {run} )")[1]) == 1
