@@ -6,8 +6,9 @@ pattern of equal slot values; windows of documents that occur in the benchmark
 are found by a hash join, and the slot values of the windows a copy shares
 with an item must map consistently, so that re-parameterised copies are caught
 and chance matches of mere templates are not. Every copy is judged by itself.
-Items too short or too poor in literal words for such windows are matched by
-their actual words.
+Every item is matched by its actual words, too (case aside), so that a copy
+which writes names in another case, or an item too short or too poor in
+literal words for template windows, is found as well.
 """
 
 from __future__ import annotations
@@ -154,17 +155,15 @@ def plain_windows(text: str | None, sizes: list[int]) -> tuple[np.ndarray, np.nd
     return np.concatenate(ats), np.concatenate(keys), np.zeros(len(hashes), np.uint64)
 
 
-def item_windows(text: str | None) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], int]:
-    """The windows of a benchmark item, and their size if they are of actual words (else 0).
+def item_windows(text: str | None) -> list[tuple[tuple[np.ndarray, np.ndarray, np.ndarray], int]]:
+    """The windows of a benchmark item: those of canonical words (size 0), then those of actual words with their size.
 
-    An item of fewer than WINDOW canonical words, or without a usable window,
-    is matched by its actual words: in windows of WINDOW words, or whole.
+    Windows of actual words have WINDOW words, or all of a shorter item. An
+    item of fewer than WINDOW canonical words has no others.
     """
-    made = windows(text)
-    if len(made[0]) and len(made[2]) >= WINDOW:
-        return made, 0
-    size = min(WINDOW, len(_words(text)[0]))
-    return plain_windows(text, [size] if size else []), size
+    made, size = windows(text), min(WINDOW, len(_words(text)[0]))
+    own = [(plain_windows(text, [size] if size else []), size)]
+    return [(made, 0), *own] if len(made[0]) and len(made[2]) >= WINDOW else own
 
 
 def _window_rows(df: DataFrame, bits: bytes | None, sizes: list[int] | None = None) -> DataFrame:
@@ -182,8 +181,7 @@ def _window_rows(df: DataFrame, bits: bytes | None, sizes: list[int] | None = No
             ids, parts, lengths, plain, ats, keys, slots = [], [], [], [], [], [], []
             for i, text, part in zip(*(c.to_pylist() for c in batch.columns)):
                 if known is None:
-                    made, size = item_windows(text)
-                    found = [(*made, size)]
+                    found = [(*made, size) for made, size in item_windows(text)]
                 else:
                     found = [(*windows(text), 0)] + ([(*plain_windows(text, sizes), WINDOW)] if sizes else [])
                 for at, key, value, size in found:
@@ -224,8 +222,8 @@ PAIR, ALIGNMENT, NEAR, NEAR_SHIFTED = range(4)
 def _places(hits: DataFrame) -> DataFrame:
     """Every hit once for each group of hits it is judged with.
 
-    A group is the whole pair of document and item, one alignment of one text
-    of either, or alignments that differ by less than the item's length (two
+    Hits of canonical and of actual words are judged apart. A group is the
+    whole pair of document and item, one alignment of one text of either, or alignments that differ by less than the item's length (two
     copies of an item lie at least its length apart). The latter are cut into
     steps of that length, and again half a step further on, so that a copy
     with insertions is whole in one of the two.
@@ -234,8 +232,8 @@ def _places(hits: DataFrame) -> DataFrame:
     none = F.lit(None).cast("long")
 
     def group(level: int, doc_part, item_part, place):
-        return F.struct(F.lit(level).alias("level"), doc_part.alias("doc_part"), item_part.alias("item_part"),
-                        place.cast("long").alias("place"))
+        return F.struct(F.lit(level).alias("level"), (F.col("plain") > 0).alias("actual"), doc_part.alias("doc_part"),
+                        item_part.alias("item_part"), place.cast("long").alias("place"))
 
     groups = F.array(group(PAIR, none, none, F.lit(0)), group(ALIGNMENT, part, item, offset),
                      group(NEAR, part, item, F.floor(offset / words)),
@@ -275,11 +273,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     doc_rows = (_window_rows(texts, bits, sizes).withColumnsRenamed({"id": "doc_id", "part": "doc_part"})
                 .drop("words", "plain"))
     hits = stored(doc_rows.join(item_rows, "key"), "hits")
-    totals = (item_rows.groupBy("item_id", "item_part").agg(F.count_distinct("item_at").alias("windows"))
-              .unionByName(item_rows.groupBy("item_id").agg(F.count_distinct("item_at").alias("windows"))
+    sized = item_rows.withColumn("actual", F.col("plain") > 0)
+    totals = (sized.groupBy("item_id", "actual", "item_part").agg(F.count_distinct("item_at").alias("windows"))
+              .unionByName(sized.groupBy("item_id", "actual").agg(F.count_distinct("item_at").alias("windows"))
                            .withColumn("item_part", F.lit(None).cast("long"))))
     places = _places(hits)
-    key = ["doc_id", "item_id", "level", "doc_part", "item_part", "place"]
+    key = ["doc_id", "item_id", "level", "actual", "doc_part", "item_part", "place"]
     runs = (places.groupBy(*key, "offset").agg(F.count_distinct("item_at").alias("run"))
             .groupBy(*key).agg(F.max("run").alias("run")))
     matched = places.groupBy(*key).agg(F.count_distinct("item_at").alias("matched"))
@@ -289,7 +288,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
               .agg(F.least(F.count_distinct("theirs"), F.count_distinct("ours")).alias("one"),
                    F.count("*").alias("pairs")))
     evidence = _same(_same(matched, runs, key, "inner"), values, key, "left")
-    passed = (_same(evidence, totals, ["item_id", "item_part"], "inner")
+    passed = (_same(evidence, totals, ["item_id", "actual", "item_part"], "inner")
               .withColumn("coverage", F.col("matched") / F.col("windows"))
               .withColumn("consistency", F.coalesce(F.col("one") / F.col("pairs"), F.lit(1.0)))
               .where((F.col("coverage") >= COVERAGE) | (F.col("run") >= RUN))

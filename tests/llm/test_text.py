@@ -376,3 +376,15 @@ def test_a_stream_beyond_the_bound_is_scanned():
     body = b"a b c d " * (9 << 20) + SECRET.encode()     # 72 MB
     run = base64.b64encode(gzip.compress(body, 1)).decode()
     assert len(secrets.find_secrets(f"x ( {run} )")[1]) == 1
+
+
+def test_copies_in_another_case_leak(spark, docs_of):
+    german = "Im Jahr 2020 verkaufte Frau Meyer in Berlin drei rote Fahrräder und schenkte Herrn Schulz 5 km Seil am Abend"
+    bench = spark.createDataFrame([(7, ITEM), (8, german)], "item_id long, text string")
+    forms = [str.lower, str.upper, str.title, str.swapcase]
+    rows = [(10 * i + k, f"before it comes this. {form(text)} and that is all of it")
+            for i, text in ((7, ITEM), (8, german)) for k, form in enumerate(forms)]
+    rows += [(1, "in 1999 some apples were sold and some rope was given to another before noon on a day like that"),
+             (2, " ".join(ITEM.lower().split()[::-1]))]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs_of(rows), bench).collect()}
+    assert got == {(10 * i + k, i) for i in (7, 8) for k in range(4)}
