@@ -36,10 +36,14 @@ ORDERS_PER_DOCUMENT = 100_000   # order keys that one raw document spans
 METRICS = ["ship_qty", "ship_lines", "ship_value"]
 
 DAILY = "order_key bigint, day string, priority string, status string, price double, price_n double"
-RAW_DAILY = T.StructType([
-    T.StructField("entity", T.StringType()), T.StructField("region", T.StringType()),
-    T.StructField("daily", T.StructType([T.StructField(f.name, T.ArrayType(f.dataType))
-                                         for f in schemas.struct(DAILY).fields]))])
+
+
+def raw_daily() -> T.StructType:
+    """Schema of a raw document: place names and one array per daily column."""
+    columns = [T.StructField(f.name, T.ArrayType(f.dataType)) for f in schemas.struct(DAILY).fields]
+    return T.StructType([T.StructField("entity", T.StringType()), T.StructField("region", T.StringType()),
+                         T.StructField("daily", T.StructType(columns))])
+
 
 # Layer tables: name -> DDL (the gold table's is the panel's own schema).
 SILVER = {
@@ -71,7 +75,7 @@ def land(spark: SparkSession, sf_dir: str, bronze: str) -> None:
 
 def silver(spark: SparkSession, sf_dir: str, bronze: str, root: str) -> None:
     """Parse the raw files into the silver tables."""
-    documents = spark.read.schema(RAW_DAILY).option("mode", "FAILFAST").json(f"{bronze}/daily")
+    documents = spark.read.schema(raw_daily()).option("mode", "FAILFAST").json(f"{bronze}/daily")
     rest = [f.name for f in schemas.struct(DAILY).fields if f.name != "order_key"]
     daily = explode_parallel_arrays(documents, "daily", "order_key", rest, keep=["entity", "region"])
     daily = daily.withColumns({"day": F.to_date("day"), "year_month": F.substring("day", 1, 7)})
