@@ -38,7 +38,7 @@ def fit_regressors(train: DataFrame, features: str, label: str, seed: int = 7, k
         "ridge": lambda: LinearRegression(featuresCol=features, labelCol=label, regParam=0.1, elasticNetParam=0.0),
         "random_forest": lambda: RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=30, maxDepth=5,
                                                        minInstancesPerNode=4, seed=seed),
-        "gbt": lambda: GBTRegressor(featuresCol=features, labelCol=label, maxIter=20, maxDepth=3, stepSize=0.2,
+        "gbt": lambda: GBTRegressor(featuresCol=features, labelCol=label, maxIter=12, maxDepth=3, stepSize=0.3,
                                     minInstancesPerNode=4, seed=seed),
     }
     return {name: models[name]().fit(train) for name in kinds or models}
@@ -56,7 +56,7 @@ def fixed_layout(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
 
 
 def tree_predictions(train: DataFrame, test: DataFrame, kind: str, label: str, keys: list[str],
-                     numeric: list[str], categorical: list[str], partitions: int = 16, seed: int = 7) -> DataFrame:
+                     numeric: list[str], categorical: list[str], partitions: int = 8, seed: int = 7) -> DataFrame:
     """``test`` with the ``prediction`` of a forest or of boosted trees fitted on ``train``.
 
     Spark's tree learners bin every feature into histograms, combine them per
